@@ -119,3 +119,105 @@ FROM ann GROUP BY sha256(text) HAVING count(DISTINCT objectionable) > 1""",
 
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(CORPUS_SQL)
+
+UPDATES = """
+upd AS (
+  SELECT CAST(label AS INTEGER) AS version, vec_id AS client_id,
+         sha256(CAST(vec_id AS VARCHAR)) AS content_hash, 1 + vec_id % 97 AS sample_size, embedding
+  FROM embeddings
+),
+params AS (
+  SELECT version, client_id, content_hash, sample_size, 'w' AS layer, CAST(i - 1 AS INTEGER) AS pos,
+         CAST(embedding[i] AS DOUBLE) AS value
+  FROM upd, unnest(generate_series(1, len(embedding))) AS g(i)
+),
+nm AS (SELECT version, count(DISTINCT content_hash) AS n_models FROM params GROUP BY version)"""
+
+UPLOADS = """
+rec AS (
+  SELECT doc_id, CAST(doc_id % 4 AS INTEGER) AS version,
+    json_object('model', to_base64(encode(text)),
+                'sample_size', CASE WHEN doc_id % 37 = 0 THEN 'n/a'
+                                    ELSE CAST(n_chars AS VARCHAR) END) AS body
+  FROM documents
+),
+up AS (
+  SELECT doc_id, version,
+    sha256(from_base64(json_extract_string(body, '$.model'))) AS content_hash,
+    try_cast(json_extract_string(body, '$.sample_size') AS BIGINT) AS sample_size
+  FROM rec
+),
+ing AS (
+  SELECT doc_id, version, content_hash, printf('local_v%d_%s.zip', version, content_hash) AS object_name,
+         sample_size, CASE WHEN sample_size IS NULL THEN 'rejected' ELSE 'accepted' END AS status
+  FROM up
+),
+acc AS (SELECT * FROM ing WHERE status = 'accepted'),
+latest AS (
+  SELECT version, content_hash, arg_max(sample_size, doc_id) AS sample_size
+  FROM acc GROUP BY version, content_hash
+)"""
+
+GAPS = UPDATES + """,
+objs AS (SELECT version, content_hash, client_id FROM upd WHERE client_id % 17 <> 0),
+wts AS (SELECT version, content_hash, sample_size FROM upd WHERE client_id % 13 <> 0)"""
+
+AVERAGING_SQL = {
+    "avg_scaled": "WITH " + UPDATES + """
+SELECT p.version, client_id, layer, pos, round(value * 1.0 / n_models, 6) AS scaled
+FROM params p JOIN nm ON p.version = nm.version""",
+    "avg_sum_scaled": "WITH " + UPDATES + """
+SELECT p.version, layer, pos, round(sum(value * 1.0 / n_models), 6) AS value
+FROM params p JOIN nm ON p.version = nm.version GROUP BY p.version, layer, pos""",
+    "avg_uniform": "WITH " + UPDATES + """
+SELECT version, layer, pos, round(avg(value), 6) AS value FROM params GROUP BY ALL""",
+    "avg_weighted": "WITH " + UPDATES + """
+SELECT version, layer, pos, round(sum(value * sample_size) / sum(sample_size), 6) AS value
+FROM params GROUP BY ALL""",
+    "avg_order_property": "WITH " + UPDATES + """,
+dta AS (SELECT p.version, layer, pos, sum(value * 1.0 / n_models) AS a
+        FROM params p JOIN nm ON p.version = nm.version GROUP BY ALL),
+atd AS (SELECT p.version, layer, pos, sum(value) / any_value(n_models) AS b
+        FROM params p JOIN nm ON p.version = nm.version GROUP BY ALL)
+SELECT coalesce(dta.version, atd.version) AS version, count(*) AS n_params,
+       CAST(sum(CASE WHEN abs(a - b) <= 1e-9 THEN 1 ELSE 0 END) AS BIGINT) AS n_equal
+FROM dta FULL OUTER JOIN atd ON dta.version = atd.version AND dta.layer = atd.layer
+  AND dta.pos = atd.pos
+GROUP BY 1""",
+    "avg_cohorts": "WITH " + UPDATES + """,
+base AS (SELECT version, layer, pos, avg(value) AS base FROM params GROUP BY ALL),
+sizes AS (SELECT * FROM (VALUES (0, 4), (1, 3), (2, 4)) t(cohort, n_copies)),
+copies AS (SELECT cohort, n_copies, version, layer, pos, base, base AS value
+           FROM base, sizes, range(n_copies) r(c)),
+av AS (SELECT cohort, n_copies, version, layer, pos, base, avg(value) AS value
+       FROM copies GROUP BY ALL)
+SELECT cohort, n_copies, count(*) AS n_params,
+       CAST(sum(CASE WHEN abs(value - base) <= 1e-9 THEN 1 ELSE 0 END) AS BIGINT) AS n_equal
+FROM av GROUP BY cohort, n_copies""",
+    "uploads_ingest": "WITH " + UPLOADS + """
+SELECT doc_id, version, content_hash, object_name, sample_size, status FROM ing""",
+    "uploads_dedupe": "WITH " + UPLOADS + """,
+po AS (SELECT version, content_hash, count(*) AS n FROM acc GROUP BY ALL)
+SELECT version, CAST(sum(n) AS BIGINT) AS n_uploads, count(*) AS n_objects FROM po GROUP BY version""",
+    "uploads_last_write": "WITH " + UPLOADS + """
+SELECT version, content_hash, sample_size FROM latest""",
+    "uploads_shares": "WITH " + UPLOADS + """
+SELECT version, content_hash, sample_size,
+       round(sample_size / sum(sample_size) OVER (PARTITION BY version), 6) AS share
+FROM latest""",
+    "avg_join_weights": "WITH " + GAPS + """
+SELECT o.version, o.content_hash, client_id, sample_size
+FROM objs o JOIN wts w ON o.version = w.version AND o.content_hash = w.content_hash""",
+    "avg_weight_gaps": "WITH " + GAPS + """
+SELECT DISTINCT version, content_hash, 'no_weight' AS gap FROM objs o
+WHERE NOT EXISTS (SELECT 1 FROM wts w WHERE w.version = o.version AND w.content_hash = o.content_hash)
+UNION ALL
+SELECT DISTINCT version, content_hash, 'no_object' AS gap FROM wts w
+WHERE NOT EXISTS (SELECT 1 FROM objs o WHERE w.version = o.version AND w.content_hash = o.content_hash)""",
+    "scaled_global_mean": """
+SELECT round(sum(event_id / (SELECT count(*) FROM events)), 6) AS scaled_sum,
+       round(sum(value / (SELECT count(*) FROM events)), 6) AS scaled_value_sum,
+       count(*) AS n
+FROM events""",
+}
+ORACLE_SQL.update(AVERAGING_SQL)

@@ -76,3 +76,44 @@ def conflicting_annotations(labelled: DataFrame) -> DataFrame:
     second = (labelled.filter(F.col("doc_id") % 10 == 0)
               .select("doc_id", "text", (1 - F.col("toxic")).alias("objectionable")))
     return first.unionByName(second)
+
+
+def client_updates(embeddings: DataFrame) -> DataFrame:
+    """One client update per embedding row.
+
+    ``(version, client_id, content_hash, sample_size, embedding)`` with
+    version = label, client = vec_id, content_hash = SHA-256 of the client
+    id, sample_size = ``1 + vec_id % 97``.
+    """
+    return embeddings.select(
+        F.col("label").cast("int").alias("version"),
+        F.col("vec_id").alias("client_id"),
+        F.sha2(F.col("vec_id").cast("string"), 256).alias("content_hash"),
+        (1 + F.col("vec_id") % 97).alias("sample_size"),
+        "embedding")
+
+
+def objects_with_gaps(updates: DataFrame) -> DataFrame:
+    """Stored objects: every update except ``client_id % 17 = 0``."""
+    return updates.filter(F.col("client_id") % 17 != 0)
+
+
+def weights_with_gaps(updates: DataFrame) -> DataFrame:
+    """Recorded weights: every update except ``client_id % 13 = 0``."""
+    return (updates.filter(F.col("client_id") % 13 != 0)
+            .select("version", "content_hash", "sample_size"))
+
+
+def upload_records(documents: DataFrame) -> DataFrame:
+    """Upload bodies built from documents: ``(doc_id, version, body)``.
+
+    body = JSON ``{"model": base64(text bytes), "sample_size": text}``;
+    version = ``doc_id % 4``; the size is ``n_chars`` except ``doc_id % 37 = 0``
+    where it is not a number. Identical texts give identical uploads.
+    """
+    size = F.when(F.col("doc_id") % 37 == 0, F.lit("n/a")).otherwise(
+        F.col("n_chars").cast("string"))
+    body = F.to_json(F.struct(F.base64(F.encode("text", "UTF-8")).alias("model"),
+                              size.alias("sample_size")))
+    return documents.select("doc_id", (F.col("doc_id") % 4).cast("int").alias("version"),
+                            body.alias("body"))
