@@ -221,3 +221,104 @@ SELECT round(sum(event_id / (SELECT count(*) FROM events)), 6) AS scaled_sum,
 FROM events""",
 }
 ORACLE_SQL.update(AVERAGING_SQL)
+
+ROUNDS = """
+re AS (
+  SELECT CAST(user_id % 16 AS INTEGER) AS federation_id, event_id, ts, user_id AS client_id,
+    CASE WHEN event_type IN ('view', 'click') THEN 'fetch' ELSE 'upload' END AS op,
+    CAST(json_extract_string(props, '$.k') AS BIGINT) AS sample_size
+  FROM events WHERE event_type IN ('view', 'click', 'purchase', 'signup')
+),
+rq AS (
+  SELECT *, CASE WHEN event_id % 5 = 0 THEN -1 WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS claim_offset,
+         event_id % 23 = 0 AS busy, event_id % 29 = 0 AS missing
+  FROM re
+),
+ad AS (
+  SELECT *, CASE WHEN claim_offset <> 0 THEN 'wrong_version'
+                 WHEN op = 'fetch' AND missing THEN 'missing'
+                 WHEN busy THEN 'busy' ELSE 'accepted' END AS status
+  FROM rq
+),
+dec AS (
+  SELECT *,
+    CASE op || '_' || status
+      WHEN 'fetch_wrong_version' THEN 'Requested version is unavailable'
+      WHEN 'fetch_missing' THEN 'Could not find resource'
+      WHEN 'fetch_busy' THEN 'Global model is being merged/evaluated'
+      WHEN 'upload_wrong_version' THEN 'Upload request is for a bad version'
+      WHEN 'upload_busy' THEN 'Upload request denied'
+      WHEN 'fetch_accepted' THEN 'Sending global model'
+      WHEN 'upload_accepted' THEN 'Successfully saved client model' END AS details,
+    CASE WHEN op = 'fetch' AND status = 'accepted' THEN 1
+         WHEN op = 'upload' AND status = 'accepted' THEN -1 ELSE 0 END AS delta
+  FROM ad
+),
+bal AS (
+  SELECT *, CAST(sum(delta) OVER (PARTITION BY federation_id ORDER BY ts, event_id
+                                  ROWS UNBOUNDED PRECEDING) AS BIGINT) AS balance
+  FROM dec
+),
+cl AS (SELECT *, (op = 'upload' AND status = 'accepted' AND balance = 0) AS closes FROM bal),
+b AS (
+  SELECT *, CAST(sum(CAST(closes AS INTEGER)) OVER (PARTITION BY federation_id ORDER BY ts, event_id
+                 ROWS UNBOUNDED PRECEDING) - CAST(closes AS INTEGER) AS INTEGER) AS version
+  FROM cl
+),
+pc AS (
+  SELECT federation_id, version, client_id, sample_size FROM (
+    SELECT *, row_number() OVER (PARTITION BY federation_id, version, client_id
+                                 ORDER BY ts DESC, event_id DESC) AS rn
+    FROM b WHERE op = 'upload' AND status = 'accepted') WHERE rn = 1
+),
+md AS (
+  SELECT federation_id, version, count(*) AS n_models, CAST(sum(sample_size) AS BIGINT) AS total_samples
+  FROM pc GROUP BY ALL
+),
+ct AS (
+  SELECT federation_id, version,
+    CAST(sum(CASE WHEN op = 'fetch' AND status = 'accepted' THEN 1 ELSE 0 END) AS BIGINT) AS n_fetches,
+    CAST(sum(CASE WHEN op = 'upload' AND status = 'accepted' THEN 1 ELSE 0 END) AS BIGINT) AS n_uploads,
+    CAST(sum(CASE WHEN status <> 'accepted' THEN 1 ELSE 0 END) AS BIGINT) AS n_rejected,
+    bool_or(closes) AS closed, min(ts) AS opened_at, max(CASE WHEN closes THEN ts END) AS closed_at
+  FROM b GROUP BY ALL
+),
+hist AS (
+  SELECT ct.federation_id, ct.version, n_fetches, n_uploads, n_rejected,
+         CAST(coalesce(n_models, 0) AS BIGINT) AS n_models,
+         CAST(coalesce(total_samples, 0) AS BIGINT) AS total_samples, closed, opened_at, closed_at
+  FROM ct LEFT JOIN md ON ct.federation_id = md.federation_id AND ct.version = md.version
+),
+cur AS (SELECT federation_id, max(version) AS version FROM hist GROUP BY federation_id)"""
+
+ROUNDS_SQL = {
+    "rounds_admission": "WITH " + ROUNDS + """
+SELECT federation_id, event_id, op, status, details, delta FROM dec""",
+    "rounds_balance": "WITH " + ROUNDS + "\nSELECT federation_id, event_id, balance FROM b",
+    "rounds_barrier": "WITH " + ROUNDS
+    + "\nSELECT federation_id, event_id, version FROM b WHERE closes",
+    "rounds_history": "WITH " + ROUNDS + """
+SELECT federation_id, version, n_fetches, n_uploads, n_rejected, n_models, total_samples, closed,
+       epoch_us(opened_at) AS opened_us, epoch_us(closed_at) AS closed_us
+FROM hist""",
+    "rounds_requester": "WITH " + ROUNDS + """
+SELECT federation_id, event_id, op, CAST(version + claim_offset AS INTEGER) AS claimed_version,
+       version AS server_version,
+       CASE WHEN claim_offset > 0 THEN 'wait' WHEN claim_offset < 0 THEN 'upgrade' ELSE 'retry' END
+         AS action,
+       CAST(greatest(version + claim_offset, version) AS INTEGER) AS next_version
+FROM b WHERE status = 'wrong_version'""",
+    "rounds_latest_version": "WITH " + ROUNDS + """
+SELECT federation_id, CAST(max(version) + 1 AS INTEGER) AS published_version,
+       epoch_us(arg_max(closed_at, version)) AS published_us, count(*) AS n_closed
+FROM hist WHERE closed GROUP BY federation_id""",
+    "rounds_status": "WITH " + ROUNDS + """
+SELECT federation_id, version,
+       json_object('version', version, 'merging', false, 'evaluating', false)::VARCHAR AS status_json
+FROM cur""",
+    "rounds_pending_updates": "WITH " + ROUNDS + """
+SELECT b.federation_id, b.version, event_id, client_id, sample_size
+FROM b JOIN cur ON b.federation_id = cur.federation_id AND b.version = cur.version
+WHERE op = 'upload' AND status = 'accepted'""",
+}
+ORACLE_SQL.update(ROUNDS_SQL)
