@@ -322,3 +322,220 @@ FROM b JOIN cur ON b.federation_id = cur.federation_id AND b.version = cur.versi
 WHERE op = 'upload' AND status = 'accepted'""",
 }
 ORACLE_SQL.update(ROUNDS_SQL)
+
+# Model: features x = count / n_tokens per (doc, bucket), bias as bucket -1
+# with x = 1; one gradient step from the zero model with lr = 5.
+MODEL = LABELLED + """,
+cdocs AS (SELECT doc_id, client, toxic AS label, text FROM labelled WHERE toxic IS NOT NULL),
+ctok AS (
+  SELECT doc_id, t FROM (
+    SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) AS t FROM cdocs)
+  WHERE t <> ''
+),
+cn AS (
+  SELECT d.doc_id, d.client, d.label, count(t.t) AS n_tokens
+  FROM cdocs d LEFT JOIN ctok t ON d.doc_id = t.doc_id GROUP BY d.doc_id, d.client, d.label
+),
+cfeat AS (
+  SELECT doc_id, CAST(('0x' || substr(md5(t), 1, 8))::BIGINT % 1024 AS INTEGER) AS bucket,
+         count(*) AS c
+  FROM ctok GROUP BY ALL
+),
+crows AS (
+  SELECT f.doc_id, cn.client, cn.label, bucket, c / n_tokens AS x
+  FROM cfeat f JOIN cn ON f.doc_id = cn.doc_id
+  UNION ALL
+  SELECT doc_id, client, label, -1 AS bucket, 1.0 AS x FROM cn
+),
+p0 AS (
+  SELECT 'weight' AS layer, CAST(i AS INTEGER) AS pos, 0.0 AS value FROM range(1024) r(i)
+  UNION ALL SELECT 'bias', 0, 0.0
+  UNION ALL SELECT 'n_buckets', 0, 1024.0
+  UNION ALL SELECT 'lr', 0, 5.0
+),
+w0 AS (
+  SELECT CASE WHEN layer = 'bias' THEN -1 ELSE pos END AS bucket, value AS w
+  FROM p0 WHERE layer IN ('weight', 'bias')
+),
+cz AS (
+  SELECT doc_id, client, label, sum(x * w) AS z
+  FROM crows JOIN w0 ON crows.bucket = w0.bucket GROUP BY doc_id, client, label
+),
+cr AS (SELECT doc_id, client, label, 1.0 / (1.0 + exp(-z)) - label AS r FROM cz),
+cg AS (
+  SELECT crows.client, bucket, sum(r * x) AS g
+  FROM crows JOIN cr ON crows.doc_id = cr.doc_id AND crows.client = cr.client
+    AND crows.label = cr.label
+  GROUP BY crows.client, bucket
+),
+cnt AS (SELECT client, count(*) AS sample_size FROM cr GROUP BY client),
+deltas AS (
+  SELECT cg.client, CASE WHEN bucket = -1 THEN 'bias' ELSE 'weight' END AS layer,
+         CASE WHEN bucket = -1 THEN 0 ELSE bucket END AS pos,
+         -5.0 * g / sample_size AS delta, sample_size
+  FROM cg JOIN cnt ON cg.client = cnt.client
+),
+avgd AS (
+  SELECT layer, pos,
+         sum(delta * CAST(sample_size AS DOUBLE))
+           / (SELECT sum(CAST(sample_size AS DOUBLE)) FROM deltas WHERE layer = 'bias') AS delta
+  FROM deltas GROUP BY layer, pos
+),
+p1 AS (
+  SELECT 1 AS version, p0.layer, p0.pos, p0.value + coalesce(avgd.delta, 0.0) AS value
+  FROM p0 LEFT JOIN avgd ON p0.layer = avgd.layer AND p0.pos = avgd.pos
+  WHERE p0.layer IN ('weight', 'bias')
+  UNION ALL
+  SELECT 1, layer, pos, value FROM p0 WHERE layer NOT IN ('weight', 'bias')
+),
+w1 AS (
+  SELECT CASE WHEN layer = 'bias' THEN -1 ELSE pos END AS bucket, value AS w
+  FROM p1 WHERE layer IN ('weight', 'bias')
+)"""
+
+CORPUS_MODEL = SPLIT[len(LABELLED) + 1:] + """,
+ktok AS (
+  SELECT split_key, objectionable, split, t FROM (
+    SELECT split_key, objectionable, split,
+           unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) AS t FROM split)
+  WHERE t <> ''
+),
+kn AS (
+  SELECT s.split_key, s.objectionable, s.split, count(t.t) AS n_tokens
+  FROM split s LEFT JOIN ktok t ON s.split_key = t.split_key
+    AND s.objectionable = t.objectionable AND s.split = t.split
+  GROUP BY s.split_key, s.objectionable, s.split
+),
+kfeat AS (
+  SELECT split_key, objectionable, split,
+         CAST(('0x' || substr(md5(t), 1, 8))::BIGINT % 1024 AS INTEGER) AS bucket, count(*) AS c
+  FROM ktok GROUP BY ALL
+),
+krows AS (
+  SELECT f.split_key, f.objectionable, f.split, bucket, c / n_tokens AS x
+  FROM kfeat f JOIN kn ON f.split_key = kn.split_key AND f.objectionable = kn.objectionable
+    AND f.split = kn.split
+  UNION ALL
+  SELECT split_key, objectionable, split, -1, 1.0 FROM kn
+)"""
+
+SCORED = "WITH " + MODEL + "," + CORPUS_MODEL + """,
+sc AS (
+  SELECT split_key, objectionable, split, sum(x * w) AS z
+  FROM krows JOIN w1 ON krows.bucket = w1.bucket GROUP BY split_key, objectionable, split
+),
+scp AS (SELECT *, CAST(CASE WHEN z > 0 THEN 1 ELSE 0 END AS INTEGER) AS prediction FROM sc)"""
+
+REPORT = SCORED + """,
+conf AS (SELECT split, objectionable AS label, prediction, count(*) AS n FROM scp GROUP BY ALL),
+sides AS (
+  SELECT split, label AS class, n AS support, CASE WHEN label = prediction THEN n ELSE 0 END AS tp,
+         0 AS predicted FROM conf
+  UNION ALL
+  SELECT split, prediction, 0, 0, n FROM conf
+),
+pc AS (
+  SELECT split, class, sum(tp) AS tp, sum(support) AS support, sum(predicted) AS predicted
+  FROM sides GROUP BY ALL
+),
+m AS (
+  SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+            CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall
+  FROM pc
+),
+m2 AS (
+  SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+            ELSE 0.0 END AS f1
+  FROM m
+),
+summ AS (
+  SELECT split, sum(tp) AS tp, sum(support) AS total, avg(precision) AS mp, avg(recall) AS mr,
+         avg(f1) AS mf, sum(precision * support) AS wp, sum(recall * support) AS wr,
+         sum(f1 * support) AS wf
+  FROM m2 GROUP BY split
+)"""
+
+MODEL_SQL = {
+    "model_features": "WITH " + MODEL + """
+SELECT f.doc_id, n_tokens, bucket, round(c / n_tokens, 6) AS x
+FROM cfeat f JOIN cn ON f.doc_id = cn.doc_id""",
+    "model_client_step": "WITH " + MODEL + """
+SELECT client, layer, pos, round(delta, 6) AS delta, sample_size FROM deltas""",
+    "model_round": "WITH " + MODEL + """
+SELECT version, layer, pos, round(value, 6) AS value FROM p1""",
+    "model_central_step": "WITH " + MODEL + "," + CORPUS_MODEL + """,
+tz AS (
+  SELECT split_key, objectionable, split, sum(x * w) AS z
+  FROM krows JOIN w0 ON krows.bucket = w0.bucket
+  WHERE split = 'train' GROUP BY split_key, objectionable, split
+),
+tr AS (SELECT *, 1.0 / (1.0 + exp(-z)) - objectionable AS r FROM tz),
+tg AS (
+  SELECT bucket, sum(r * x) AS g FROM krows JOIN tr USING (split_key, objectionable, split)
+  GROUP BY bucket
+),
+td AS (
+  SELECT CASE WHEN bucket = -1 THEN 'bias' ELSE 'weight' END AS layer,
+         CASE WHEN bucket = -1 THEN 0 ELSE bucket END AS pos,
+         -5.0 * g / (SELECT count(*) FROM tr) AS delta
+  FROM tg
+)
+SELECT 1 AS version, p0.layer, p0.pos,
+       round(p0.value + coalesce(td.delta, 0.0), 6) AS value
+FROM p0 LEFT JOIN td ON p0.layer = td.layer AND p0.pos = td.pos
+WHERE p0.layer IN ('weight', 'bias')
+UNION ALL
+SELECT 1, layer, pos, round(value, 6) FROM p0 WHERE layer NOT IN ('weight', 'bias')""",
+    "model_scores": SCORED + """
+SELECT split_key, objectionable, round(z, 6) AS z, prediction FROM scp WHERE split = 'test'""",
+    "eval_confusion": SCORED + """
+SELECT split, objectionable AS label, prediction, count(*) AS n FROM scp GROUP BY ALL""",
+    "eval_wrong": SCORED + """
+SELECT split_key, objectionable, prediction FROM scp
+WHERE split = 'test' AND prediction <> objectionable""",
+    "eval_report": REPORT + """
+SELECT split, CAST(class AS VARCHAR) AS class, round(precision, 6) AS precision,
+       round(recall, 6) AS recall, round(f1, 6) AS f1, CAST(support AS BIGINT) AS support
+FROM m2
+UNION ALL
+SELECT split, 'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
+       round(CASE WHEN total > 0 THEN tp / total ELSE 0.0 END, 6), CAST(total AS BIGINT) FROM summ
+UNION ALL
+SELECT split, 'macro avg', round(mp, 6), round(mr, 6), round(mf, 6), CAST(total AS BIGINT)
+FROM summ
+UNION ALL
+SELECT split, 'weighted avg', round(CASE WHEN total > 0 THEN wp / total ELSE 0.0 END, 6),
+       round(CASE WHEN total > 0 THEN wr / total ELSE 0.0 END, 6),
+       round(CASE WHEN total > 0 THEN wf / total ELSE 0.0 END, 6), CAST(total AS BIGINT)
+FROM summ""",
+    "conversation_flags": "WITH " + MODEL + """,
+ut AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user'),
+utok AS (
+  SELECT conv_id, turn, t FROM (
+    SELECT conv_id, turn, unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) AS t FROM ut)
+  WHERE t <> ''
+),
+un AS (
+  SELECT u.conv_id, u.turn, count(t.t) AS n_tokens
+  FROM ut u LEFT JOIN utok t ON u.conv_id = t.conv_id AND u.turn = t.turn
+  GROUP BY u.conv_id, u.turn
+),
+ufeat AS (
+  SELECT conv_id, turn, CAST(('0x' || substr(md5(t), 1, 8))::BIGINT % 1024 AS INTEGER) AS bucket,
+         count(*) AS c
+  FROM utok GROUP BY ALL
+),
+urows AS (
+  SELECT f.conv_id, f.turn, bucket, c / n_tokens AS x
+  FROM ufeat f JOIN un ON f.conv_id = un.conv_id AND f.turn = un.turn
+  UNION ALL SELECT conv_id, turn, -1, 1.0 FROM un
+),
+uz AS (
+  SELECT conv_id, turn, sum(x * w) AS z FROM urows JOIN w1 ON urows.bucket = w1.bucket
+  GROUP BY conv_id, turn
+)
+SELECT conv_id, count(*) AS n_user_turns, round(max(z), 6) AS max_z,
+       max(CAST(CASE WHEN z > 0 THEN 1 ELSE 0 END AS INTEGER)) AS flagged
+FROM uz GROUP BY conv_id""",
+}
+ORACLE_SQL.update(MODEL_SQL)
