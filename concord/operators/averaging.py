@@ -160,7 +160,8 @@ def weight_gaps(objects: DataFrame, weights: DataFrame) -> DataFrame:
                          .withColumn("gap", F.lit("no_object"))))
 
 
-def assemble(averaged: DataFrame, base: DataFrame, new_version: Column | int) -> DataFrame:
+def assemble(averaged: DataFrame, base: DataFrame, new_version: Column | int,
+             averaged_layers: list[str]) -> DataFrame:
     """published model = averaged layers + every other layer of the base.
 
     ``base`` is the starting version's parameter table; layers not averaged
@@ -168,6 +169,6 @@ def assemble(averaged: DataFrame, base: DataFrame, new_version: Column | int) ->
     """
     v = F.lit(new_version) if isinstance(new_version, int) else new_version
     avg = averaged.select(v.cast("int").alias("version"), "layer", "pos", "value")
-    carried = (base.join(averaged.select("layer").distinct(), "layer", "left_anti")
+    carried = (base.filter(~F.col("layer").isin(*averaged_layers))
                .select(v.cast("int").alias("version"), "layer", "pos", "value"))
     return avg.unionByName(carried)

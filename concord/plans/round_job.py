@@ -59,7 +59,7 @@ def federated_round(feats: DataFrame, params: DataFrame, version: int,
     avg = mean_delta(deltas, algo)
     floats = params.filter(F.col("layer").isin(*M.FLOAT_LAYERS))
     updated = M.apply_delta(floats, avg, version + 1)
-    return A.assemble(updated, params, version + 1)
+    return A.assemble(updated, params, version + 1, list(M.FLOAT_LAYERS))
 
 
 def run_rounds(spark: SparkSession, sf_dir: str, n_rounds: int, algo: str = "wmean"
@@ -82,7 +82,7 @@ def central_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = M.initial_params(spark, 0)
     deltas = M.local_step(feats, params, CORPUS_CARRY, "objectionable", ["split"])
     floats = params.filter(F.col("layer").isin(*M.FLOAT_LAYERS))
-    return A.assemble(M.apply_delta(floats, deltas, 1), params, 1)
+    return A.assemble(M.apply_delta(floats, deltas, 1), params, 1, list(M.FLOAT_LAYERS))
 
 
 # ---- registered queries -------------------------------------------------
@@ -104,14 +104,17 @@ def q_central_step(spark, sf_dir):
 
 def q_client_step(spark, sf_dir):
     """Per-client deltas after one local step from the global model."""
-    d = M.local_step(client_features(spark, sf_dir), M.initial_params(spark, 0),
+    d = M.local_step(cut_lineage(client_features(spark, sf_dir)), M.initial_params(spark, 0),
                      CLIENT_CARRY, "label", ["client"])
     return d.select("client", "layer", "pos", F.round("delta", R).alias("delta"),
                     "sample_size")
 
 
 def version_one(spark, sf_dir) -> DataFrame:
-    return federated_round(client_features(spark, sf_dir), M.initial_params(spark, 0), 0)
+    """Version 1 from the zero model; the client features are checkpointed
+    once, since the score and gradient branches both read them."""
+    feats = cut_lineage(client_features(spark, sf_dir))
+    return federated_round(feats, M.initial_params(spark, 0), 0)
 
 
 def q_round(spark, sf_dir):
@@ -152,7 +155,7 @@ COMPARED = ("v0", "v1", "v1_self")
 def models_for_comparison(spark, sf_dir) -> DataFrame:
     """v0, v1 and v1 averaged with itself (two identical copies, uniform mean)."""
     p0 = M.initial_params(spark, 0)
-    p1 = federated_round(client_features(spark, sf_dir), p0, 0)
+    p1 = federated_round(cut_lineage(client_features(spark, sf_dir)), p0, 0)
     copies = (p1.withColumn("content_hash", F.lit("a"))
               .unionByName(p1.withColumn("content_hash", F.lit("b"))))
     self_avg = A.uniform_mean(copies)
