@@ -17,7 +17,15 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "concord", extra: dict | None = None) -> SparkSession:
-    """A local session for tests and the benchmark (UI off, AQE on)."""
+    """A local session for tests and the benchmark (UI off, AQE on).
+
+    Python workers import this package for the pandas-based stateful
+    operator, so the repository root is put on their PYTHONPATH.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *paths])
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app_name)
