@@ -49,24 +49,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``. When unset, a scratch folder is
-    created only for a local-mode session; a cluster session must name a
-    shared folder itself.
+    Read from ``spark.checkpoint.dir`` (a static setting, given when the
+    session is built). When unset, a scratch folder is used only for a
+    local-mode session; a cluster session must name a shared folder itself.
     """
-    current = spark.conf.get(CHECKPOINT_CONF, None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set; name a shared folder for checkpoints")
     path = tempfile.mkdtemp(prefix="concord-ckpt-")
-    spark.conf.set(CHECKPOINT_CONF, path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
