@@ -99,7 +99,7 @@ FROM ps""",
     "corpus_grand_total": "WITH " + SOURCE_DISTINCT + "\nSELECT count(*) AS n_total FROM sd",
     "corpus_split": "WITH " + SPLIT + "\nSELECT text, objectionable, split FROM split",
     "corpus_split_summary": "WITH " + SPLIT + """
-SELECT split, count(*) AS n_rows, round(avg(CAST(objectionable AS DOUBLE)), 6) AS positive_rate
+SELECT split, count(*) AS n_rows, (round(avg(CAST(objectionable AS DOUBLE)), 6) + 0.0) AS positive_rate
 FROM split GROUP BY split""",
     "corpus_vote_totals": "WITH " + ENCODED + """
 SELECT text, CAST(sum(m1) AS BIGINT) AS votes_1, CAST(sum(m2) AS BIGINT) AS votes_2,
@@ -164,15 +164,15 @@ wts AS (SELECT version, content_hash, sample_size FROM upd WHERE client_id % 13
 
 AVERAGING_SQL = {
     "avg_scaled": "WITH " + UPDATES + """
-SELECT p.version, client_id, layer, pos, round(value * 1.0 / n_models, 6) AS scaled
+SELECT p.version, client_id, layer, pos, (round(value * 1.0 / n_models, 6) + 0.0) AS scaled
 FROM params p JOIN nm ON p.version = nm.version""",
     "avg_sum_scaled": "WITH " + UPDATES + """
-SELECT p.version, layer, pos, round(sum(value * 1.0 / n_models), 6) AS value
+SELECT p.version, layer, pos, (round(sum(value * 1.0 / n_models), 6) + 0.0) AS value
 FROM params p JOIN nm ON p.version = nm.version GROUP BY p.version, layer, pos""",
     "avg_uniform": "WITH " + UPDATES + """
-SELECT version, layer, pos, round(avg(value), 6) AS value FROM params GROUP BY ALL""",
+SELECT version, layer, pos, (round(avg(value), 6) + 0.0) AS value FROM params GROUP BY ALL""",
     "avg_weighted": "WITH " + UPDATES + """
-SELECT version, layer, pos, round(sum(value * sample_size) / sum(sample_size), 6) AS value
+SELECT version, layer, pos, (round(sum(value * sample_size) / sum(sample_size), 6) + 0.0) AS value
 FROM params GROUP BY ALL""",
     "avg_order_property": "WITH " + UPDATES + """,
 dta AS (SELECT p.version, layer, pos, sum(value * 1.0 / n_models) AS a
@@ -203,7 +203,7 @@ SELECT version, CAST(sum(n) AS BIGINT) AS n_uploads, count(*) AS n_objects FROM
 SELECT version, content_hash, sample_size FROM latest""",
     "uploads_shares": "WITH " + UPLOADS + """
 SELECT version, content_hash, sample_size,
-       round(sample_size / sum(sample_size) OVER (PARTITION BY version), 6) AS share
+       (round(sample_size / sum(sample_size) OVER (PARTITION BY version), 6) + 0.0) AS share
 FROM latest""",
     "avg_join_weights": "WITH " + GAPS + """
 SELECT o.version, o.content_hash, client_id, sample_size
@@ -215,8 +215,8 @@ UNION ALL
 SELECT DISTINCT version, content_hash, 'no_object' AS gap FROM wts w
 WHERE NOT EXISTS (SELECT 1 FROM objs o WHERE w.version = o.version AND w.content_hash = o.content_hash)""",
     "scaled_global_mean": """
-SELECT round(sum(event_id / (SELECT count(*) FROM events)), 6) AS scaled_sum,
-       round(sum(value / (SELECT count(*) FROM events)), 6) AS scaled_value_sum,
+SELECT (round(sum(event_id / (SELECT count(*) FROM events)), 6) + 0.0) AS scaled_sum,
+       (round(sum(value / (SELECT count(*) FROM events)), 6) + 0.0) AS scaled_value_sum,
        count(*) AS n
 FROM events""",
 }
@@ -457,12 +457,12 @@ summ AS (
 
 MODEL_SQL = {
     "model_features": "WITH " + MODEL + """
-SELECT f.doc_id, n_tokens, bucket, round(c / n_tokens, 6) AS x
+SELECT f.doc_id, n_tokens, bucket, (round(c / n_tokens, 6) + 0.0) AS x
 FROM cfeat f JOIN cn ON f.doc_id = cn.doc_id""",
     "model_client_step": "WITH " + MODEL + """
-SELECT client, layer, pos, round(delta, 6) AS delta, sample_size FROM deltas""",
+SELECT client, layer, pos, (round(delta, 6) + 0.0) AS delta, sample_size FROM deltas""",
     "model_round": "WITH " + MODEL + """
-SELECT version, layer, pos, round(value, 6) AS value FROM p1""",
+SELECT version, layer, pos, (round(value, 6) + 0.0) AS value FROM p1""",
     "model_central_step": "WITH " + MODEL + "," + CORPUS_MODEL + """,
 tz AS (
   SELECT split_key, objectionable, split, sum(x * w) AS z
@@ -481,32 +481,32 @@ td AS (
   FROM tg
 )
 SELECT 1 AS version, p0.layer, p0.pos,
-       round(p0.value + coalesce(td.delta, 0.0), 6) AS value
+       (round(p0.value + coalesce(td.delta, 0.0), 6) + 0.0) AS value
 FROM p0 LEFT JOIN td ON p0.layer = td.layer AND p0.pos = td.pos
 WHERE p0.layer IN ('weight', 'bias')
 UNION ALL
-SELECT 1, layer, pos, round(value, 6) FROM p0 WHERE layer NOT IN ('weight', 'bias')""",
+SELECT 1, layer, pos, (round(value, 6) + 0.0) FROM p0 WHERE layer NOT IN ('weight', 'bias')""",
     "model_scores": SCORED + """
-SELECT split_key, objectionable, round(z, 6) AS z, prediction FROM scp WHERE split = 'test'""",
+SELECT split_key, objectionable, (round(z, 6) + 0.0) AS z, prediction FROM scp WHERE split = 'test'""",
     "eval_confusion": SCORED + """
 SELECT split, objectionable AS label, prediction, count(*) AS n FROM scp GROUP BY ALL""",
     "eval_wrong": SCORED + """
 SELECT split_key, objectionable, prediction FROM scp
 WHERE split = 'test' AND prediction <> objectionable""",
     "eval_report": REPORT + """
-SELECT split, CAST(class AS VARCHAR) AS class, round(precision, 6) AS precision,
-       round(recall, 6) AS recall, round(f1, 6) AS f1, CAST(support AS BIGINT) AS support
+SELECT split, CAST(class AS VARCHAR) AS class, (round(precision, 6) + 0.0) AS precision,
+       (round(recall, 6) + 0.0) AS recall, (round(f1, 6) + 0.0) AS f1, CAST(support AS BIGINT) AS support
 FROM m2
 UNION ALL
 SELECT split, 'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
-       round(CASE WHEN total > 0 THEN tp / total ELSE 0.0 END, 6), CAST(total AS BIGINT) FROM summ
+       (round(CASE WHEN total > 0 THEN tp / total ELSE 0.0 END, 6) + 0.0), CAST(total AS BIGINT) FROM summ
 UNION ALL
-SELECT split, 'macro avg', round(mp, 6), round(mr, 6), round(mf, 6), CAST(total AS BIGINT)
+SELECT split, 'macro avg', (round(mp, 6) + 0.0), (round(mr, 6) + 0.0), (round(mf, 6) + 0.0), CAST(total AS BIGINT)
 FROM summ
 UNION ALL
-SELECT split, 'weighted avg', round(CASE WHEN total > 0 THEN wp / total ELSE 0.0 END, 6),
-       round(CASE WHEN total > 0 THEN wr / total ELSE 0.0 END, 6),
-       round(CASE WHEN total > 0 THEN wf / total ELSE 0.0 END, 6), CAST(total AS BIGINT)
+SELECT split, 'weighted avg', (round(CASE WHEN total > 0 THEN wp / total ELSE 0.0 END, 6) + 0.0),
+       (round(CASE WHEN total > 0 THEN wr / total ELSE 0.0 END, 6) + 0.0),
+       (round(CASE WHEN total > 0 THEN wf / total ELSE 0.0 END, 6) + 0.0), CAST(total AS BIGINT)
 FROM summ""",
     "conversation_flags": "WITH " + MODEL + """,
 ut AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user'),
@@ -534,7 +534,7 @@ uz AS (
   SELECT conv_id, turn, sum(x * w) AS z FROM urows JOIN w1 ON urows.bucket = w1.bucket
   GROUP BY conv_id, turn
 )
-SELECT conv_id, count(*) AS n_user_turns, round(max(z), 6) AS max_z,
+SELECT conv_id, count(*) AS n_user_turns, (round(max(z), 6) + 0.0) AS max_z,
        max(CAST(CASE WHEN z > 0 THEN 1 ELSE 0 END AS INTEGER)) AS flagged
 FROM uz GROUP BY conv_id""",
 }
