@@ -45,7 +45,8 @@ def round_events(events: DataFrame, n_federations: int = N_FEDERATIONS) -> DataF
     op = (F.when(F.col("event_type").isin(*FETCH_EVENTS), F.lit("fetch"))
           .when(F.col("event_type").isin(*UPLOAD_EVENTS), F.lit("upload")))
     props = F.from_json(F.col("props"), "map<string,bigint>")
-    return (events.select(
+    typed = events.filter(F.col("event_type").isin(*FETCH_EVENTS, *UPLOAD_EVENTS))
+    return (typed.select(
         (F.col("user_id") % n_federations).cast("int").alias("federation_id"),
         "event_id", "ts", F.col("user_id").alias("client_id"), op.alias("op"),
         F.element_at(props, F.lit("k")).alias("sample_size"))
