@@ -1,14 +1,13 @@
 """Session construction and lineage cutting.
 
-Library code never creates folders on its own on a cluster: the shared
-checkpoint folder comes from ``spark.checkpoint.dir``. Only a local-mode
-session (tests, bench) gets a scratch folder when the setting is missing.
+The shared folder for checkpoints comes from ``spark.checkpoint.dir``; where it
+is unset, it is a folder of the session's warehouse. No machine-local folder
+is used for intermediate data.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,28 +48,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (a static setting, given when the
-    session is built). When unset, a scratch folder is used only for a
-    local-mode session; a cluster session must name a shared folder itself.
+    Read from ``spark.checkpoint.dir``; a session without that setting uses a
+    folder of its warehouse, which driver and executors share as well.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            f"{CHECKPOINT_CONF} is not set; name a shared folder for checkpoints")
-    path = tempfile.mkdtemp(prefix="concord-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", f"{name}-{os.urandom(6).hex()}")
+    current = (sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
+               or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
