@@ -32,4 +32,22 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_decontamination": OP10}
+OP2 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_folded('text')}, '{_WORD}') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, k, k + least(len(w), 5) - 1), ' ') AS s
+       FROM d, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS u(k) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b USING (s)
+      WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM i JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+      WHERE 100 * c >= 75 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS x, doc_id AS y FROM n UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+       coalesce((SELECT min(y) FROM r WHERE r.x = d.doc_id), d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_ngram_jaccard_join": OP2,
+                              "op10_decontamination": OP10}

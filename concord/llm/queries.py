@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from concord.llm import decontamination, quality_rules
+from concord.llm import decontamination, jaccard_join, quality_rules
 from concord.llm.oracle import ORACLE_SQL
 
 QUERIES = {f.__name__: f for f in (
+    jaccard_join.op2_ngram_jaccard_join,
     quality_rules.op8_quality_rules,
     decontamination.op10_decontamination,
 )}
