@@ -20,7 +20,6 @@ columns of the documents are carried along and the results are appended under
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np

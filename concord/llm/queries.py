@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from concord.llm import decontamination, jaccard_join, quality_rules
+from concord.llm import (
+    decontamination,
+    jaccard_join,
+    quality_rules,
+    suffix_dedup,
+)
 from concord.llm.oracle import ORACLE_SQL
 
 QUERIES = {f.__name__: f for f in (
     jaccard_join.op2_ngram_jaccard_join,
+    suffix_dedup.op3_suffix_array_dedup,
     quality_rules.op8_quality_rules,
     decontamination.op10_decontamination,
 )}
