@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concord.llm import (
+    bpe,
     decontamination,
     jaccard_join,
     quality_rules,
@@ -13,6 +14,7 @@ from concord.llm.oracle import ORACLE_SQL
 QUERIES = {f.__name__: f for f in (
     jaccard_join.op2_ngram_jaccard_join,
     suffix_dedup.op3_suffix_array_dedup,
+    bpe.op7_byte_bpe,
     quality_rules.op8_quality_rules,
     decontamination.op10_decontamination,
 )}
