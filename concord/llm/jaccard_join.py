@@ -236,7 +236,7 @@ class Grouper:
             if j > i:
                 k = j - i
                 yield _pair_rows(STAR, np.full(k, self.pivot[2]), cls[i:j],
-                                 np.full(k, self.pivot[1]), n[i:j], np.zeros(k))
+                                 np.full(k, self.pivot[1]), n[i:j], np.ones(k))
                 i = j
             if i < len(n):
                 self.pivot = (sig[0], n[i], cls[i])
@@ -304,7 +304,7 @@ def grouped(signatures: DataFrame, group: int = GROUP) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
-    """(cls, n, grams) of the given classes, from one document of each."""
+    """(cls, n, grams) of the given classes, from the documents with one id of each."""
     carriers = (members.join(classes, "cls", "left_semi").groupBy("cls")
                 .agg(F.min("doc_id").alias("id")).select("id").distinct())
 
@@ -322,7 +322,7 @@ def sets_of(docs: DataFrame, members: DataFrame, classes: DataFrame) -> DataFram
     found = docs.join(broadcast_if_small(carriers.withColumnRenamed("id", "doc_id")), "doc_id",
                       "left_semi")
     sets = found.mapInArrow(run, "cls long, n int, grams array<long>")
-    return written(sets.join(classes, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+    return written(sets, "sets")
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -386,11 +386,11 @@ def second_pass_rows(sets: DataFrame) -> DataFrame:
 
 def second_pass(sets: DataFrame, probing: DataFrame) -> DataFrame:
     """Candidate pairs (a, b) of the probing classes by cost-based allotment."""
-    rows = written(second_pass_rows(sets), "index")
+    rows = second_pass_rows(sets).select("sig", "cls", "n", "unit")
     lists = rows.groupBy("sig").agg(
         F.sum((F.col("unit") == 1).cast("long")).alias("equal"),
         F.sum((F.col("unit") == 2).cast("long")).alias("less"))
-    mine = rows.join(probing, "cls", "left_semi")
+    mine = second_pass_rows(sets.join(probing, "cls", "left_semi"))
     is_segment = F.col("unit") == 1
     cost = (mine.join(lists, "sig").groupBy("cls", "n", "lower", "need", "seg", "size").agg(
         F.sum(F.when(is_segment, F.col("equal")).otherwise(0)).alias("one"),
@@ -432,20 +432,24 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return pd.Series(least_shared(na.to_numpy().astype(np.int64),
                                       nb.to_numpy().astype(np.int64)), dtype="int32")
 
-    pairs = (g.filter(F.col("kind") == PAIR).groupBy("a", "b", "na", "nb")
-             .agg(F.sum("x").alias("shared"))
-             .join(held.select(F.col("cls").alias("a"), F.col("held").alias("ha")), "a", "left")
+    both = (g.filter(F.col("kind").isin(PAIR, STAR)).filter("a <> b")
+            .groupBy("a", "b", "na", "nb")
+            .agg(F.sum(F.when(F.col("kind") == PAIR, F.col("x")).otherwise(0)).alias("shared"),
+                 F.sum(F.when(F.col("kind") == STAR, F.col("x")).otherwise(0)).alias("starred"))
+            .withColumn("least", least("na", "nb")))
+    # equal segments are those of small groups and at most those held back in large ones;
+    # a star is only worth its reading when it shows enough equal segments itself
+    unseen = F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))
+    pairs = (both.join(held.select(F.col("cls").alias("a"), F.col("held").alias("ha")), "a", "left")
              .join(held.select(F.col("cls").alias("b"), F.col("held").alias("hb")), "b", "left")
-             .filter(F.col("shared") + F.coalesce(F.least(F.coalesce("ha", F.lit(0)),
-                                                          F.coalesce("hb", F.lit(0))), F.lit(0))
-                     >= least("na", "nb")).select("a", "b", "shared"))
+             .filter((F.col("shared") + F.col("starred") >= F.col("least"))
+                     | ((F.col("shared") > 0) & (F.col("shared") + unseen >= F.col("least"))))
+             .select("a", "b", (F.col("shared") + F.col("starred")).alias("shared")))
     pairs = written(pairs, "pairs")
-    star = g.filter(F.col("kind") == STAR).filter("a <> b").select("a", "b").distinct()
-    classes = (pairs.select(F.explode(F.array("a", "b")).alias("cls"))
-               .union(star.select(F.explode(F.array("a", "b")).alias("cls"))).distinct())
+    classes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     sets = sets_of(known, members, classes)
     best = pairs.groupBy("b").agg(F.max_by("a", "shared").alias("a")).select("a", "b")
-    links = written(linked(best.union(star), sets), "links")
+    links = written(linked(best, sets), "links")
     labels = components(links)
     more = written(linked(across(pairs, labels), sets), "links")
     if more.limit(1).count():
@@ -467,10 +471,17 @@ def _finish_large(docs, members, large, links, labels):
     probing = written(probing, "probing")
     if probing.limit(1).count() == 0:
         return links, labels
-    touched = left.join(left.join(probing, "cls", "left_semi").select("sig").distinct(), "sig",
-                        "left_semi").select("cls").distinct()
+    # a lost partner is of fitting size and shares more open segments than the spares of
+    # the probing class, which has at least 3/4 of its size
+    sizes = (left.join(probing, "cls", "left_semi").groupBy("sig")
+             .agg(F.min("n").alias("lo"), F.max("n").alias("hi")))
+    touched = (left.join(sizes, "sig").filter("4 * n >= 3 * lo AND 3 * n <= 4 * hi")
+               .groupBy("cls", "n").count()
+               .filter("count >= IF(n < 6, 1, 3 + (3 * n div 4) div 40)").select("cls"))
+    touched = written(touched, "touched")
     sets = sets_of(docs, members, touched)
-    found = written(linked(across(second_pass(sets, probing), labels), sets), "links")
+    pairs = written(across(second_pass(sets, probing), labels), "pairs")
+    found = written(linked(pairs, sets), "links")
     if found.limit(1).count() == 0:
         return links, labels
     links = written(links.union(found), "links")

@@ -7,6 +7,7 @@ from concord.llm import (
     decontamination,
     jaccard_join,
     quality_rules,
+    sharding,
     suffix_dedup,
 )
 from concord.llm.oracle import ORACLE_SQL
@@ -14,6 +15,7 @@ from concord.llm.oracle import ORACLE_SQL
 QUERIES = {f.__name__: f for f in (
     jaccard_join.op2_ngram_jaccard_join,
     suffix_dedup.op3_suffix_array_dedup,
+    sharding.op4_min_cost_flow_sharding,
     bpe.op7_byte_bpe,
     quality_rules.op8_quality_rules,
     decontamination.op10_decontamination,
