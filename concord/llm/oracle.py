@@ -49,5 +49,61 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
 FROM d LEFT JOIN n USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_ngram_jaccard_join": OP2,
+#: CRC-32 by bytes: a table by recursion, folded over the hexadecimal digits of the text.
+_CRC_TABLE = """
+t(n, k, c) AS (
+  SELECT n, 0, n FROM range(256) r(n)
+  UNION ALL
+  SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+  FROM t WHERE k < 8),
+tab AS (SELECT list(c ORDER BY n) AS tab FROM t WHERE k = 8)"""
+
+
+def _crc(col: str) -> str:
+    digits = (f"list_transform(regexp_extract_all(hex(encode(coalesce({col}, ''))), '..'), "
+              "lambda x: ('0x' || x)::BIGINT)")
+    return (f"xor(list_reduce({digits}, lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]), "
+            "4294967295::BIGINT), 4294967295)")
+
+
+OP4 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
+             {_crc('text')} AS crc, ({_crc('source')} % 12)::INT AS old
+      FROM documents, tab),
+n AS (SELECT k, count(old) AS n FROM range(16) s(k) LEFT JOIN r ON old = k GROUP BY k),
+b AS (SELECT sum(n)::BIGINT // 16 AS base, sum(n)::BIGINT % 16 AS extra FROM n),
+by_size AS (SELECT *, row_number() OVER (PARTITION BY old ORDER BY size, doc_id, crc) AS rk FROM r),
+over AS (SELECT k, row_number() OVER (ORDER BY size DESC, k) AS pick
+         FROM n JOIN by_size ON old = k, b WHERE n.n > base AND rk = n.n - base),
+rest AS (SELECT k, row_number() OVER (ORDER BY k) + (SELECT count(*) FROM over) AS pick
+         FROM n, b WHERE n.n <= base),
+want AS (SELECT n.k, n.n, base + (pick <= extra)::INT AS want
+         FROM n JOIN (SELECT * FROM over UNION ALL SELECT * FROM rest) USING (k), b),
+room AS (SELECT k, sum(greatest(want - n, 0)) OVER (ORDER BY k) AS upto,
+                greatest(want - n, 0) AS room FROM want),
+going AS (SELECT by_size.*, row_number() OVER (ORDER BY old, doc_id, crc, size) - 1 AS i
+          FROM by_size JOIN want ON old = k WHERE rk <= n - want),
+placed AS (
+  SELECT doc_id, size, crc, k AS shard FROM going JOIN room ON i < upto AND i >= upto - room
+  UNION ALL
+  SELECT doc_id, size, crc, old FROM by_size JOIN want ON old = k WHERE rk > n - want)
+SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, shard::INT AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id, crc, size) - 1 AS slot,
+       NULL::INT AS grown_shard
+FROM placed
+"""
+
+OP5 = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS n,
+                  sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (digest)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_min_cost_flow_sharding": OP4, "op5_warc_splittable": OP5,
+                              "op2_ngram_jaccard_join": OP2,
                               "op10_decontamination": OP10}

@@ -9,6 +9,7 @@ from concord.llm import (
     quality_rules,
     sharding,
     suffix_dedup,
+    warc,
 )
 from concord.llm.oracle import ORACLE_SQL
 
@@ -16,6 +17,7 @@ QUERIES = {f.__name__: f for f in (
     jaccard_join.op2_ngram_jaccard_join,
     suffix_dedup.op3_suffix_array_dedup,
     sharding.op4_min_cost_flow_sharding,
+    warc.op5_warc_splittable,
     bpe.op7_byte_bpe,
     quality_rules.op8_quality_rules,
     decontamination.op10_decontamination,
