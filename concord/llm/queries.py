@@ -4,23 +4,31 @@ from __future__ import annotations
 
 from concord.llm import (
     bpe,
+    cross_entropy,
     decontamination,
     jaccard_join,
+    license_scan,
+    oracle,
+    quality_classifier,
     quality_rules,
     sharding,
     suffix_dedup,
     warc,
 )
-from concord.llm.oracle import ORACLE_SQL
 
 QUERIES = {f.__name__: f for f in (
+    quality_classifier.op1_quality_classifier,
     jaccard_join.op2_ngram_jaccard_join,
     suffix_dedup.op3_suffix_array_dedup,
     sharding.op4_min_cost_flow_sharding,
     warc.op5_warc_splittable,
+    cross_entropy.op6_cross_entropy_difference,
     bpe.op7_byte_bpe,
     quality_rules.op8_quality_rules,
+    license_scan.op9_license_scan,
     decontamination.op10_decontamination,
 )}
 
+ORACLE_SQL = {**oracle.ORACLE_SQL, "op9_license_scan": license_scan.oracle()}
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
