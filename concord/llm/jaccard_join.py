@@ -15,8 +15,9 @@ has emitted it too. A set close above a band edge also emits for the band below.
 Signatures are grouped by one sort. Groups of at most ``GROUP`` classes give
 all their pairs, with the number of shared segments, and a pair that shares
 fewer than the pigeonhole bound is dropped before any text is read. Larger
-groups give a star per size step. Surviving pairs are verified exactly, first
-one pair per class, then those whose ends are still in different components.
+groups give stars around the class that is in most large groups. Surviving
+pairs are verified exactly, first one pair per class, then those whose ends are
+still in different components.
 
 Large groups that still span components are left to a second pass over only
 the classes that have more such segments than spares: all their segments and
@@ -91,10 +92,6 @@ def spare(n):
     return np.where(n < EDGES[1], np.minimum(2, n - needed(n, False)), 2 + n // 40)
 
 
-#: The same in SQL, for a column n.
-SPARE = (f"IF(n < {EDGES[1]}, least(2, n - ((n + 4 * n div 3) div 7 + 1)), 2 + n div 40)")
-
-
 def class_hash(grams: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return K.mix(np.add.reduceat(K.mix(grams, 31), starts) ^ K.mix(n.astype(K.U64), 32), 33)
@@ -183,7 +180,7 @@ def signature_rows(docs: DataFrame) -> DataFrame:
 
 
 #: Kinds of rows that the grouping gives.
-DOCUMENT, PAIR, LARGE, STAR = 0, 1, 2, 3
+DOCUMENT, PAIR, LARGE = 0, 1, 2
 GROUPED = "kind int, a long, b long, na int, nb int, x long"
 
 
@@ -201,6 +198,35 @@ def least_shared(l, s):
     return need - differences(l, s)
 
 
+def least_shared_sql(l: str, s: str):  # noqa: E741
+    """``least_shared`` of two columns."""
+    def edge(n):
+        return "CASE " + " ".join(f"WHEN {n} >= {e} THEN {e}L" for e in EDGES[::-1]) + " END"
+
+    need = f"(({l} + 4 * {l} div 3) div 7 + 1)"
+    lower = f"(({edge(s)} - 1 + {s}) div 7 + 1)"
+    return F.expr(f"IF({edge(l)} <> {edge(s)}, least({need}, {lower}), {need}) "
+                  f"- ({l} + {s}) div 7")
+
+
+def stars(large: DataFrame, group: list[str], rank: list[str]) -> DataFrame:
+    """(a, b, shared): members of large groups with the highest of each group.
+
+    ``shared`` counts the groups in which the pair meets; pairs that show fewer
+    than the pigeonhole bound are left to the second pass.
+    """
+    ranked = large.withColumn("rank", F.struct(*rank, "cls", "n"))
+    top = ranked.groupBy(*group).agg(F.max("rank").alias("top")).select(
+        *group, F.col("top.cls").alias("p"), F.col("top.n").alias("np"))
+    met = ranked.join(top, group).filter("cls <> p AND 4 * least(n, np) >= 3 * greatest(n, np)")
+    first = (F.col("n") < F.col("np")) | ((F.col("n") == F.col("np")) & (F.col("cls") < F.col("p")))
+    pair = met.select(F.when(first, F.col("cls")).otherwise(F.col("p")).alias("a"),
+                      F.when(first, F.col("p")).otherwise(F.col("cls")).alias("b"),
+                      F.least("n", "np").alias("na"), F.greatest("n", "np").alias("nb"))
+    return (pair.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"))
+            .filter(F.col("shared") >= least_shared_sql("na", "nb")).select("a", "b", "shared"))
+
+
 class Grouper:
     """Turns rows sorted by (sig, n, cls) into pairs, with bounded memory."""
 
@@ -209,7 +235,7 @@ class Grouper:
     def __init__(self, group: int):
         self.group = group
         self.held = tuple(np.zeros(0, np.int64) for _ in range(3))
-        self.pivot = None            # of a large group that is not yet over: (sig, n, cls)
+        self.open = None  # a large group of which members went out
         self.pairs: list[tuple] = []
         self.size = 0
 
@@ -226,20 +252,9 @@ class Grouper:
             self.pairs.append((cls[i], cls[i + d], n[i], n[i + d]))
             self.size += len(i)
 
-    def star(self, sig, n, cls):
-        """A pivot for each size step of one large group, joined to what follows it."""
-        if self.pivot is None or self.pivot[0] != sig[0]:
-            self.pivot = (sig[0], n[0], cls[0])
-        i = 0
-        while i < len(n):
-            j = int(np.searchsorted(3 * n, 4 * self.pivot[1], side="right"))
-            if j > i:
-                k = j - i
-                yield _pair_rows(STAR, np.full(k, self.pivot[2]), cls[i:j],
-                                 np.full(k, self.pivot[1]), n[i:j], np.ones(k))
-                i = j
-            if i < len(n):
-                self.pivot = (sig[0], n[i], cls[i])
+    def members(self, sig, n, cls):
+        """The classes of one large group."""
+        self.open = sig[0]
         yield _pair_rows(LARGE, cls, sig, n, n, np.zeros(len(n)))
 
     def flush(self):
@@ -266,7 +281,7 @@ class Grouper:
         if cut:
             yield from self.groups(*done)
         if len(self.held[0]) > self.HOLD:
-            yield from self.star(*self.held)
+            yield from self.members(*self.held)
             self.held = tuple(x[-1:] for x in self.held)  # only to tell repeats
         if self.size > 1 << 18 or last:
             yield from self.flush()
@@ -275,14 +290,14 @@ class Grouper:
         at = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
         count = np.diff(np.append(at, len(sig)))
         large = count > self.group
-        if self.pivot is not None and self.pivot[0] == sig[0]:
+        if self.open is not None and self.open == sig[0]:
             large[0] = True
         row = np.repeat(large, count)
         some = ~row & (np.repeat(count, count) > 1)
         self.small(sig[some], n[some], cls[some])
         for k in np.flatnonzero(large):
             s = slice(at[k], at[k] + count[k])
-            yield from self.star(sig[s], n[s], cls[s])
+            yield from self.members(sig[s], n[s], cls[s])
 
 
 def grouped(signatures: DataFrame, group: int = GROUP) -> DataFrame:
@@ -426,26 +441,19 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("a").alias("cls"), F.col("na").alias("n"), F.col("b").alias("sig"))
     held = large.groupBy("cls").agg(F.count("*").alias("held"))
 
-    @F.pandas_udf("int")
-    def least(na, nb):
-        import pandas as pd
-        return pd.Series(least_shared(na.to_numpy().astype(np.int64),
-                                      nb.to_numpy().astype(np.int64)), dtype="int32")
-
-    both = (g.filter(F.col("kind").isin(PAIR, STAR)).filter("a <> b")
-            .groupBy("a", "b", "na", "nb")
-            .agg(F.sum(F.when(F.col("kind") == PAIR, F.col("x")).otherwise(0)).alias("shared"),
-                 F.sum(F.when(F.col("kind") == STAR, F.col("x")).otherwise(0)).alias("starred"))
-            .withColumn("least", least("na", "nb")))
-    # equal segments are those of small groups and at most those held back in large ones;
-    # a star is only worth its reading when it shows enough equal segments itself
+    # equal segments are those of small groups and at most those held back in large ones
     unseen = F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))
-    pairs = (both.join(held.select(F.col("cls").alias("a"), F.col("held").alias("ha")), "a", "left")
+    pairs = (g.filter(F.col("kind") == PAIR).groupBy("a", "b", "na", "nb")
+             .agg(F.sum("x").alias("shared"))
+             .join(held.select(F.col("cls").alias("a"), F.col("held").alias("ha")), "a", "left")
              .join(held.select(F.col("cls").alias("b"), F.col("held").alias("hb")), "b", "left")
-             .filter((F.col("shared") + F.col("starred") >= F.col("least"))
-                     | ((F.col("shared") > 0) & (F.col("shared") + unseen >= F.col("least"))))
-             .select("a", "b", (F.col("shared") + F.col("starred")).alias("shared")))
-    pairs = written(pairs, "pairs")
+             .filter(F.col("shared") + unseen >= least_shared_sql("na", "nb"))
+             .select("a", "b", "shared"))
+    # the most central class of a large group and size step: it is in most large groups
+    large = written(large.join(held, "cls"), "large")
+    step = F.floor(F.log("n") / F.log(F.lit(1.2)))
+    hubs = stars(large.withColumn("step", step), ["sig", "step"], ["held"])
+    pairs = written(pairs.unionByName(hubs), "pairs")
     classes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     sets = sets_of(known, members, classes)
     best = pairs.groupBy("b").agg(F.max_by("a", "shared").alias("a")).select("a", "b")
@@ -455,37 +463,67 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if more.limit(1).count():
         links = written(links.union(more), "links")
         labels = components(links)
-    links, labels = _finish_large(known, members, large, links, labels)
-    return _result(rows, members, labels)
+    return _result(rows, members, _finish_large(known, members, large, links, labels))
 
 
-def _finish_large(docs, members, large, links, labels):
-    """The second pass, over large groups that still span components."""
+def _open(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of large groups that span components, with their component and its extent."""
+    extent = labels.groupBy("label").count().withColumnRenamed("count", "extent")
     tagged = (large.join(labels.withColumnRenamed("v", "cls"), "cls", "left")
               .withColumn("label", F.coalesce("label", "cls")))
-    open_ = (tagged.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-             .filter("lo <> hi").select("sig"))
-    left = written(tagged.join(open_, "sig", "left_semi").select("cls", "n", "sig"), "open")
-    # a pair is lost only if all segments it shares are open, which is more than the spares
-    probing = left.groupBy("cls", "n").count().filter(f"count > {SPARE}").select("cls")
+    spanning = (tagged.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+                .filter("lo <> hi").select("sig"))
+    return written(tagged.join(spanning, "sig", "left_semi").join(extent, "label", "left")
+                   .select("cls", "n", "sig", "held", "label",
+                           F.coalesce("extent", F.lit(1)).alias("extent")), "open")
+
+
+#: More open segments than any spares of the smaller end of a pair (sizes differ by 3/4 at most).
+LOST = "count >= IF(n < 6, 1, 3 + (3 * n div 4) div 40)"
+
+
+def _hubs(docs, members, left, labels) -> DataFrame:
+    """Links to the class of the widest component in each open group."""
+    hubs = written(across(stars(left, ["sig"], ["extent", "held"]), labels), "pairs")
+    ends = hubs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    return linked(hubs, sets_of(docs, members, ends))
+
+
+def _probed(docs, members, left, labels) -> DataFrame | None:
+    """Links found by the second pass.
+
+    Of a pair in two components the class in the smaller one probes (ties: by
+    label), so the bulk of a family of copies never does. A pair is lost only if
+    all segments it shares are open, more than the spares of the smaller end;
+    so a lost partner has fitting size and shares as many with probing classes.
+    """
+    sized = left.withColumn("rank", F.struct("extent", "label"))
+    top = sized.groupBy("sig").agg(F.max("rank").alias("top"))
+    probing = (sized.join(top, "sig").filter("rank < top").groupBy("cls", "n").count()
+               .filter(LOST).select("cls"))
     probing = written(probing, "probing")
     if probing.limit(1).count() == 0:
-        return links, labels
-    # a lost partner is of fitting size and shares more open segments than the spares of
-    # the probing class, which has at least 3/4 of its size
+        return None
     sizes = (left.join(probing, "cls", "left_semi").groupBy("sig")
              .agg(F.min("n").alias("lo"), F.max("n").alias("hi")))
     touched = (left.join(sizes, "sig").filter("4 * n >= 3 * lo AND 3 * n <= 4 * hi")
-               .groupBy("cls", "n").count()
-               .filter("count >= IF(n < 6, 1, 3 + (3 * n div 4) div 40)").select("cls"))
-    touched = written(touched, "touched")
-    sets = sets_of(docs, members, touched)
-    pairs = written(across(second_pass(sets, probing), labels), "pairs")
-    found = written(linked(pairs, sets), "links")
-    if found.limit(1).count() == 0:
-        return links, labels
-    links = written(links.union(found), "links")
-    return links, components(links)
+               .groupBy("cls", "n").count().filter(LOST).select("cls"))
+    sets = sets_of(docs, members, written(touched, "touched"))
+    return linked(written(across(second_pass(sets, probing), labels), "pairs"), sets)
+
+
+def _finish_large(docs, members, large, links, labels) -> DataFrame:
+    """Component labels after large groups that span components are searched, too."""
+    for search in (_hubs, _probed):
+        left = _open(large, labels)
+        found = search(docs, members, left, labels) if left.limit(1).count() else None
+        if found is None:
+            return labels
+        found = written(found, "links")
+        if found.limit(1).count():
+            links = written(links.union(found), "links")
+            labels = components(links)
+    return labels
 
 
 def _result(rows, members, labels) -> DataFrame:

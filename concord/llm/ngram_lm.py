@@ -98,7 +98,8 @@ def levels(counts: DataFrame, order: int) -> list[DataFrame]:
     out = [counts.select("model", "gram", F.col("n").alias("a"))]
     for k in range(order - 1, 0, -1):
         shorter = out[0].select("model", suffix(k).alias("gram"))
-        out.insert(0, shorter.groupBy("model", "gram").agg(F.count("*").alias("a")))
+        shorter = shorter.groupBy("model", "gram").agg(F.count("*").alias("a"))
+        out.insert(0, written(shorter, f"lm-{k}"))  # read three times, and by the next level
     return out
 
 
@@ -146,9 +147,7 @@ def losses(counts: DataFrame, wanted: DataFrame, order: int, vocabulary: int = 2
                 + F.coalesce("pass", F.lit(1.0)) * F.col("low")).alias("p")
         below = p.select("model", F.col("gram").alias("short"), here)
         if k < order:
-            below = below.withColumnRenamed("p", "low")
-            if k == order - 2:
-                below = written(below, "lm-level")  # the lower levels are computed once
+            below = written(below.withColumnRenamed("p", "low"), f"lm-low-{k}")
     return below.select("model", F.col("short").alias("gram"), (-F.log("p")).alias("loss"))
 
 

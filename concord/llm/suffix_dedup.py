@@ -438,9 +438,26 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                              "_doc": F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text))})
 
 
+def inner(body: np.ndarray, spans: list[int]) -> list[int]:
+    """The spans without the bytes of characters that they only hold in part."""
+    out = []
+    for a, b in zip(spans[::2], spans[1::2], strict=True):
+        while a < b and body[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(body) and body[b] & 0xC0 == 0x80:
+            b -= 1
+        if a < b:
+            out += [a, b]
+    return out
+
+
 def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        length: int = LENGTH, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """All columns of the documents with n_bytes, n_removed, n_spans and kept (binary)."""
+        length: int = LENGTH, group_bytes: int = GROUP_BYTES,
+        whole_characters: bool = False) -> DataFrame:
+    """All columns of the documents with n_bytes, n_removed, n_spans and kept (binary).
+
+    ``whole_characters``: spans shrink to whole UTF-8 characters, so kept is valid text.
+    """
     rows = keyed(docs.drop("n_bytes", "n_removed", "n_spans", "kept"), id_col, text_col)
     spans = repeated_spans(rows.select(F.col("_doc").alias("doc"), F.col("_key").alias("key"),
                                        F.col("_text").alias("text")), length, group_bytes)
@@ -459,7 +476,7 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             n, kept = [], []
             for k, spans_ in enumerate(batch.column(spans_at).to_pylist()):
                 body = data[off[k]:off[k + 1]]
-                at = spans_ or []
+                at = inner(body, spans_ or []) if whole_characters else spans_ or []
                 if at:
                     edges = [0, *at, len(body)]
                     kept.append(b"".join(body[a:b].tobytes() for a, b in

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,8 +88,11 @@ def test_nulls_and_empty(spark):
     assert J.join(empty).count() == 0
 
 
-def test_bounds():
-    import numpy as np
+def test_bounds(spark):
     n = np.arange(1, 5000)
     assert (J.needed(n, False) > J.differences(n, 4 * n // 3)).all()
+    pairs = spark.range(1, 1400).selectExpr("id AS l", "explode(sequence(id, 4 * id div 3)) AS s")
+    pairs = pairs.filter("(l + s) % 7 = 0 OR s = l").withColumn("x", J.least_shared_sql("l", "s"))
+    p = pairs.toPandas()
+    assert (J.least_shared(p.l.to_numpy(), p.s.to_numpy()) == p.x).all()
     assert (J.least_shared(n, n) >= 1).all() and (J.least_shared(n, 4 * n // 3) >= 1).all()
