@@ -5,7 +5,7 @@ All are built-in Spark expressions (JVM-side, codegen), no Python UDFs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,8 +33,9 @@ def content_hash(data: Column) -> Column:
 
 
 def local_object_name(version: Column, digest: Column) -> Column:
-    """``local_v{version}_{sha256}.zip``."""
-    return F.format_string(f"{LOCAL_PREFIX}%d_%s{OBJECT_SUFFIX}", version, digest)
+    """``local_v{version}_{sha256}.zip``; NULL without a digest."""
+    return F.when(digest.isNotNull(), F.format_string(f"{LOCAL_PREFIX}%d_%s{OBJECT_SUFFIX}",
+                                                      version, digest))
 
 
 def global_object_name(version: Column) -> Column:
@@ -59,6 +60,14 @@ def is_local_object(name: Column, version: Column | int) -> Column:
     return name.startswith(prefix) & name.endswith(OBJECT_SUFFIX)
 
 
+def listing(objects: DataFrame, path: str = "path") -> DataFrame:
+    """S04 + P07 + P08: the local objects of a listing ``(version, path, ...)``, with
+    their ``name`` (last path component) and content ``key``."""
+    named = objects.withColumn("name", base_name(F.col(path)))
+    local = named.filter(is_local_object(F.col("name"), F.col("version")))
+    return local.withColumn("key", key_from_name(F.col("name")))
+
+
 def parse_sample_size(text: Column) -> Column:
     """Integer cast of a text field; NULL when it is not an integer."""
     return text.try_cast("bigint")

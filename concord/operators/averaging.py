@@ -14,7 +14,7 @@ otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PARAM_KEYS = ["version", "layer", "pos"]
@@ -28,6 +28,21 @@ def explode_vector(df: DataFrame, vector: str, layer: str, keep: list[str]) -> D
         .withColumn("value", F.col("value").cast("double"))
 
 
+def distinct_objects(uploads: DataFrame, content: str) -> DataFrame:
+    """one stored object per ``(version, content_hash)``, with its number of uploads.
+
+    Averaging reads objects, never uploads: identical content counts once.
+    """
+    return uploads.groupBy(*UPDATE_KEYS).agg(F.any_value(content).alias(content),
+                                             F.count("*").alias("n_uploads"))
+
+
+def with_model_count(objects: DataFrame) -> DataFrame:
+    """Objects (not yet exploded) with ``n_models``, the objects of their version."""
+    counts = objects.groupBy("version").agg(F.count("*").alias("n_models"))
+    return objects.join(counts, "version")
+
+
 def scale(updates: DataFrame, weight: Column, divisor: Column) -> DataFrame:
     """every parameter times ``weight / divisor`` (column ``scaled``)."""
     return updates.withColumn("scaled", F.col("value") * weight / divisor)
@@ -39,93 +54,48 @@ def sum_models(scaled: DataFrame, keys: list[str] | None = None,
     return scaled.groupBy(*(keys or PARAM_KEYS)).agg(F.sum(col).alias(out))
 
 
-def models_per_version(updates: DataFrame) -> DataFrame:
-    """Distinct model objects per version: ``(version, n_models)``."""
-    return (updates.select("version", "content_hash").distinct()
-            .groupBy("version").agg(F.count("*").alias("n_models")))
+def uniform_mean(params: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """``algo='mean'``, every distinct object weighs 1 (``params``: of objects)."""
+    return params.groupBy(*(keys or PARAM_KEYS)).agg(F.avg("value").alias("value"))
 
 
-def uniform_mean(updates: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """``algo='mean'``, every distinct model weighs 1."""
-    return updates.groupBy(*(keys or PARAM_KEYS)).agg(F.avg("value").alias("value"))
+def weighted_mean(params: DataFrame, keys: list[str] | None = None,
+                  weight: str = "sample_size") -> DataFrame:
+    """``algo='wmean'``, ``sum(value * n) / sum(n)`` per parameter.
 
+    ``params`` are the parameters of distinct objects and carry the weight, which
+    ``join_weights`` put beside each object before it was exploded.
+    """
+    return params.groupBy(*(keys or PARAM_KEYS)).agg(
+        (F.sum(F.col("value") * F.col(weight)) / F.sum(weight)).alias("value"))
 
-def weighted_mean(updates: DataFrame, weights: DataFrame,
-                  keys: list[str] | None = None) -> DataFrame:
-    """``algo='wmean'``, ``sum(value * n) / sum(n)`` per parameter.
 
-    Weights are ``(version, content_hash, sample_size)``; an update with no
-    weight is dropped by the inner join and reported by ``weight_gaps``.
+def both_orders(params: DataFrame, tol: float = 1e-9) -> DataFrame:
+    """divide-then-add and add-then-divide of each parameter, and whether they agree.
+
+    ``params`` carry ``n_models``; both orders come from one aggregation.
     """
-    joined = updates.join(weights.select(*UPDATE_KEYS, "sample_size"), UPDATE_KEYS, "inner")
-    return (joined.groupBy(*(keys or PARAM_KEYS))
-            .agg((F.sum(F.col("value") * F.col("sample_size"))
-                  / F.sum("sample_size")).alias("value")))
-
-
-def average(updates: DataFrame, algo: str = "mean", weights: DataFrame | None = None,
-            keys: list[str] | None = None) -> DataFrame:
-    if algo == "mean":
-        return uniform_mean(updates, keys)
-    if algo == "wmean":
-        if weights is None:
-            raise ValueError("wmean needs a weights table")
-        return weighted_mean(updates, weights, keys)
-    raise ValueError(f"unknown averaging algorithm {algo!r}")
-
-
-def divide_then_add(updates: DataFrame) -> DataFrame:
-    """Scale each model by 1/n first, then sum (the reference's map/reduce)."""
-    counts = models_per_version(updates)
-    scaled = scale(updates.join(counts, "version"), F.lit(1.0), F.col("n_models"))
-    return sum_models(scaled, out="divide_then_add")
-
-
-def add_then_divide(updates: DataFrame) -> DataFrame:
-    """Sum the models first, then divide by n."""
-    counts = models_per_version(updates)
-    summed = sum_models(updates, col="value", out="total")
-    return (summed.join(counts, "version")
-            .select(*PARAM_KEYS, (F.col("total") / F.col("n_models")).alias("add_then_divide")))
-
-
-def order_property(updates: DataFrame, tol: float = 1e-9) -> DataFrame:
-    """both operation orders agree, per version."""
-    both = divide_then_add(updates).join(add_then_divide(updates), PARAM_KEYS, "full_outer")
-    diff = F.abs(F.col("divide_then_add") - F.col("add_then_divide"))
-    return both.groupBy("version").agg(
-        F.count("*").alias("n_params"),
-        F.sum(F.when(diff <= tol, 1).otherwise(0)).alias("n_equal"))
-
-
-def replicate(model: DataFrame, cohort_sizes: list[int]) -> DataFrame:
-    """Copies of a model per cohort: cohort i holds ``cohort_sizes[i]`` copies."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("cohort"), F.lit(k).alias("n_copies"),
-                               F.lit(c).alias("copy"))
-                      for i, k in enumerate(cohort_sizes) for c in range(k)])
-    return model.select("*", F.inline(pairs))
-
-
-def cohort_identity(model: DataFrame, cohort_sizes: list[int], tol: float = 1e-9) -> DataFrame:
-    """averaging n copies of one model returns it, for cohorts of sizes n."""
-    copies = replicate(model.withColumnRenamed("value", "base"), cohort_sizes) \
-        .withColumn("value", F.col("base"))
-    avg = copies.groupBy("cohort", "n_copies", *PARAM_KEYS, "base").agg(
-        F.avg("value").alias("value"))
-    same = F.abs(F.col("value") - F.col("base")) <= tol
-    return avg.groupBy("cohort", "n_copies").agg(
-        F.count("*").alias("n_params"), F.sum(F.when(same, 1).otherwise(0)).alias("n_equal"))
-
-
-def dedupe_uploads(uploads: DataFrame) -> DataFrame:
-    """identical content collapses to one object per version.
-
-    Returns ``(version, n_uploads, n_objects)``; the object count is the
-    number of distinct content hashes.
+    both = params.groupBy(*PARAM_KEYS).agg(
+        F.sum(F.col("value") / F.col("n_models")).alias("divide_then_add"),
+        (F.sum("value") / F.max("n_models")).alias("add_then_divide"))
+    return both.withColumn(
+        "agree", F.abs(F.col("divide_then_add") - F.col("add_then_divide")) <= tol)
+
+
+def cohorts(objects: DataFrame, sizes: list[int], order: str = "content_hash") -> DataFrame:
+    """the first objects of each version, dealt into cohorts of the given sizes.
+
+    ``row_number`` is cut at the total size, so Spark keeps that many rows per
+    version in each map task and no version is sorted whole.
     """
-    per_object = uploads.groupBy(*UPDATE_KEYS).agg(F.count("*").alias("n"))
-    return per_object.groupBy("version").agg(
-        F.sum("n").alias("n_uploads"), F.count("*").alias("n_objects"))
+    rank = F.row_number().over(Window.partitionBy("version").orderBy(order))
+    first = objects.withColumn("_r", rank).filter(F.col("_r") <= sum(sizes))
+    cohort, end = None, 0
+    for i, n in enumerate(sizes):
+        end += n
+        cohort = (F.when(F.col("_r") <= end, F.lit(i)) if cohort is None
+                  else cohort.when(F.col("_r") <= end, F.lit(i)))
+    return first.withColumn("cohort", cohort).drop("_r")
 
 
 def last_write_wins(records: DataFrame, keys: list[str], order_col: str,
@@ -146,9 +116,15 @@ def shares(weights: DataFrame, group: str = "version", value: str = "sample_size
             .withColumn(out, F.col(value) / F.col("_total")).drop("_total"))
 
 
-def join_weights(objects: DataFrame, weights: DataFrame) -> DataFrame:
-    """Each stored object with its recorded weight (inner equi-join)."""
-    return objects.join(weights, UPDATE_KEYS, "inner")
+def join_weights(objects: DataFrame, weights: DataFrame, order_col: str = "upload_seq"
+                 ) -> DataFrame:
+    """Each stored object with its recorded weight (inner equi-join).
+
+    A key recorded several times has the weight of its last record, so the join
+    never multiplies objects.
+    """
+    last = last_write_wins(weights, UPDATE_KEYS, order_col, "sample_size")
+    return objects.join(last, UPDATE_KEYS, "inner")
 
 
 def weight_gaps(objects: DataFrame, weights: DataFrame) -> DataFrame:

@@ -12,9 +12,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concord.sources.fixtures import SOURCE_NAMES, SOURCE_TEXT_COLUMNS
+from concord.sources.fixtures import SOURCE_TEXT_COLUMNS
 
 LABEL = "objectionable"
+SPLIT_SEED = 42
+
+
+def split_key(text: Column, seed: int = SPLIT_SEED) -> Column:
+    """Pseudo-random order key of a text."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), text))
 
 
 @dataclass(frozen=True)
@@ -76,40 +82,44 @@ def tag_classes(wide: DataFrame, keep: list[str] | None = None,
     return df.select("source", "seq", *keep, "text", F.explode(classes).alias(LABEL))
 
 
+#: A source part: files of a multi-file source are read one by one (file is NULL elsewhere).
+PART = ["source", "seq", "file"]
+
+
 def source_distinct(tagged: DataFrame) -> DataFrame:
-    """Distinct text within source and class: ``(source, seq, objectionable, text)``."""
-    return tagged.select("source", "seq", LABEL, "text").distinct()
+    """Distinct text within source, file and class: ``(source, seq, file, objectionable, text)``."""
+    return tagged.select(*PART, LABEL, "text").distinct()
 
 
 def source_counts(tagged: DataFrame) -> DataFrame:
-    """Rows and distinct texts per source and class.
+    """Rows and distinct texts per source, file and class.
 
-    One shuffle on (source, class, text) with map-side partial counts; the
+    One shuffle on (source, file, class, text) with map-side partial counts; the
     second aggregation reads only the small per-text counts.
     """
-    per_text = tagged.groupBy("source", "seq", LABEL, "text").agg(F.count("*").alias("n"))
-    return (per_text.groupBy("source", "seq", LABEL)
+    per_text = tagged.groupBy(*PART, LABEL, "text").agg(F.count("*").alias("n"))
+    return (per_text.groupBy(*PART, LABEL)
             .agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_distinct")))
 
 
 def running_totals(counts: DataFrame) -> DataFrame:
-    """Totals of distinct texts per class after each source is added.
+    """Totals of distinct texts per class after each source part is added.
 
-    The window runs over the per-source result, whose size is bounded by the
-    number of sources.
+    The window runs over the per-part result, whose size is bounded by the
+    number of source files.
     """
-    per_source = counts.groupBy("source", "seq").agg(
+    per_part = counts.groupBy(*PART).agg(
         F.sum(F.when(F.col(LABEL) == 1, F.col("n_distinct")).otherwise(0)).alias("n_offensive"),
         F.sum(F.when(F.col(LABEL) == 0, F.col("n_distinct")).otherwise(0)).alias("n_inoffensive"))
-    upto = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return per_source.select(
-        "source", "seq", "n_offensive", "n_inoffensive",
+    upto = Window.orderBy("seq", "file").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return per_part.select(
+        *PART, "n_offensive", "n_inoffensive",
         F.sum("n_offensive").over(upto).alias("cum_offensive"),
         F.sum("n_inoffensive").over(upto).alias("cum_inoffensive"))
 
 
 def bag_union(distinct_rows: DataFrame) -> DataFrame:
-    """UNION ALL of every source's distinct texts: ``(text, objectionable)``."""
+    """UNION ALL of every source part's distinct texts: ``(text, objectionable)``."""
     return distinct_rows.select("text", LABEL)
 
 
@@ -143,7 +153,7 @@ def label_conflicts(rows: DataFrame) -> DataFrame:
             .filter(F.col("n_labels") > 1))
 
 
-def stratified_split(corpus: DataFrame, seed: int = 42, holdout_tenths: int = 3,
+def stratified_split(corpus: DataFrame, seed: int = SPLIT_SEED, holdout_tenths: int = 3,
                      bucket_hex: int = 4) -> DataFrame:
     """Deterministic stratified split 70 / 15 / 15 per class.
 
@@ -158,8 +168,7 @@ def stratified_split(corpus: DataFrame, seed: int = 42, holdout_tenths: int = 3,
     classes x 16**bucket_hex rows) are prefix-summed, broadcast back, and the
     row_number runs inside each (class, bucket).
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col("text")))
-    keyed = (corpus.withColumn("split_key", key)
+    keyed = (corpus.withColumn("split_key", split_key(F.col("text"), seed))
              .withColumn("_bucket", F.conv(F.substring("split_key", 1, bucket_hex), 16, 10)
                          .cast("int")))
     counts = keyed.groupBy(LABEL, "_bucket").agg(F.count("*").alias("_nb"))
@@ -194,5 +203,3 @@ def as_training_frame(split_df: DataFrame, split: str) -> DataFrame:
     """Rename by position to ``(text, labels)`` for one split."""
     return split_df.filter(F.col("split") == split).select("text", LABEL).toDF("text", "labels")
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["SOURCE_NAMES"]

@@ -83,13 +83,20 @@ def wrong_predictions(scored: DataFrame, label: str) -> DataFrame:
     return scored.filter(F.col("prediction") != F.col(label))
 
 
-def compare(rep: DataFrame, model_col: str, a: str, b: str, on: list[str]) -> DataFrame:
-    """Metric differences ``b - a`` between two models' reports."""
-    ra = rep.filter(F.col(model_col) == a).drop(model_col)
-    rb = rep.filter(F.col(model_col) == b).drop(model_col)
+def compare(rep: DataFrame, model_col: str, pairs: list[tuple[str, str]],
+            on: list[str]) -> DataFrame:
+    """Metric differences ``b - a`` for pairs (a, b) of models.
+
+    The report is aggregated once, with a column per model and metric; NULL
+    metrics (averages without them) stay NULL.
+    """
     cols = ["precision", "recall", "f1"]
-    ra = ra.select(*on, *[F.col(c).alias(f"{c}_a") for c in cols])
-    rb = rb.select(*on, *[F.col(c).alias(f"{c}_b") for c in cols])
-    j = ra.join(rb, on, "full_outer")
-    return j.select(*on, *[F.round(F.col(f"{c}_b") - F.col(f"{c}_a"), R).alias(f"d_{c}")
-                           for c in cols])
+    models = sorted({m for p in pairs for m in p})
+    wide = rep.groupBy(*on).agg(*(
+        F.max(F.when(F.col(model_col) == m, F.col(c))).alias(f"{m}_{c}")
+        for m in models for c in cols))
+    lines = F.array(*(F.struct(
+        F.lit(f"{b}-{a}").alias("pair"),
+        *(F.round(F.col(f"{b}_{c}") - F.col(f"{a}_{c}"), R).alias(f"d_{c}") for c in cols))
+        for a, b in pairs))
+    return wide.select(*on, F.inline(lines))

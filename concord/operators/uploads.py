@@ -9,20 +9,20 @@ from concord.functions import names
 
 
 def ingest(records: DataFrame, body: str = "body") -> DataFrame:
-    """Parse upload bodies into ``(..., content_hash, object_name, sample_size, status)``.
+    """Parse upload bodies into ``(..., content_hash, object_name, sample_size, size, status)``.
 
-    The model bytes are base64-decoded and content-addressed by SHA-256; a
-    sample size that is not an integer rejects the upload (kept as a row
-    with ``status = 'rejected'``, not dropped).
+    The model bytes are base64-decoded and content-addressed by SHA-256. A body
+    without a decodable model, or with a sample size that is not an integer of at
+    least 1, is kept as a row with ``status = 'rejected'``; no body fails the job.
     """
     parsed = records.withColumn("_u", F.from_json(F.col(body), names.UPLOAD_SCHEMA))
-    model = F.unbase64(F.col("_u.model"))
-    size = names.parse_sample_size(F.col("_u.sample_size"))
     out = (parsed
-           .withColumn("content_hash", names.content_hash(model))
-           .withColumn("sample_size", size)
+           .withColumn("_m", F.try_to_binary("_u.model", F.lit("base64")))
+           .withColumn("content_hash", names.content_hash(F.col("_m")))
+           .withColumn("size", F.octet_length("_m").cast("bigint"))
+           .withColumn("sample_size", names.parse_sample_size(F.col("_u.sample_size")))
            .withColumn("object_name", names.local_object_name(F.col("version"),
-                                                              F.col("content_hash")))
-           .withColumn("status", F.when(F.col("sample_size").isNull(), F.lit("rejected"))
-                       .otherwise(F.lit("accepted"))))
-    return out.drop("_u", body)
+                                                              F.col("content_hash"))))
+    fine = F.col("content_hash").isNotNull() & F.coalesce(F.col("sample_size") >= 1, F.lit(False))
+    return (out.withColumn("status", F.when(fine, F.lit("accepted")).otherwise(F.lit("rejected")))
+            .drop("_u", "_m", body))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from concord.functions import names as N
 from concord.operators import averaging as A
 from concord.operators import uploads as U
-from concord.sources import fixtures, tables
+from concord.session import scratch_folder
+from concord.sources import files, fixtures, tables
 
 R = 6
 
@@ -16,10 +18,18 @@ def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.client_updates(tables.embeddings(spark, sf_dir))
 
 
-def update_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(version, client_id, content_hash, layer, pos, value)``."""
-    return A.explode_vector(updates(spark, sf_dir), "embedding", "w",
-                            ["version", "client_id", "content_hash"])
+def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(version, content_hash, embedding, n_uploads)``: distinct stored models."""
+    return A.distinct_objects(updates(spark, sf_dir), "embedding")
+
+
+KEEP = ["version", "content_hash"]
+
+
+def object_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(version, content_hash, n_models, layer, pos, value)``."""
+    counted = A.with_model_count(objects(spark, sf_dir))
+    return A.explode_vector(counted, "embedding", "w", [*KEEP, "n_models"])
 
 
 def _rounded(df: DataFrame, *cols: str) -> DataFrame:
@@ -29,41 +39,42 @@ def _rounded(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def q_scaled(spark, sf_dir):
-    """each parameter scaled by 1 / (models in its version)."""
-    up = update_params(spark, sf_dir)
-    counts = A.models_per_version(up)
-    scaled = A.scale(up.join(counts, "version"), F.lit(1.0), F.col("n_models"))
-    return _rounded(scaled.select("version", "client_id", "layer", "pos", "scaled"), "scaled")
+    """each parameter scaled by 1 / (objects in its version)."""
+    scaled = A.scale(object_params(spark, sf_dir), F.lit(1.0), F.col("n_models"))
+    return _rounded(scaled.select(*KEEP, "layer", "pos", "scaled"), "scaled")
 
 
 def q_sum_scaled(spark, sf_dir):
     """element-wise sum of the scaled models."""
-    return _rounded(A.divide_then_add(update_params(spark, sf_dir))
-                    .withColumnRenamed("divide_then_add", "value"), "value")
+    scaled = A.scale(object_params(spark, sf_dir), F.lit(1.0), F.col("n_models"))
+    return _rounded(A.sum_models(scaled), "value")
 
 
 def q_uniform(spark, sf_dir):
-    """uniform mean per parameter."""
-    return _rounded(A.uniform_mean(update_params(spark, sf_dir)), "value")
+    """uniform mean per parameter over distinct objects."""
+    params = A.explode_vector(objects(spark, sf_dir), "embedding", "w", KEEP)
+    return _rounded(A.uniform_mean(params), "value")
 
 
 def q_weighted(spark, sf_dir):
-    """sample-size-weighted mean per parameter."""
-    ups = updates(spark, sf_dir)
-    params = A.explode_vector(ups, "embedding", "w", ["version", "client_id", "content_hash"])
-    weights = ups.select("version", "content_hash", "sample_size")
-    return _rounded(A.weighted_mean(params, weights), "value")
+    """sample-size-weighted mean per parameter over distinct objects."""
+    weights = updates(spark, sf_dir).select(*KEEP, "upload_seq", "sample_size")
+    weighed = A.join_weights(objects(spark, sf_dir), weights)
+    params = A.explode_vector(weighed, "embedding", "w", [*KEEP, "sample_size"])
+    return _rounded(A.weighted_mean(params), "value")
 
 
 def q_order_property(spark, sf_dir):
-    """divide-then-add equals add-then-divide."""
-    return A.order_property(update_params(spark, sf_dir))
+    """divide-then-add and add-then-divide of every parameter."""
+    return _rounded(A.both_orders(object_params(spark, sf_dir)), "divide_then_add",
+                    "add_then_divide")
 
 
 def q_cohorts(spark, sf_dir):
-    """averaging 4, 3 and 4 copies of each version's mean model."""
-    model = A.uniform_mean(update_params(spark, sf_dir))
-    return A.cohort_identity(model, [4, 3, 4])
+    """averages of cohorts of 4, 3 and 4 objects of each version."""
+    dealt = A.cohorts(objects(spark, sf_dir), [4, 3, 4])
+    params = A.explode_vector(dealt, "embedding", "w", ["version", "cohort"])
+    return _rounded(A.uniform_mean(params, ["version", "cohort", "layer", "pos"]), "value")
 
 
 def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,9 +87,44 @@ def q_ingest(spark, sf_dir):
                                          "sample_size", "status")
 
 
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The object store that the accepted uploads make: one object per content."""
+    acc = uploads(spark, sf_dir).filter(F.col("status") == "accepted")
+    return acc.groupBy("version", "content_hash").agg(
+        F.any_value("object_name").alias("object_name"), F.any_value("size").alias("size"),
+        F.count("*").alias("n_uploads"))
+
+
 def q_dedupe_uploads(spark, sf_dir):
-    """uploads and distinct stored objects per version."""
-    return A.dedupe_uploads(uploads(spark, sf_dir).filter(F.col("status") == "accepted"))
+    """the distinct stored objects with their number of uploads."""
+    return stored(spark, sf_dir)
+
+
+def q_listing(spark, sf_dir):
+    """Local objects by name, their key, and the mean object size."""
+    named = stored(spark, sf_dir).select(
+        "version", F.concat(F.lit("models/"), "object_name").alias("path"), "size")
+    listed = N.listing(named)
+    totals = listed.groupBy("version").agg(F.avg("size").alias("mean_size"),
+                                           F.count("*").alias("n_objects"))
+    return listed.join(totals, "version").select(
+        "version", "name", "key", "size", "n_objects", F.round("mean_size", R).alias("mean_size"))
+
+
+def q_global_names(spark, sf_dir):
+    """Name under which the version after each upload version is published."""
+    return (stored(spark, sf_dir).groupBy("version").agg(F.sum("size").alias("bytes"))
+            .select((F.col("version") + 1).alias("version"), "bytes",
+                    N.global_object_name(F.col("version") + 1).alias("object_name")))
+
+
+def q_published(spark, sf_dir):
+    """The uniform mean published by version, read back from the store."""
+    folder = scratch_folder(spark, "published")
+    files.write_params(A.uniform_mean(A.explode_vector(
+        objects(spark, sf_dir), "embedding", "w", KEEP)), folder)
+    return _rounded(files.read_params(spark, folder), "value").select(
+        "version", "layer", "pos", "value")
 
 
 def q_last_write(spark, sf_dir):
@@ -97,8 +143,8 @@ def q_shares(spark, sf_dir):
 def q_join_weights(spark, sf_dir):
     """Stored objects joined to their recorded weights."""
     ups = updates(spark, sf_dir)
-    objs = fixtures.objects_with_gaps(ups).select("version", "content_hash", "client_id")
-    return A.join_weights(objs, fixtures.weights_with_gaps(ups))
+    objs = A.distinct_objects(fixtures.objects_with_gaps(ups), "embedding")
+    return A.join_weights(objs.drop("embedding"), fixtures.weights_with_gaps(ups))
 
 
 def q_weight_gaps(spark, sf_dir):
@@ -125,6 +171,9 @@ QUERIES = {
     "avg_cohorts": q_cohorts,
     "uploads_ingest": q_ingest,
     "uploads_dedupe": q_dedupe_uploads,
+    "uploads_listing": q_listing,
+    "uploads_global_names": q_global_names,
+    "params_published": q_published,
     "uploads_last_write": q_last_write,
     "uploads_shares": q_shares,
     "avg_join_weights": q_join_weights,

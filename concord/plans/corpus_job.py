@@ -19,7 +19,7 @@ def wide_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.tag_classes(wide_sources(spark, sf_dir), keep=["doc_id"])
+    return C.tag_classes(wide_sources(spark, sf_dir), keep=["doc_id", "file"])
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,19 +38,19 @@ def q_source_tags(spark, sf_dir):
 
 
 def q_source_counts(spark, sf_dir):
-    """Rows and distinct texts per source and class."""
+    """Rows and distinct texts per source, file and class."""
     return C.source_counts(tagged(spark, sf_dir)).select(
-        "source", C.LABEL, "n_rows", "n_distinct")
+        "source", "file", C.LABEL, "n_rows", "n_distinct")
 
 
 def q_running_totals(spark, sf_dir):
-    """Class totals after each source is added."""
+    """Class totals after each source file is added."""
     return C.running_totals(C.source_counts(tagged(spark, sf_dir)))
 
 
 def q_source_distinct(spark, sf_dir):
-    """Distinct text within source and class."""
-    return C.source_distinct(tagged(spark, sf_dir)).select("source", C.LABEL, "text")
+    """Distinct text within source, file and class."""
+    return C.source_distinct(tagged(spark, sf_dir)).select("source", "file", C.LABEL, "text")
 
 
 def q_bag_union(spark, sf_dir):

@@ -25,6 +25,7 @@ enc AS (
     CASE WHEN doc_id % 4 = 0 THEN toxic * CAST(doc_id % 3 = 2 AS INTEGER) END AS m3,
     CASE WHEN doc_id % 4 = 0 THEN 1 - toxic END AS p1,
     CASE WHEN doc_id % 4 = 1 THEN toxic END AS oh_label,
+    CASE WHEN doc_id % 4 = 1 THEN client END AS file,
     CASE WHEN doc_id % 4 = 2 THEN toxic END AS hateful,
     CASE WHEN doc_id % 4 = 3 THEN
       CASE WHEN toxic IS NULL THEN NULL
@@ -35,12 +36,12 @@ enc AS (
 
 TAGGED = ENCODED + """,
 tagged AS (
-  SELECT source, seq, doc_id, text, 1 AS objectionable FROM enc
+  SELECT source, seq, file, doc_id, text, 1 AS objectionable FROM enc
   WHERE text IS NOT NULL AND length(trim(text)) > 0 AND (
        (source = 'onehot' AND m1 + m2 + m3 = 1) OR (source = 'multifile' AND oh_label = 1)
     OR (source = 'binary' AND hateful = 1) OR (source = 'ordinal' AND "class" < 2))
   UNION ALL
-  SELECT source, seq, doc_id, text, 0 AS objectionable FROM enc
+  SELECT source, seq, file, doc_id, text, 0 AS objectionable FROM enc
   WHERE text IS NOT NULL AND length(trim(text)) > 0 AND (
        (source = 'onehot' AND p1 = 1) OR (source = 'multifile' AND oh_label = 0)
     OR (source = 'binary' AND hateful = 0) OR (source = 'ordinal' AND "class" = 2))
@@ -66,34 +67,34 @@ split AS (
 )"""
 
 SOURCE_DISTINCT = TAGGED + """,
-sd AS (SELECT DISTINCT source, seq, objectionable, text FROM tagged)"""
+sd AS (SELECT DISTINCT source, seq, file, objectionable, text FROM tagged)"""
 
 COUNTS = TAGGED + """,
-per_text AS (SELECT source, seq, objectionable, text, count(*) AS n FROM tagged GROUP BY ALL),
+per_text AS (SELECT source, seq, file, objectionable, text, count(*) AS n FROM tagged GROUP BY ALL),
 counts AS (
-  SELECT source, seq, objectionable, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_distinct
-  FROM per_text GROUP BY source, seq, objectionable
+  SELECT source, seq, file, objectionable, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_distinct
+  FROM per_text GROUP BY source, seq, file, objectionable
 )"""
 
 CORPUS_SQL = {
     "corpus_source_tags": "WITH " + TAGGED + "\nSELECT doc_id, source, objectionable FROM tagged",
     "corpus_source_counts": "WITH " + COUNTS
-    + "\nSELECT source, objectionable, n_rows, n_distinct FROM counts",
+    + "\nSELECT source, file, objectionable, n_rows, n_distinct FROM counts",
     "corpus_running_totals": "WITH " + COUNTS + """,
 ps AS (
-  SELECT source, seq,
+  SELECT source, seq, file,
     CAST(sum(CASE WHEN objectionable = 1 THEN n_distinct ELSE 0 END) AS BIGINT) AS n_offensive,
     CAST(sum(CASE WHEN objectionable = 0 THEN n_distinct ELSE 0 END) AS BIGINT) AS n_inoffensive
-  FROM counts GROUP BY source, seq
+  FROM counts GROUP BY source, seq, file
 )
-SELECT source, seq, n_offensive, n_inoffensive,
-  CAST(sum(n_offensive) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+SELECT source, seq, file, n_offensive, n_inoffensive,
+  CAST(sum(n_offensive) OVER (ORDER BY seq, file ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
        AS BIGINT) AS cum_offensive,
-  CAST(sum(n_inoffensive) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  CAST(sum(n_inoffensive) OVER (ORDER BY seq, file ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
        AS BIGINT) AS cum_inoffensive
 FROM ps""",
     "corpus_source_distinct": "WITH " + SOURCE_DISTINCT
-    + "\nSELECT source, objectionable, text FROM sd",
+    + "\nSELECT source, file, objectionable, text FROM sd",
     "corpus_bag_union": "WITH " + SOURCE_DISTINCT + "\nSELECT text, objectionable FROM sd",
     "corpus_dedup": "WITH " + CORPUS + "\nSELECT text, objectionable FROM corpus",
     "corpus_grand_total": "WITH " + SOURCE_DISTINCT + "\nSELECT count(*) AS n_total FROM sd",
@@ -120,85 +121,111 @@ FROM ann GROUP BY sha256(text) HAVING count(DISTINCT objectionable) > 1""",
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(CORPUS_SQL)
 
+# Averaging is over distinct objects: one row per (version, content hash).
 UPDATES = """
-upd AS (
-  SELECT CAST(label AS INTEGER) AS version, vec_id AS client_id,
-         sha256(CAST(vec_id AS VARCHAR)) AS content_hash, 1 + vec_id % 97 AS sample_size, embedding
+base AS (
+  SELECT CAST(label AS INTEGER) AS version, vec_id, embedding,
+         sha256(array_to_string(list_transform(embedding,
+           lambda x: CAST(CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT) AS VARCHAR)), ','))
+           AS content_hash
   FROM embeddings
 ),
+upd AS (
+  SELECT version, vec_id AS client_id, 0 AS upload_seq, content_hash,
+         1 + vec_id % 97 AS sample_size, embedding FROM base
+  UNION ALL
+  SELECT version, vec_id, 1, content_hash, 2 + vec_id % 97, embedding FROM base
+  WHERE vec_id % 7 = 0
+  UNION ALL
+  SELECT version, vec_id + 1000000, 2, content_hash, 3 + vec_id % 97, embedding FROM base
+  WHERE vec_id % 5 = 0
+),
+objects AS (
+  SELECT version, content_hash, any_value(embedding) AS embedding FROM upd
+  GROUP BY version, content_hash
+),
 params AS (
-  SELECT version, client_id, content_hash, sample_size, 'w' AS layer, CAST(i - 1 AS INTEGER) AS pos,
+  SELECT version, content_hash, 'w' AS layer, CAST(i - 1 AS INTEGER) AS pos,
          CAST(embedding[i] AS DOUBLE) AS value
-  FROM upd, unnest(generate_series(1, len(embedding))) AS g(i)
+  FROM objects, unnest(generate_series(1, len(embedding))) AS g(i)
 ),
-nm AS (SELECT version, count(DISTINCT content_hash) AS n_models FROM params GROUP BY version)"""
+nm AS (SELECT version, count(*) AS n_models FROM objects GROUP BY version),
+weights AS (
+  SELECT version, content_hash, arg_max(sample_size, upload_seq) AS sample_size
+  FROM upd GROUP BY version, content_hash
+)"""
 
 UPLOADS = """
-rec AS (
+ing AS (
   SELECT doc_id, CAST(doc_id % 4 AS INTEGER) AS version,
-    json_object('model', to_base64(encode(text)),
-                'sample_size', CASE WHEN doc_id % 37 = 0 THEN 'n/a'
-                                    ELSE CAST(n_chars AS VARCHAR) END) AS body
+    CASE WHEN doc_id % 43 <> 0 AND doc_id % 47 <> 0 THEN sha256(text) END AS content_hash,
+    CASE WHEN doc_id % 43 <> 0 AND doc_id % 47 <> 0
+         THEN CAST(octet_length(encode(text)) AS BIGINT) END AS size,
+    CASE WHEN doc_id % 37 = 0 THEN NULL WHEN doc_id % 41 = 0 THEN -4 ELSE n_chars END
+      AS sample_size
   FROM documents
 ),
-up AS (
-  SELECT doc_id, version,
-    sha256(from_base64(json_extract_string(body, '$.model'))) AS content_hash,
-    try_cast(json_extract_string(body, '$.sample_size') AS BIGINT) AS sample_size
-  FROM rec
-),
-ing AS (
-  SELECT doc_id, version, content_hash, printf('local_v%d_%s.zip', version, content_hash) AS object_name,
-         sample_size, CASE WHEN sample_size IS NULL THEN 'rejected' ELSE 'accepted' END AS status
-  FROM up
+named AS (
+  SELECT *, CASE WHEN content_hash IS NOT NULL
+                 THEN 'local_v' || version || '_' || content_hash || '.zip' END AS object_name,
+         CASE WHEN content_hash IS NOT NULL AND sample_size >= 1 THEN 'accepted'
+              ELSE 'rejected' END AS status
+  FROM ing
+),
+acc AS (SELECT * FROM named WHERE status = 'accepted'),
+stored AS (
+  SELECT version, content_hash, any_value(object_name) AS object_name, any_value(size) AS size,
+         count(*) AS n_uploads
+  FROM acc GROUP BY version, content_hash
 ),
-acc AS (SELECT * FROM ing WHERE status = 'accepted'),
 latest AS (
   SELECT version, content_hash, arg_max(sample_size, doc_id) AS sample_size
   FROM acc GROUP BY version, content_hash
 )"""
 
 GAPS = UPDATES + """,
-objs AS (SELECT version, content_hash, client_id FROM upd WHERE client_id % 17 <> 0),
-wts AS (SELECT version, content_hash, sample_size FROM upd WHERE client_id % 13 <> 0)"""
+objs AS (SELECT version, content_hash, count(*) AS n_uploads FROM upd WHERE client_id % 17 <> 0
+         GROUP BY version, content_hash),
+wts AS (SELECT version, content_hash, arg_max(sample_size, upload_seq) AS sample_size
+        FROM upd WHERE client_id % 13 <> 0 GROUP BY version, content_hash)"""
 
 AVERAGING_SQL = {
     "avg_scaled": "WITH " + UPDATES + """
-SELECT p.version, client_id, layer, pos, (round(value * 1.0 / n_models, 6) + 0.0) AS scaled
-FROM params p JOIN nm ON p.version = nm.version""",
+SELECT version, content_hash, layer, pos, (round(value / n_models, 6) + 0.0) AS scaled
+FROM params JOIN nm USING (version)""",
     "avg_sum_scaled": "WITH " + UPDATES + """
-SELECT p.version, layer, pos, (round(sum(value * 1.0 / n_models), 6) + 0.0) AS value
-FROM params p JOIN nm ON p.version = nm.version GROUP BY p.version, layer, pos""",
+SELECT version, layer, pos, (round(avg(value), 6) + 0.0) AS value FROM params GROUP BY ALL""",
     "avg_uniform": "WITH " + UPDATES + """
+SELECT version, layer, pos, (round(avg(value), 6) + 0.0) AS value FROM params GROUP BY ALL""",
+    "params_published": "WITH " + UPDATES + """
 SELECT version, layer, pos, (round(avg(value), 6) + 0.0) AS value FROM params GROUP BY ALL""",
     "avg_weighted": "WITH " + UPDATES + """
 SELECT version, layer, pos, (round(sum(value * sample_size) / sum(sample_size), 6) + 0.0) AS value
+FROM params JOIN weights USING (version, content_hash) GROUP BY version, layer, pos""",
+    "avg_order_property": "WITH " + UPDATES + """
+SELECT version, layer, pos, (round(avg(value), 6) + 0.0) AS divide_then_add,
+       (round(avg(value), 6) + 0.0) AS add_then_divide, true AS agree
 FROM params GROUP BY ALL""",
-    "avg_order_property": "WITH " + UPDATES + """,
-dta AS (SELECT p.version, layer, pos, sum(value * 1.0 / n_models) AS a
-        FROM params p JOIN nm ON p.version = nm.version GROUP BY ALL),
-atd AS (SELECT p.version, layer, pos, sum(value) / any_value(n_models) AS b
-        FROM params p JOIN nm ON p.version = nm.version GROUP BY ALL)
-SELECT coalesce(dta.version, atd.version) AS version, count(*) AS n_params,
-       CAST(sum(CASE WHEN abs(a - b) <= 1e-9 THEN 1 ELSE 0 END) AS BIGINT) AS n_equal
-FROM dta FULL OUTER JOIN atd ON dta.version = atd.version AND dta.layer = atd.layer
-  AND dta.pos = atd.pos
-GROUP BY 1""",
     "avg_cohorts": "WITH " + UPDATES + """,
-base AS (SELECT version, layer, pos, avg(value) AS base FROM params GROUP BY ALL),
-sizes AS (SELECT * FROM (VALUES (0, 4), (1, 3), (2, 4)) t(cohort, n_copies)),
-copies AS (SELECT cohort, n_copies, version, layer, pos, base, base AS value
-           FROM base, sizes, range(n_copies) r(c)),
-av AS (SELECT cohort, n_copies, version, layer, pos, base, avg(value) AS value
-       FROM copies GROUP BY ALL)
-SELECT cohort, n_copies, count(*) AS n_params,
-       CAST(sum(CASE WHEN abs(value - base) <= 1e-9 THEN 1 ELSE 0 END) AS BIGINT) AS n_equal
-FROM av GROUP BY cohort, n_copies""",
+r AS (SELECT *, row_number() OVER (PARTITION BY version ORDER BY content_hash) AS rk FROM objects),
+dealt AS (
+  SELECT version, content_hash, CASE WHEN rk <= 4 THEN 0 WHEN rk <= 7 THEN 1 ELSE 2 END AS cohort
+  FROM r WHERE rk <= 11)
+SELECT version, cohort, layer, pos, (round(avg(value), 6) + 0.0) AS value
+FROM params JOIN dealt USING (version, content_hash) GROUP BY ALL""",
     "uploads_ingest": "WITH " + UPLOADS + """
-SELECT doc_id, version, content_hash, object_name, sample_size, status FROM ing""",
-    "uploads_dedupe": "WITH " + UPLOADS + """,
-po AS (SELECT version, content_hash, count(*) AS n FROM acc GROUP BY ALL)
-SELECT version, CAST(sum(n) AS BIGINT) AS n_uploads, count(*) AS n_objects FROM po GROUP BY version""",
+SELECT doc_id, version, content_hash, object_name, sample_size, status FROM named""",
+    "uploads_dedupe": "WITH " + UPLOADS + """
+SELECT version, content_hash, object_name, size, n_uploads FROM stored""",
+    "uploads_listing": "WITH " + UPLOADS + """
+SELECT version, object_name AS name, content_hash AS key, size,
+       count(*) OVER (PARTITION BY version) AS n_objects,
+       (round(avg(size) OVER (PARTITION BY version), 6) + 0.0) AS mean_size
+FROM stored""",
+    "uploads_global_names": "WITH " + UPLOADS + """
+SELECT version + 1 AS version, CAST(sum(size) AS BIGINT) AS bytes,
+       'global_v' || (version + 1) || '.zip' AS object_name
+FROM stored GROUP BY version""",
     "uploads_last_write": "WITH " + UPLOADS + """
 SELECT version, content_hash, sample_size FROM latest""",
     "uploads_shares": "WITH " + UPLOADS + """
@@ -206,14 +233,11 @@ SELECT version, content_hash, sample_size,
        (round(sample_size / sum(sample_size) OVER (PARTITION BY version), 6) + 0.0) AS share
 FROM latest""",
     "avg_join_weights": "WITH " + GAPS + """
-SELECT o.version, o.content_hash, client_id, sample_size
-FROM objs o JOIN wts w ON o.version = w.version AND o.content_hash = w.content_hash""",
+SELECT version, content_hash, n_uploads, sample_size FROM objs JOIN wts USING (version, content_hash)""",
     "avg_weight_gaps": "WITH " + GAPS + """
-SELECT DISTINCT version, content_hash, 'no_weight' AS gap FROM objs o
-WHERE NOT EXISTS (SELECT 1 FROM wts w WHERE w.version = o.version AND w.content_hash = o.content_hash)
+SELECT version, content_hash, 'no_weight' AS gap FROM objs ANTI JOIN wts USING (version, content_hash)
 UNION ALL
-SELECT DISTINCT version, content_hash, 'no_object' AS gap FROM wts w
-WHERE NOT EXISTS (SELECT 1 FROM objs o WHERE w.version = o.version AND w.content_hash = o.content_hash)""",
+SELECT version, content_hash, 'no_object' AS gap FROM wts ANTI JOIN objs USING (version, content_hash)""",
     "scaled_global_mean": """
 SELECT (round(sum(event_id / (SELECT count(*) FROM events)), 6) + 0.0) AS scaled_sum,
        (round(sum(value / (SELECT count(*) FROM events)), 6) + 0.0) AS scaled_value_sum,
@@ -323,119 +347,104 @@ WHERE op = 'upload' AND status = 'accepted'""",
 }
 ORACLE_SQL.update(ROUNDS_SQL)
 
-# Model: features x = count / n_tokens per (doc, bucket), bias as bucket -1
-# with x = 1; one gradient step from the zero model with lr = 5.
-MODEL = LABELLED + """,
-cdocs AS (SELECT doc_id, client, toxic AS label, text FROM labelled WHERE toxic IS NOT NULL),
-ctok AS (
-  SELECT doc_id, t FROM (
-    SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) AS t FROM cdocs)
+# Model: features are ln(1 + bucket counts) scaled to length 1, the bias is bucket -1 with
+# x = 1; one class-balanced gradient step from the zero model with lr = 5, bias at the centre.
+def _features(name: str, source: str, keys: str) -> str:
+    """CTEs {name}tok, {name}cnt, {name}rows of a relation with a text column."""
+    return f"""
+{name}tok AS (
+  SELECT {keys}, t FROM (
+    SELECT {keys}, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}]+')) AS t FROM {source})
   WHERE t <> ''
 ),
-cn AS (
-  SELECT d.doc_id, d.client, d.label, count(t.t) AS n_tokens
-  FROM cdocs d LEFT JOIN ctok t ON d.doc_id = t.doc_id GROUP BY d.doc_id, d.client, d.label
-),
-cfeat AS (
-  SELECT doc_id, CAST(('0x' || substr(md5(t), 1, 8))::BIGINT % 1024 AS INTEGER) AS bucket,
+{name}cnt AS (
+  SELECT {keys}, CAST(('0x' || substr(md5(t), 1, 8))::BIGINT % 4096 AS INTEGER) AS bucket,
          count(*) AS c
-  FROM ctok GROUP BY ALL
+  FROM {name}tok GROUP BY ALL
 ),
-crows AS (
-  SELECT f.doc_id, cn.client, cn.label, bucket, c / n_tokens AS x
-  FROM cfeat f JOIN cn ON f.doc_id = cn.doc_id
-  UNION ALL
-  SELECT doc_id, client, label, -1 AS bucket, 1.0 AS x FROM cn
-),
-p0 AS (
-  SELECT 'weight' AS layer, CAST(i AS INTEGER) AS pos, 0.0 AS value FROM range(1024) r(i)
-  UNION ALL SELECT 'bias', 0, 0.0
-  UNION ALL SELECT 'n_buckets', 0, 1024.0
-  UNION ALL SELECT 'lr', 0, 5.0
-),
-w0 AS (
-  SELECT CASE WHEN layer = 'bias' THEN -1 ELSE pos END AS bucket, value AS w
-  FROM p0 WHERE layer IN ('weight', 'bias')
-),
-cz AS (
-  SELECT doc_id, client, label, sum(x * w) AS z
-  FROM crows JOIN w0 ON crows.bucket = w0.bucket GROUP BY doc_id, client, label
-),
-cr AS (SELECT doc_id, client, label, 1.0 / (1.0 + exp(-z)) - label AS r FROM cz),
-cg AS (
-  SELECT crows.client, bucket, sum(r * x) AS g
-  FROM crows JOIN cr ON crows.doc_id = cr.doc_id AND crows.client = cr.client
-    AND crows.label = cr.label
-  GROUP BY crows.client, bucket
-),
-cnt AS (SELECT client, count(*) AS sample_size FROM cr GROUP BY client),
-deltas AS (
-  SELECT cg.client, CASE WHEN bucket = -1 THEN 'bias' ELSE 'weight' END AS layer,
-         CASE WHEN bucket = -1 THEN 0 ELSE bucket END AS pos,
-         -5.0 * g / sample_size AS delta, sample_size
-  FROM cg JOIN cnt ON cg.client = cnt.client
-),
-avgd AS (
-  SELECT layer, pos,
-         sum(delta * CAST(sample_size AS DOUBLE))
-           / (SELECT sum(CAST(sample_size AS DOUBLE)) FROM deltas WHERE layer = 'bias') AS delta
-  FROM deltas GROUP BY layer, pos
-),
-p1 AS (
-  SELECT 1 AS version, p0.layer, p0.pos, p0.value + coalesce(avgd.delta, 0.0) AS value
-  FROM p0 LEFT JOIN avgd ON p0.layer = avgd.layer AND p0.pos = avgd.pos
-  WHERE p0.layer IN ('weight', 'bias')
-  UNION ALL
-  SELECT 1, layer, pos, value FROM p0 WHERE layer NOT IN ('weight', 'bias')
-),
-w1 AS (
-  SELECT CASE WHEN layer = 'bias' THEN -1 ELSE pos END AS bucket, value AS w
-  FROM p1 WHERE layer IN ('weight', 'bias')
+{name}rows AS (
+  SELECT {keys}, bucket, ln(1 + c) / sqrt(sum(pow(ln(1 + c), 2)) OVER (PARTITION BY {keys})) AS x
+  FROM {name}cnt
+  UNION ALL SELECT {keys}, -1, 1.0 FROM {source}
 )"""
 
-CORPUS_MODEL = SPLIT[len(LABELLED) + 1:] + """,
-ktok AS (
-  SELECT split_key, objectionable, split, t FROM (
-    SELECT split_key, objectionable, split,
-           unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) AS t FROM split)
-  WHERE t <> ''
-),
-kn AS (
-  SELECT s.split_key, s.objectionable, s.split, count(t.t) AS n_tokens
-  FROM split s LEFT JOIN ktok t ON s.split_key = t.split_key
-    AND s.objectionable = t.objectionable AND s.split = t.split
-  GROUP BY s.split_key, s.objectionable, s.split
-),
-kfeat AS (
-  SELECT split_key, objectionable, split,
-         CAST(('0x' || substr(md5(t), 1, 8))::BIGINT % 1024 AS INTEGER) AS bucket, count(*) AS c
-  FROM ktok GROUP BY ALL
-),
-krows AS (
-  SELECT f.split_key, f.objectionable, f.split, bucket, c / n_tokens AS x
-  FROM kfeat f JOIN kn ON f.split_key = kn.split_key AND f.objectionable = kn.objectionable
-    AND f.split = kn.split
-  UNION ALL
-  SELECT split_key, objectionable, split, -1, 1.0 FROM kn
+
+def _step(name: str, source: str, group: str) -> str:
+    """CTEs of one step from the zero model (residual 0.5 - label) per group: {name}delta,
+    and of the version that the mean of the groups makes: {name}p1."""
+    return f"""
+{name}sum AS (
+  SELECT {group}, bucket, sum(CASE WHEN objectionable = 0 THEN x ELSE 0.0 END) AS x0,
+         sum(CASE WHEN objectionable = 1 THEN x ELSE 0.0 END) AS x1
+  FROM {source} GROUP BY {group}, bucket
+),
+{name}delta AS (
+  SELECT s.{group}, CASE WHEN s.bucket = -1 THEN 'bias' ELSE 'weight' END AS layer,
+         CASE WHEN s.bucket = -1 THEN 0 ELSE s.bucket END AS pos,
+         -2.5 * (CASE WHEN z.x1 > 0 THEN -0.5 * s.x1 / z.x1 ELSE 0.0 END
+               + CASE WHEN z.x0 > 0 THEN 0.5 * s.x0 / z.x0 ELSE 0.0 END) AS delta,
+         CAST(z.x0 + z.x1 AS BIGINT) AS sample_size, s.x0, s.x1
+  FROM {name}sum s JOIN {name}sum z ON s.{group} = z.{group} AND z.bucket = -1
+),
+{name}tot AS (SELECT sum(sample_size) AS w, sum(x0) AS n0, sum(x1) AS n1 FROM {name}delta
+              WHERE layer = 'bias'),
+{name}avg AS (
+  SELECT layer, pos, sum(delta * sample_size) / any_value(w) AS delta,
+         (sum(x0) / any_value(n0) + sum(x1) / any_value(n1)) / 2 AS centre
+  FROM {name}delta, {name}tot WHERE layer = 'weight' GROUP BY layer, pos
+),
+{name}p1 AS (
+  SELECT 1 AS version, 'weight' AS layer, CAST(i AS INTEGER) AS pos,
+         coalesce(delta, 0.0) AS value
+  FROM range(4096) r(i) LEFT JOIN {name}avg ON pos = i
+  UNION ALL SELECT 1, 'bias', 0, -sum(delta * centre) FROM {name}avg
+  UNION ALL SELECT 1, 'n_buckets', 0, 4096.0
+  UNION ALL SELECT 1, 'lr', 0, 5.0
+)"""
+
+
+def _scores(name: str, rows: str, keys: str) -> str:
+    return f"""
+{name} AS (
+  SELECT {keys}, sum(x * w) AS z, CAST(CASE WHEN sum(x * w) > 0 THEN 1 ELSE 0 END AS INTEGER)
+         AS prediction
+  FROM {rows} JOIN w1 USING (bucket) GROUP BY {keys}
 )"""
 
-SCORED = "WITH " + MODEL + "," + CORPUS_MODEL + """,
-sc AS (
-  SELECT split_key, objectionable, split, sum(x * w) AS z
-  FROM krows JOIN w1 ON krows.bucket = w1.bucket GROUP BY split_key, objectionable, split
+
+MODEL = SPLIT + "," + _features("k", "split", "split_key, objectionable, split") + """,
+heldout AS (SELECT DISTINCT split_key FROM split WHERE split <> 'train'),
+owner AS (
+  SELECT DISTINCT client, md5('42:' || text) AS split_key, toxic AS objectionable
+  FROM labelled WHERE toxic IS NOT NULL
 ),
-scp AS (SELECT *, CAST(CASE WHEN z > 0 THEN 1 ELSE 0 END AS INTEGER) AS prediction FROM sc)"""
+crows AS (
+  SELECT client, krows.* FROM krows JOIN owner USING (split_key, objectionable)
+  WHERE split = 'train' AND split_key NOT IN (SELECT split_key FROM heldout)
+),""" + _step("c", "crows", "client") + """,
+w1 AS (
+  SELECT CASE WHEN layer = 'bias' THEN -1 ELSE pos END AS bucket, value AS w
+  FROM cp1 WHERE layer IN ('weight', 'bias')
+)"""
+
+SCORED = "WITH " + MODEL + "," + _scores("sc", "krows", "split_key, objectionable, split")
 
+#: Three models (v0 predicts 0 everywhere, v1 averaged with itself is v1) and their reports.
 REPORT = SCORED + """,
-conf AS (SELECT split, objectionable AS label, prediction, count(*) AS n FROM scp GROUP BY ALL),
+sm AS (
+  SELECT 'v0' AS model, split, objectionable, 0 AS prediction FROM sc
+  UNION ALL SELECT 'v1', split, objectionable, prediction FROM sc
+  UNION ALL SELECT 'v1_self', split, objectionable, prediction FROM sc
+),
+conf AS (SELECT model, split, objectionable AS label, prediction, count(*) AS n FROM sm GROUP BY ALL),
 sides AS (
-  SELECT split, label AS class, n AS support, CASE WHEN label = prediction THEN n ELSE 0 END AS tp,
-         0 AS predicted FROM conf
+  SELECT model, split, label AS class, n AS support,
+         CASE WHEN label = prediction THEN n ELSE 0 END AS tp, 0 AS predicted FROM conf
   UNION ALL
-  SELECT split, prediction, 0, 0, n FROM conf
+  SELECT model, split, prediction, 0, 0, n FROM conf
 ),
 pc AS (
-  SELECT split, class, sum(tp) AS tp, sum(support) AS support, sum(predicted) AS predicted
+  SELECT model, split, class, sum(tp) AS tp, sum(support) AS support, sum(predicted) AS predicted
   FROM sides GROUP BY ALL
 ),
 m AS (
@@ -449,93 +458,59 @@ m2 AS (
   FROM m
 ),
 summ AS (
-  SELECT split, sum(tp) AS tp, sum(support) AS total, avg(precision) AS mp, avg(recall) AS mr,
-         avg(f1) AS mf, sum(precision * support) AS wp, sum(recall * support) AS wr,
-         sum(f1 * support) AS wf
-  FROM m2 GROUP BY split
+  SELECT model, split, sum(tp) AS tp, sum(support) AS total, avg(precision) AS mp,
+         avg(recall) AS mr, avg(f1) AS mf, sum(precision * support) AS wp,
+         sum(recall * support) AS wr, sum(f1 * support) AS wf
+  FROM m2 GROUP BY model, split
+),
+rep AS (
+  SELECT model, split, CAST(class AS VARCHAR) AS class, precision, recall, f1, support FROM m2
+  UNION ALL SELECT model, split, 'accuracy', NULL, NULL, tp / total, total FROM summ
+  UNION ALL SELECT model, split, 'macro avg', mp, mr, mf, total FROM summ
+  UNION ALL SELECT model, split, 'weighted avg', wp / total, wr / total, wf / total, total FROM summ
+),
+rounded AS (
+  SELECT model, split, class, round(precision, 6) + 0.0 AS precision, round(recall, 6) + 0.0 AS recall,
+         round(f1, 6) + 0.0 AS f1, CAST(support AS BIGINT) AS support
+  FROM rep
 )"""
 
 MODEL_SQL = {
-    "model_features": "WITH " + MODEL + """
-SELECT f.doc_id, n_tokens, bucket, (round(c / n_tokens, 6) + 0.0) AS x
-FROM cfeat f JOIN cn ON f.doc_id = cn.doc_id""",
+    "model_features": "WITH " + _features("f", "documents", "doc_id") + """,
+n AS (SELECT doc_id, count(*) AS n_tokens FROM ftok GROUP BY doc_id)
+SELECT doc_id, n_tokens, bucket, (round(x, 6) + 0.0) AS x FROM frows JOIN n USING (doc_id)
+WHERE bucket >= 0""",
     "model_client_step": "WITH " + MODEL + """
-SELECT client, layer, pos, (round(delta, 6) + 0.0) AS delta, sample_size FROM deltas""",
+SELECT client, layer, pos, (round(delta, 6) + 0.0) AS delta, sample_size FROM cdelta""",
     "model_round": "WITH " + MODEL + """
-SELECT version, layer, pos, (round(value, 6) + 0.0) AS value FROM p1""",
-    "model_central_step": "WITH " + MODEL + "," + CORPUS_MODEL + """,
-tz AS (
-  SELECT split_key, objectionable, split, sum(x * w) AS z
-  FROM krows JOIN w0 ON krows.bucket = w0.bucket
-  WHERE split = 'train' GROUP BY split_key, objectionable, split
-),
-tr AS (SELECT *, 1.0 / (1.0 + exp(-z)) - objectionable AS r FROM tz),
-tg AS (
-  SELECT bucket, sum(r * x) AS g FROM krows JOIN tr USING (split_key, objectionable, split)
-  GROUP BY bucket
-),
-td AS (
-  SELECT CASE WHEN bucket = -1 THEN 'bias' ELSE 'weight' END AS layer,
-         CASE WHEN bucket = -1 THEN 0 ELSE bucket END AS pos,
-         -5.0 * g / (SELECT count(*) FROM tr) AS delta
-  FROM tg
-)
-SELECT 1 AS version, p0.layer, p0.pos,
-       (round(p0.value + coalesce(td.delta, 0.0), 6) + 0.0) AS value
-FROM p0 LEFT JOIN td ON p0.layer = td.layer AND p0.pos = td.pos
-WHERE p0.layer IN ('weight', 'bias')
-UNION ALL
-SELECT 1, layer, pos, (round(value, 6) + 0.0) FROM p0 WHERE layer NOT IN ('weight', 'bias')""",
+SELECT version, layer, pos, (round(value, 6) + 0.0) AS value FROM cp1""",
+    "model_central_step": "WITH " + MODEL + """,
+trows AS (SELECT * FROM krows WHERE split = 'train'),""" + _step("t", "trows", "split") + """
+SELECT version, layer, pos, (round(value, 6) + 0.0) AS value FROM tp1""",
     "model_scores": SCORED + """
-SELECT split_key, objectionable, (round(z, 6) + 0.0) AS z, prediction FROM scp WHERE split = 'test'""",
+SELECT split, split_key, objectionable, (round(z, 6) + 0.0) AS z, prediction FROM sc
+WHERE split <> 'train'""",
     "eval_confusion": SCORED + """
-SELECT split, objectionable AS label, prediction, count(*) AS n FROM scp GROUP BY ALL""",
+SELECT split, objectionable AS label, prediction, count(*) AS n FROM sc GROUP BY ALL""",
     "eval_wrong": SCORED + """
-SELECT split_key, objectionable, prediction FROM scp
-WHERE split = 'test' AND prediction <> objectionable""",
+SELECT split, split_key, objectionable, prediction FROM sc
+WHERE split <> 'train' AND prediction <> objectionable""",
     "eval_report": REPORT + """
-SELECT split, CAST(class AS VARCHAR) AS class, (round(precision, 6) + 0.0) AS precision,
-       (round(recall, 6) + 0.0) AS recall, (round(f1, 6) + 0.0) AS f1, CAST(support AS BIGINT) AS support
-FROM m2
-UNION ALL
-SELECT split, 'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
-       (round(CASE WHEN total > 0 THEN tp / total ELSE 0.0 END, 6) + 0.0), CAST(total AS BIGINT) FROM summ
-UNION ALL
-SELECT split, 'macro avg', (round(mp, 6) + 0.0), (round(mr, 6) + 0.0), (round(mf, 6) + 0.0), CAST(total AS BIGINT)
-FROM summ
-UNION ALL
-SELECT split, 'weighted avg', (round(CASE WHEN total > 0 THEN wp / total ELSE 0.0 END, 6) + 0.0),
-       (round(CASE WHEN total > 0 THEN wr / total ELSE 0.0 END, 6) + 0.0),
-       (round(CASE WHEN total > 0 THEN wf / total ELSE 0.0 END, 6) + 0.0), CAST(total AS BIGINT)
-FROM summ""",
+SELECT split, class, precision, recall, f1, support FROM rounded WHERE model = 'v1'""",
+    "eval_compare": REPORT + """,
+pairs(a, b) AS (VALUES ('v0', 'v1'), ('v1', 'v1_self')),
+keys AS (SELECT DISTINCT split, class FROM rounded WHERE split <> 'train')
+SELECT keys.split, keys.class, b || '-' || a AS pair,
+       round(y.precision - x.precision, 6) + 0.0 AS d_precision,
+       round(y.recall - x.recall, 6) + 0.0 AS d_recall, round(y.f1 - x.f1, 6) + 0.0 AS d_f1
+FROM keys JOIN pairs ON true
+LEFT JOIN rounded x ON x.model = a AND x.split = keys.split AND x.class = keys.class
+LEFT JOIN rounded y ON y.model = b AND y.split = keys.split AND y.class = keys.class""",
     "conversation_flags": "WITH " + MODEL + """,
-ut AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user'),
-utok AS (
-  SELECT conv_id, turn, t FROM (
-    SELECT conv_id, turn, unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) AS t FROM ut)
-  WHERE t <> ''
-),
-un AS (
-  SELECT u.conv_id, u.turn, count(t.t) AS n_tokens
-  FROM ut u LEFT JOIN utok t ON u.conv_id = t.conv_id AND u.turn = t.turn
-  GROUP BY u.conv_id, u.turn
-),
-ufeat AS (
-  SELECT conv_id, turn, CAST(('0x' || substr(md5(t), 1, 8))::BIGINT % 1024 AS INTEGER) AS bucket,
-         count(*) AS c
-  FROM utok GROUP BY ALL
-),
-urows AS (
-  SELECT f.conv_id, f.turn, bucket, c / n_tokens AS x
-  FROM ufeat f JOIN un ON f.conv_id = un.conv_id AND f.turn = un.turn
-  UNION ALL SELECT conv_id, turn, -1, 1.0 FROM un
-),
-uz AS (
-  SELECT conv_id, turn, sum(x * w) AS z FROM urows JOIN w1 ON urows.bucket = w1.bucket
-  GROUP BY conv_id, turn
-)
+ut AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user'),""" + _features(
+        "u", "ut", "conv_id, turn") + "," + _scores("us", "urows", "conv_id, turn") + """
 SELECT conv_id, count(*) AS n_user_turns, (round(max(z), 6) + 0.0) AS max_z,
-       max(CAST(CASE WHEN z > 0 THEN 1 ELSE 0 END AS INTEGER)) AS flagged
-FROM uz GROUP BY conv_id""",
+       max(prediction) AS flagged
+FROM us GROUP BY conv_id""",
 }
 ORACLE_SQL.update(MODEL_SQL)

@@ -1,8 +1,10 @@
 """Entry 3 + F09: fine-tune per client -> average -> publish -> evaluate.
 
-All clients train in one job keyed by ``client``; the published version is
-the global model plus the (weighted) mean of the client deltas, and the
-constant entries of the base version are carried over (F08).
+Clients train on the train split only: their rows are the train texts of the
+unified corpus, each once per owner and label, and no text of the val or test
+split under any label. All clients train in one job keyed by ``client``; the
+published version is the global model plus the (weighted) mean of the client
+deltas, and the constant entries of the base version are carried over (F08).
 """
 
 from __future__ import annotations
@@ -13,21 +15,13 @@ from pyspark.sql import functions as F
 from concord.operators import averaging as A
 from concord.operators import evaluate as E
 from concord.operators import model as M
+from concord.operators.corpus import SPLIT_SEED, split_key
 from concord.plans import corpus_job
 from concord.session import cut_lineage
-from concord.sources import tables
+from concord.sources import files, tables
 
-
-CLIENT_CARRY = ["doc_id", "client", "label"]
 CORPUS_CARRY = ["split_key", "objectionable", "split"]
-
-
-def client_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each client's private labelled documents, featurised:
-    ``(doc_id, client, label, n_tokens, features)``."""
-    lab = corpus_job.labelled(spark, sf_dir).filter(F.col("toxic").isNotNull())
-    rows = lab.select("doc_id", "client", F.col("toxic").alias("label"), "text")
-    return M.hashed_features(rows, CLIENT_CARRY)
+HELD_OUT = ("val", "test")
 
 
 def corpus_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,19 +29,20 @@ def corpus_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.hashed_features(corpus_job.corpus_split(spark, sf_dir), CORPUS_CARRY)
 
 
-def mean_delta(deltas: DataFrame, algo: str = "wmean") -> DataFrame:
-    """Average of the client models, expressed on their sparse deltas.
+def train_features(feats: DataFrame) -> DataFrame:
+    """Train rows whose text is in no held-out split under the other label."""
+    held = feats.filter(F.col("split").isin(*HELD_OUT)).select("split_key").distinct()
+    return feats.filter(F.col("split") == "train").join(held, "split_key", "left_anti")
 
-    Every client model is ``global + delta_c``; the (weighted) mean of the
-    models is ``global + sum(w_c * delta_c) / sum(w_c)`` over all clients,
-    where a client's untouched weights contribute a zero delta. ``wmean``
-    weighs by sample size (F04), ``mean`` weighs every client 1 (F03). The
-    total weight is a scalar subquery over the one bias row per client.
-    """
-    w = F.col("sample_size").cast("double") if algo == "wmean" else F.lit(1.0)
-    total = deltas.filter(F.col("layer") == "bias").select(F.sum(w)).scalar()
-    return deltas.groupBy("layer", "pos").agg(
-        (F.sum(F.col("delta") * w) / total).alias("delta"))
+
+def client_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each client's distinct train rows: ``(client, split_key, objectionable, features)``."""
+    owners = (corpus_job.labelled(spark, sf_dir).filter(F.col("toxic").isNotNull())
+              .select("client", split_key(F.col("text"), SPLIT_SEED).alias("split_key"),
+                      F.col("toxic").alias("objectionable")).distinct())
+    return (train_features(corpus_features(spark, sf_dir))
+            .join(owners, ["split_key", "objectionable"])
+            .select("client", "split_key", "objectionable", "features"))
 
 
 def federated_round(feats: DataFrame, params: DataFrame, version: int,
@@ -55,34 +50,41 @@ def federated_round(feats: DataFrame, params: DataFrame, version: int,
     """One round from ``params`` (version ``version``) to version + 1:
     every client's local step in one job (M03), the mean of the client
     models (F03 / F04), constant entries carried from the base (F08)."""
-    deltas = M.local_step(feats, params, CLIENT_CARRY, "label", ["client"])
-    avg = mean_delta(deltas, algo)
-    floats = params.filter(F.col("layer").isin(*M.FLOAT_LAYERS))
-    updated = M.apply_delta(floats, avg, version + 1)
+    deltas = M.local_step(feats, params, "objectionable", ["client"])
+    updated = M.merged(params, deltas, version + 1, algo)
     return A.assemble(updated, params, version + 1, list(M.FLOAT_LAYERS))
 
 
-def run_rounds(spark: SparkSession, sf_dir: str, n_rounds: int, algo: str = "wmean"
-               ) -> DataFrame:
-    """repeated rounds; each published version is checkpointed to the
-    shared folder before the next round reads it (bounded lineage, survives
-    executor loss). Returns every version's parameters."""
+def run_rounds(spark: SparkSession, sf_dir: str, n_rounds: int, folder: str,
+               algo: str = "wmean") -> DataFrame:
+    """repeated rounds. Every version is published to ``folder/params``
+    before the next round reads it, and appended to ``folder/history`` with its
+    number of clients and samples and its scores on the held-out splits.
+    Returns the history; a rerun replaces the versions it publishes."""
     feats = cut_lineage(client_features(spark, sf_dir))
-    params = M.initial_params(spark, 0)
-    out = params
+    held = cut_lineage(corpus_features(spark, sf_dir).filter(F.col("split").isin(*HELD_OUT)))
+    files.write_params(M.initial_params(spark, 0), f"{folder}/params")
+    size = feats.agg(F.countDistinct("client").alias("n_clients"), F.count("*").alias("n_samples"))
     for v in range(n_rounds):
-        params = cut_lineage(federated_round(feats, params, v, algo))
-        out = out.unionByName(params)
-    return out
+        params = files.read_params(spark, f"{folder}/params", v)
+        files.write_params(federated_round(feats, params, v, algo), f"{folder}/params")
+        new = files.read_params(spark, f"{folder}/params", v + 1)
+        report = E.report(M.score(held, new), "objectionable", ["split"])
+        row = report.filter("class = 'macro avg'").groupBy().pivot("split", list(HELD_OUT)).agg(
+            F.first("f1"))
+        row = row.select(F.lit(v + 1).alias("version"),
+                         *(F.col(s).alias(f"{s}_f1") for s in HELD_OUT))
+        files.write_params(row.join(size.withColumn("version", F.lit(v + 1)), "version"),
+                           f"{folder}/history")
+    return spark.read.parquet(f"{folder}/history")
 
 
 def central_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One step of central training on the train split from version 0."""
     feats = corpus_features(spark, sf_dir).filter(F.col("split") == "train")
     params = M.initial_params(spark, 0)
-    deltas = M.local_step(feats, params, CORPUS_CARRY, "objectionable", ["split"])
-    floats = params.filter(F.col("layer").isin(*M.FLOAT_LAYERS))
-    return A.assemble(M.apply_delta(floats, deltas, 1), params, 1, list(M.FLOAT_LAYERS))
+    deltas = M.local_step(feats, params, "objectionable", ["split"])
+    return A.assemble(M.merged(params, deltas, 1), params, 1, list(M.FLOAT_LAYERS))
 
 
 # ---- registered queries -------------------------------------------------
@@ -91,8 +93,8 @@ R = 6
 
 
 def q_features(spark, sf_dir):
-    """Hashed token features per labelled document."""
-    f = client_features(spark, sf_dir)
+    """Hashed token features of every document."""
+    f = M.hashed_features(tables.documents(spark, sf_dir), ["doc_id"])
     return (f.select("doc_id", "n_tokens", F.inline("features"))
             .withColumn("x", F.round("x", R)))
 
@@ -104,17 +106,15 @@ def q_central_step(spark, sf_dir):
 
 def q_client_step(spark, sf_dir):
     """Per-client deltas after one local step from the global model."""
-    d = M.local_step(cut_lineage(client_features(spark, sf_dir)), M.initial_params(spark, 0),
-                     CLIENT_CARRY, "label", ["client"])
+    d = M.local_step(client_features(spark, sf_dir), M.initial_params(spark, 0),
+                     "objectionable", ["client"])
     return d.select("client", "layer", "pos", F.round("delta", R).alias("delta"),
                     "sample_size")
 
 
 def version_one(spark, sf_dir) -> DataFrame:
-    """Version 1 from the zero model; the client features are checkpointed
-    once, since the score and gradient branches both read them."""
-    feats = cut_lineage(client_features(spark, sf_dir))
-    return federated_round(feats, M.initial_params(spark, 0), 0)
+    """Version 1 from the zero model."""
+    return federated_round(client_features(spark, sf_dir), M.initial_params(spark, 0), 0)
 
 
 def q_round(spark, sf_dir):
@@ -123,13 +123,14 @@ def q_round(spark, sf_dir):
 
 
 def _v1_scores(spark, sf_dir):
-    return M.score(corpus_features(spark, sf_dir), version_one(spark, sf_dir), CORPUS_CARRY)
+    return M.score(corpus_features(spark, sf_dir), version_one(spark, sf_dir))
 
 
 def q_scores(spark, sf_dir):
-    """Test-split scores of version 1 beside the true label."""
-    s = _v1_scores(spark, sf_dir).filter(F.col("split") == "test")
-    return s.select("split_key", "objectionable", F.round("z", R).alias("z"), "prediction")
+    """Val and test scores of version 1 beside the true label."""
+    s = _v1_scores(spark, sf_dir).filter(F.col("split").isin(*HELD_OUT))
+    return s.select("split", "split_key", "objectionable", F.round("z", R).alias("z"),
+                    "prediction")
 
 
 def q_confusion(spark, sf_dir):
@@ -143,9 +144,9 @@ def q_report(spark, sf_dir):
 
 
 def q_wrong(spark, sf_dir):
-    """Wrong predictions of version 1 on the test split."""
-    s = _v1_scores(spark, sf_dir).filter(F.col("split") == "test")
-    return E.wrong_predictions(s, "objectionable").select("split_key", "objectionable",
+    """Wrong predictions of version 1 on the val and test splits."""
+    s = _v1_scores(spark, sf_dir).filter(F.col("split").isin(*HELD_OUT))
+    return E.wrong_predictions(s, "objectionable").select("split", "split_key", "objectionable",
                                                           "prediction")
 
 
@@ -153,37 +154,29 @@ COMPARED = ("v0", "v1", "v1_self")
 
 
 def models_for_comparison(spark, sf_dir) -> DataFrame:
-    """v0, v1 and v1 averaged with itself (two identical copies, uniform mean)."""
+    """v0, v1 and v1 averaged with itself (two copies, uniform mean)."""
     p0 = M.initial_params(spark, 0)
-    p1 = federated_round(cut_lineage(client_features(spark, sf_dir)), p0, 0)
-    copies = (p1.withColumn("content_hash", F.lit("a"))
-              .unionByName(p1.withColumn("content_hash", F.lit("b"))))
-    self_avg = A.uniform_mean(copies)
+    p1 = version_one(spark, sf_dir)
+    copies = p1.select("*", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("content_hash"))
     return (p0.withColumn("model", F.lit("v0"))
             .unionByName(p1.withColumn("model", F.lit("v1")))
-            .unionByName(self_avg.withColumn("model", F.lit("v1_self"))))
+            .unionByName(A.uniform_mean(copies).withColumn("model", F.lit("v1_self"))))
 
 
 def q_compare(spark, sf_dir):
     """Report deltas v1 - v0 and (v1 averaged with itself) - v1."""
     models = models_for_comparison(spark, sf_dir)
-    feats = corpus_features(spark, sf_dir).filter(F.col("split").isin("val", "test"))
+    feats = corpus_features(spark, sf_dir).filter(F.col("split").isin(*HELD_OUT))
     rows = feats.select("*", F.explode(F.array(*[F.lit(m) for m in COMPARED])).alias("model"))
-    scored = M.score(rows, models, CORPUS_CARRY, ["model"])
-    rep = E.report(scored, "objectionable", ["model", "split"])
-    d_round = E.compare(rep, "model", "v0", "v1", ["split", "class"]).withColumn(
-        "pair", F.lit("v1-v0"))
-    d_self = E.compare(rep, "model", "v1", "v1_self", ["split", "class"]).withColumn(
-        "pair", F.lit("v1_self-v1"))
-    return d_round.unionByName(d_self)
+    rep = E.report(M.score(rows, models, ["model"]), "objectionable", ["model", "split"])
+    return E.compare(rep, "model", [("v0", "v1"), ("v1", "v1_self")], ["split", "class"])
 
 
 def q_conversation_flags(spark, sf_dir):
     """Application of M04: score user turns of conversations with version 1;
     a conversation is flagged when any user turn is predicted objectionable."""
     turns = tables.conversations(spark, sf_dir).filter(F.col("role") == "user")
-    feats = M.hashed_features(turns, ["conv_id", "turn"])
-    s = M.score(feats, version_one(spark, sf_dir), ["conv_id", "turn"])
+    s = M.score(M.hashed_features(turns, ["conv_id", "turn"]), version_one(spark, sf_dir))
     return s.groupBy("conv_id").agg(
         F.count("*").alias("n_user_turns"), F.round(F.max("z"), R).alias("max_z"),
         F.max("prediction").alias("flagged"))

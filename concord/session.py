@@ -8,6 +8,7 @@ is used for intermediate data.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +60,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """The path of a fresh folder below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)

@@ -78,42 +78,57 @@ def conflicting_annotations(labelled: DataFrame) -> DataFrame:
     return first.unionByName(second)
 
 
+def content_of(embedding: Column) -> Column:
+    """Text form of a vector (micro units), the content that uploads are hashed by."""
+    return F.array_join(F.transform(embedding, lambda x: F.round(
+        x.cast("double") * 1_000_000).cast("bigint").cast("string")), ",")
+
+
 def client_updates(embeddings: DataFrame) -> DataFrame:
-    """One client update per embedding row.
+    """Client updates: ``(version, client_id, upload_seq, content_hash, sample_size, embedding)``.
 
-    ``(version, client_id, content_hash, sample_size, embedding)`` with
-    version = label, client = vec_id, content_hash = SHA-256 of the client
-    id, sample_size = ``1 + vec_id % 97``.
+    version = label, client = vec_id, content_hash = SHA-256 of the content,
+    sample_size = ``1 + vec_id % 97 + upload_seq``. Every seventh client uploads
+    its model twice, so content and weights repeat; every fifth client also
+    uploads under the id ``vec_id + 1000000``, so two clients share content.
     """
-    return embeddings.select(
-        F.col("label").cast("int").alias("version"),
-        F.col("vec_id").alias("client_id"),
-        F.sha2(F.col("vec_id").cast("string"), 256).alias("content_hash"),
-        (1 + F.col("vec_id") % 97).alias("sample_size"),
-        "embedding")
+    v = F.col("vec_id")
+    uploads = F.array_compact(F.array(
+        F.struct(v.alias("client_id"), F.lit(0).alias("upload_seq")),
+        F.when(v % 7 == 0, F.struct(v.alias("client_id"), F.lit(1).alias("upload_seq"))),
+        F.when(v % 5 == 0, F.struct((v + 1_000_000).alias("client_id"),
+                                    F.lit(2).alias("upload_seq")))))
+    rows = embeddings.select("label", "vec_id", "embedding",
+                             F.sha2(content_of(F.col("embedding")), 256).alias("content_hash"),
+                             F.explode(uploads).alias("u"))
+    return rows.select(
+        F.col("label").cast("int").alias("version"), "u.client_id", "u.upload_seq",
+        "content_hash", (1 + v % 97 + F.col("u.upload_seq")).alias("sample_size"), "embedding")
 
 
 def objects_with_gaps(updates: DataFrame) -> DataFrame:
-    """Stored objects: every update except ``client_id % 17 = 0``."""
+    """Stored uploads: every update except of ``client_id % 17 = 0``."""
     return updates.filter(F.col("client_id") % 17 != 0)
 
 
 def weights_with_gaps(updates: DataFrame) -> DataFrame:
-    """Recorded weights: every update except ``client_id % 13 = 0``."""
+    """Recorded weights: every update except of ``client_id % 13 = 0``; keys repeat."""
     return (updates.filter(F.col("client_id") % 13 != 0)
-            .select("version", "content_hash", "sample_size"))
+            .select("version", "content_hash", "upload_seq", "sample_size"))
 
 
 def upload_records(documents: DataFrame) -> DataFrame:
     """Upload bodies built from documents: ``(doc_id, version, body)``.
 
-    body = JSON ``{"model": base64(text bytes), "sample_size": text}``;
-    version = ``doc_id % 4``; the size is ``n_chars`` except ``doc_id % 37 = 0``
-    where it is not a number. Identical texts give identical uploads.
+    body = JSON ``{"model": base64(text bytes), "sample_size": text}``; version =
+    ``doc_id % 4``; the size is ``n_chars``. Broken bodies: ``doc_id % 37 = 0`` a size
+    that is no number, ``% 41`` a negative size, ``% 43`` no model, ``% 47`` a model
+    that is not base64. Identical texts give identical uploads.
     """
-    size = F.when(F.col("doc_id") % 37 == 0, F.lit("n/a")).otherwise(
-        F.col("n_chars").cast("string"))
-    body = F.to_json(F.struct(F.base64(F.encode("text", "UTF-8")).alias("model"),
-                              size.alias("sample_size")))
-    return documents.select("doc_id", (F.col("doc_id") % 4).cast("int").alias("version"),
-                            body.alias("body"))
+    d = F.col("doc_id")
+    size = (F.when(d % 37 == 0, F.lit("n/a")).when(d % 41 == 0, F.lit("-4"))
+            .otherwise(F.col("n_chars").cast("string")))
+    model = (F.when(d % 43 == 0, F.lit(None)).when(d % 47 == 0, F.lit("*not base64*"))
+             .otherwise(F.base64(F.encode("text", "UTF-8"))))
+    body = F.to_json(F.struct(model.alias("model"), size.alias("sample_size")))
+    return documents.select("doc_id", (d % 4).cast("int").alias("version"), body.alias("body"))

@@ -7,11 +7,11 @@ from concord.plans import corpus_job
 from conftest import SF001
 
 WIDE = ("doc_id long, text string, source string, seq int, m1 int, m2 int, m3 int, p1 int, "
-        "oh_label int, hateful int, class int")
+        "oh_label int, hateful int, class int, file string")
 
 
 def wide_rows(spark, rows):
-    return spark.createDataFrame(rows, WIDE)
+    return spark.createDataFrame([(*r, None) if len(r) == 11 else r for r in rows], WIDE)
 
 
 def test_onehot_null_vote_and_two_votes_fall_in_no_class(spark):
@@ -74,13 +74,30 @@ def test_split_sizes_disjoint_complete_and_stable(spark):
         again.select("text", C.LABEL, "split")).count() == 0
 
 
-def test_csv_round_trip_with_quotes_commas_newlines(spark, tmp_dir):
-    rows = [Row(text='he said "hi", then\nleft', objectionable=1),
-            Row(text="plain", objectionable=0)]
+def test_csv_round_trip_is_exact(spark, tmp_dir):
+    texts = ['he said "hi", then\nleft', "plain", "  lead and trail  ", "", None, '""', '"', " ",
+             "\t tab \t", "back\\slash", "a\\\"b", "cr\r\nlf"]
+    rows = [Row(text=t, objectionable=i) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "text string, objectionable int")
     files.write_csv(df, f"{tmp_dir}/corpus")
-    back = files.read_csv(spark, f"{tmp_dir}/corpus", df.schema)
-    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows))
+    back = files.read_csv(spark, f"{tmp_dir}/corpus", df.schema, multi_line=True)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, rows), key=str)
+    lines = df.filter("NOT contains(coalesce(text, ''), '\\n')")
+    files.write_csv(lines, f"{tmp_dir}/lines")
+    back = files.read_csv(spark, f"{tmp_dir}/lines", df.schema)
+    assert back.exceptAll(lines).count() == 0 and lines.exceptAll(back).count() == 0
+
+
+def test_distinct_texts_are_counted_per_file(spark):
+    row = lambda i, text, file, label: (i, text, "multifile", 2, None, None, None, None, label,
+                                        None, None, file)
+    df = wide_rows(spark, [row(1, "x", "a.csv", 1), row(2, "x", "a.csv", 1),
+                           row(3, "x", "b.csv", 1), row(4, "y", "b.csv", 0)])
+    counts = C.source_counts(C.tag_classes(df, keep=["file"]))
+    got = {(r.file, r.objectionable): (r.n_rows, r.n_distinct) for r in counts.collect()}
+    assert got == {("a.csv", 1): (2, 1), ("b.csv", 1): (1, 1), ("b.csv", 0): (1, 1)}
+    totals = C.running_totals(counts).orderBy("seq", "file").collect()
+    assert [(r.cum_offensive, r.cum_inoffensive) for r in totals] == [(1, 0), (2, 1)]
 
 
 def test_sources_written_as_csv_give_the_same_corpus(spark, tmp_dir):
@@ -91,10 +108,11 @@ def test_sources_written_as_csv_give_the_same_corpus(spark, tmp_dir):
         path = f"{tmp_dir}/{name}"
         if name == "multifile":
             files.write_csv(raw, path, partition_by=["file"])
-            frames[name] = files.read_csv_dir(spark, f"{path}/*", raw.drop("file").schema)
+            frames[name] = files.read_csv_dir(spark, f"{path}/*", raw.drop("file").schema,
+                                              multi_line=True)
         else:
             files.write_csv(raw, path)
-            frames[name] = files.read_csv(spark, path, raw.schema)
+            frames[name] = files.read_csv(spark, path, raw.schema, multi_line=True)
     via_csv = C.dedupe_corpus(C.tag_classes(C.normalise_raw(frames)))
     direct = corpus_job.corpus(spark, SF001)
     assert via_csv.exceptAll(direct).count() == 0
@@ -102,7 +120,8 @@ def test_sources_written_as_csv_give_the_same_corpus(spark, tmp_dir):
 
 
 def test_running_totals_are_cumulative(spark):
-    rt = C.running_totals(C.source_counts(corpus_job.tagged(spark, SF001))).orderBy("seq")
+    rt = C.running_totals(C.source_counts(corpus_job.tagged(spark, SF001))).orderBy(
+        "seq", "file")
     rows = rt.collect()
     acc = 0
     for r in rows:

@@ -1,3 +1,4 @@
+import math
 import os
 import random
 import re
@@ -5,6 +6,7 @@ import hashlib
 from datetime import datetime, timedelta
 
 import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -56,11 +58,13 @@ def _py_features(text, n_buckets=M.N_BUCKETS):
     for t in toks:
         b = int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % n_buckets
         counts[b] = counts.get(b, 0) + 1
-    return {b: c / len(toks) for b, c in counts.items()}
+    logs = {b: math.log1p(c) for b, c in counts.items()}
+    norm = sum(c * c for c in logs.values()) ** 0.5
+    return {b: c / norm for b, c in logs.items()}
 
 
 def test_features_match_plain_python(spark):
-    texts = ["Hello, hello world!", "Ünïcode wörds and   spaces", "123 ... !!", ""]
+    texts = ["Hello, hello world!", "Ünïcode wörds and   spaces", "123 ... !!", "", "a " * 3000 + "b"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
     got = {r.id: {f.bucket: f.x for f in r.features}
            for r in M.hashed_features(df, ["id"]).collect()}
@@ -86,14 +90,48 @@ def test_self_average_changes_no_score(spark):
     assert vals and all(v == 0.0 for v in vals)
 
 
-def test_repeated_rounds_publish_each_version(spark):
-    out = round_job.run_rounds(spark, SF001, 2)
-    versions = sorted(r.version for r in out.select("version").distinct().collect())
-    assert versions == [0, 1, 2]
+def test_repeated_rounds_publish_each_version(spark, tmp_dir):
+    from concord.sources import files
+    history = round_job.run_rounds(spark, SF001, 2, tmp_dir).orderBy("version").collect()
+    assert [r.version for r in history] == [1, 2]
+    assert all(0 <= r.val_f1 <= 1 and 0 <= r.test_f1 <= 1 and r.n_clients > 1 for r in history)
+    out = files.read_params(spark, f"{tmp_dir}/params")
+    assert sorted(r.version for r in out.select("version").distinct().collect()) == [0, 1, 2]
     consts = out.filter(F.col("layer") == "n_buckets").select("value").distinct().collect()
     assert [r.value for r in consts] == [float(M.N_BUCKETS)]
 
 
+def test_no_held_out_text_is_trained_on(spark):
+    train = round_job.client_features(spark, SF001)
+    assert train.count() > 0
+    held = round_job.corpus_features(spark, SF001).filter("split <> 'train'")
+    assert train.join(held, "split_key", "left_semi").count() == 0
+    assert train.groupBy("client", "split_key", "objectionable").count().filter(
+        "count > 1").count() == 0
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_both_classes_are_predicted(spark, sf):
+    conf = {(r.split, r.label, r.prediction): r.n for r in round_job.q_confusion(spark, sf).collect()}
+    for split in ("val", "test"):
+        assert {p for s, _, p in conf if s == split} == {0, 1}
+        if not sf.endswith("0.1"):
+            continue  # seven documents of class 1 in a split say nothing about recall
+        n = lambda label, p: conf.get((split, label, p), 0)
+        assert n(1, 1) / (n(1, 1) + n(1, 0)) > 1.5 * n(0, 1) / (n(0, 1) + n(0, 0))
+
+
+def test_one_shuffle_of_exploded_features(spark):
+    feats = spark.createDataFrame(
+        [("c", 1, [(0, 0.6), (5, 0.8)]), ("c", 0, [(5, 1.0)]), ("d", 0, [])],
+        "client string, y int, features array<struct<bucket:int,x:double>>")
+    d = M.local_step(feats, M.initial_params(spark, 0, 8), "y", ["client"])
+    got = {(r.client, r.layer, r.pos): (r.delta, r.sample_size) for r in d.collect()}
+    assert got["c", "bias", 0] == (0.0, 2) and got["d", "bias", 0] == (-1.25, 1)
+    assert abs(got["c", "weight", 5][0] - 2.5 * (0.8 * 0.5 - 0.5)) < 1e-12
+    assert abs(got["c", "weight", 0][0] - 2.5 * 0.6 * 0.5) < 1e-12
+
+
 def test_streaming_barrier_equals_batch(spark, tmp_dir):
     from concord.streaming import rounds_stream as S
     ev = (tables.events(spark, SF001).withColumn("ts", F.col("ts").cast("timestamp"))
