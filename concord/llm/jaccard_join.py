@@ -209,6 +209,19 @@ def least_shared_sql(l: str, s: str):  # noqa: E741
                   f"- ({l} + {s}) div 7")
 
 
+def pairs_with_enough(pairs: DataFrame, large: DataFrame) -> DataFrame:
+    """The pairs whose equal segments, those in common large groups included, reach the bound."""
+    lists = large.groupBy("cls").agg(F.collect_set("sig").alias("s"))  # bounded by set sizes
+    la = lists.select(F.col("cls").alias("a"), F.col("s").alias("sa"))
+    lb = lists.select(F.col("cls").alias("b"), F.col("s").alias("sb"))
+    common = F.coalesce(F.size(F.array_intersect("sa", "sb")), F.lit(0))
+    return (pairs.join(la, "a", "left").join(lb, "b", "left")
+            .withColumn("common", F.when(F.col("sa").isNull() | F.col("sb").isNull(), 0)
+                        .otherwise(common))
+            .filter(F.col("shared") + F.col("common") >= least_shared_sql("na", "nb"))
+            .select("a", "b", "shared"))
+
+
 def stars(large: DataFrame, group: list[str], rank: list[str]) -> DataFrame:
     """(a, b, shared): members of large groups with the highest of each group.
 
@@ -358,73 +371,95 @@ def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
             .filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).drop("la", "lb"))
 
 
+#: Grams that the second pass turns into rows at once.
+PIECE_GRAMS = 100_000
+
+
 def second_pass_rows(sets: DataFrame) -> DataFrame:
-    """All segments (unit 1) and their one-deletion neighbourhoods (unit 2) of the sets."""
+    """All segments (unit 1) and their one-deletion neighbourhoods (unit 2) of the sets.
+
+    ``sets`` are (cls, grams, extent, label); the last two are carried along.
+    """
+    def piece(cls, extent, label, sizes, grams, lower):
+        take = meets_lower(sizes) if lower else sizes > 0
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        rows = take[owner]
+        g, who_g = grams[rows], owner[rows]
+        if not len(g):
+            return None
+        first, who, at, sig = segments(g, who_g, sizes, lower, coarse=True)
+        count = np.diff(np.append(first, len(g)))
+        band = band_of(sizes)[who] - int(lower)
+        with np.errstate(over="ignore"):
+            mixed = K.mix(g, 41)
+            seg = np.repeat(np.arange(len(first)), count)
+            rest = np.repeat(np.add.reduceat(mixed, first), count) - mixed
+        many = count[seg] > 1
+        index = np.concatenate((np.arange(len(first)), seg[many]))
+        who = who[index]
+        unit = np.concatenate((np.ones(len(first)), np.full(many.sum(), 2))).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(K.signed(np.concatenate((sig, sign(rest, at[seg], band[seg])[many])))),
+             pa.array(cls[who]), pa.array(sizes[who].astype(np.int32)), pa.array(unit),
+             pa.array(K.signed(K.mix(at[index] ^ K.U64(int(lower)), 51))),
+             pa.array(count[index].astype(np.int32)), pa.array(np.full(len(index), lower)),
+             pa.array(extent[who]), pa.array(label[who])],
+            names=["sig", "cls", "n", "unit", "seg", "size", "lower", "extent", "label"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            col = batch.column(2)
-            sizes = np.diff(col.offsets.to_numpy()).astype(np.int64)
-            grams = col.flatten().to_numpy().view(K.U64)
-            cls = batch.column(0).to_numpy()
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            for lower in (False, True):
-                take = meets_lower(sizes) if lower else sizes > 0
-                rows = take[owner]
-                g, who_g = grams[rows], owner[rows]
-                if not len(g):
-                    continue
-                first, who, at, sig = segments(g, who_g, sizes, lower, coarse=True)
-                count = np.diff(np.append(first, len(g)))
-                band = band_of(sizes)[who] - int(lower)
-                with np.errstate(over="ignore"):
-                    total = np.add.reduceat(K.mix(g, 41), first)
-                    seg = np.repeat(np.arange(len(first)), count)
-                    rest = (np.repeat(total, count) - K.mix(g, 41))
-                many = count[seg] > 1
-                d_sig = sign(rest, at[seg], band[seg])[many]
-                need = needed(sizes, lower)
-                index = np.concatenate((np.arange(len(first)), seg[many]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(K.signed(np.concatenate((sig, d_sig)))), pa.array(cls[who[index]]),
-                     pa.array(sizes[who[index]].astype(np.int32)),
-                     pa.array(need[who[index]].astype(np.int32)),
-                     pa.array(np.concatenate((np.ones(len(first)), np.full(many.sum(), 2)))
-                              .astype(np.int32)),
-                     pa.array(K.signed(K.mix(at[index] ^ K.U64(int(lower)), 51))),
-                     pa.array(count[index].astype(np.int32)),
-                     pa.array(np.full(len(index), lower))],
-                    names=["sig", "cls", "n", "need", "unit", "seg", "size", "lower"])
+            bounds = batch.column(1).offsets.to_numpy().astype(np.int64)
+            grams = batch.column(1).values.to_numpy().view(K.U64)
+            cls, extent, label = (batch.column(k).to_numpy() for k in (0, 2, 3))
+            for i, j in K.pieces(bounds, PIECE_GRAMS):
+                for lower in (False, True):
+                    out = piece(cls[i:j], extent[i:j], label[i:j], np.diff(bounds[i:j + 1]),
+                                grams[bounds[i]:bounds[j]], lower)
+                    if out is not None:
+                        yield out
 
-    return sets.mapInArrow(run, "sig long, cls long, n int, need int, unit int, seg long, "
-                                "size int, lower boolean")
+    return sets.select("cls", "grams", "extent", "label").mapInArrow(
+        run, "sig long, cls long, n int, unit int, seg long, size int, lower boolean, "
+             "extent long, label long")
 
 
 def second_pass(sets: DataFrame, probing: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of the probing classes by cost-based allotment."""
-    rows = second_pass_rows(sets).select("sig", "cls", "n", "unit")
-    lists = rows.groupBy("sig").agg(
+    """Candidate pairs (a, b) of the probing classes by cost-based allotment.
+
+    The units of a class (1: equal segment, 2: one difference) are ranked by the
+    number of indexed rows they meet. A partner is only met through the first
+    ``differences + 1`` units, by the sizes of the two; a unit 2 ranks after its
+    unit 1. Of two classes the one in the smaller component (extent, label) probes.
+    """
+    lists = second_pass_rows(sets).groupBy("sig").agg(
         F.sum((F.col("unit") == 1).cast("long")).alias("equal"),
         F.sum((F.col("unit") == 2).cast("long")).alias("less"))
     mine = second_pass_rows(sets.join(probing, "cls", "left_semi"))
     is_segment = F.col("unit") == 1
-    cost = (mine.join(lists, "sig").groupBy("cls", "n", "lower", "need", "seg", "size").agg(
+    cost = (mine.join(lists, "sig").groupBy("cls", "n", "lower", "seg", "size").agg(
         F.sum(F.when(is_segment, F.col("equal")).otherwise(0)).alias("one"),
         F.sum(F.when(is_segment, F.col("equal") + F.col("less")).otherwise(F.col("equal")))
         .alias("two")))
-    units = cost.select("cls", "lower", "need", "seg", F.posexplode(F.when(
+    units = cost.select("cls", "n", "lower", "seg", F.posexplode(F.when(
         F.col("size") > 1, F.array("one", F.greatest("one", F.col("two") - F.col("one"))))
         .otherwise(F.array("one"))).alias("u", "cost"))
     order = Window.partitionBy("cls", "lower").orderBy("cost", "u", "seg")
-    allotted = (units.withColumn("r", F.row_number().over(order)).filter("r <= need")
-                .groupBy("cls", "lower", "seg").agg((F.max("u") + 1).alias("v")))
-    probe = (mine.join(allotted, ["cls", "lower", "seg"]).filter("unit <= v")
+    most = F.expr("(n + 4 * n div 3) div 7 + 1")  # differences to any partner, and one
+    allotted = (units.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= most)
+                .groupBy("cls", "lower", "seg").agg(
+                    F.min("r").alias("r1"), F.max(F.when(F.col("u") == 1, F.col("r"))).alias("r2")))
+    probe = (mine.join(allotted, ["cls", "lower", "seg"])
+             .filter("unit = 1 OR r2 IS NOT NULL")
              .select("sig", F.col("cls").alias("p"), F.col("n").alias("np"),
-                     F.col("unit").alias("up"), "v"))
-    index = rows.select("sig", F.col("cls").alias("i"), F.col("n").alias("ni"),
-                        F.col("unit").alias("ui"))
-    return (probe.join(index, "sig")
-            .filter("p <> i AND up + ui <= 3 AND (ui = 1 OR v = 2)")
-            .filter("4 * least(np, ni) >= 3 * greatest(np, ni)")
+                     F.col("unit").alias("up"), "r1", "r2",
+                     F.struct("extent", "label").alias("rp")))
+    index = second_pass_rows(sets).select(
+        "sig", F.col("cls").alias("i"), F.col("n").alias("ni"), F.col("unit").alias("ui"),
+        F.struct("extent", "label").alias("ri"))
+    met = ((probe["sig"] == index["sig"]) & F.expr("rp < ri")
+           & F.expr("4 * least(np, ni) >= 3 * greatest(np, ni)")
+           & F.expr("up + ui <= 3 AND IF(up + ui = 2, r1, r2) <= (np + ni) div 7 + 1"))
+    return (probe.join(index, met)
             .select(F.least("p", "i").alias("a"), F.greatest("p", "i").alias("b")).distinct())
 
 
@@ -448,7 +483,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .join(held.select(F.col("cls").alias("a"), F.col("held").alias("ha")), "a", "left")
              .join(held.select(F.col("cls").alias("b"), F.col("held").alias("hb")), "b", "left")
              .filter(F.col("shared") + unseen >= least_shared_sql("na", "nb"))
-             .select("a", "b", "shared"))
+             .select("a", "b", "na", "nb", "shared"))
+    pairs = pairs_with_enough(pairs, large)
     # the most central class of a large group and size step: it is in most large groups
     large = written(large.join(held, "cls"), "large")
     step = F.floor(F.log("n") / F.log(F.lit(1.2)))
@@ -508,7 +544,8 @@ def _probed(docs, members, left, labels) -> DataFrame | None:
              .agg(F.min("n").alias("lo"), F.max("n").alias("hi")))
     touched = (left.join(sizes, "sig").filter("4 * n >= 3 * lo AND 3 * n <= 4 * hi")
                .groupBy("cls", "n").count().filter(LOST).select("cls"))
-    sets = sets_of(docs, members, written(touched, "touched"))
+    sets = sets_of(docs, members, written(touched, "touched")).join(
+        left.select("cls", "extent", "label").distinct(), "cls")
     return linked(written(across(second_pass(sets, probing), labels), "pairs"), sets)
 
 

@@ -72,7 +72,8 @@ def test_second_pass_alone_finds_all_links(spark, words_of):
                .select(F.col("a").alias("doc_id"), F.col("b").alias("cls"),
                        F.col("na").alias("n"))).persist()
     classes = members.filter("n > 0").select("cls").distinct()
-    sets = J.sets_of(df, members, classes)
+    sets = J.sets_of(df, members, classes).withColumn("extent", F.lit(1).cast("long"))
+    sets = sets.withColumn("label", F.col("cls"))
     found = J.linked(J.second_pass(sets, classes), sets)
     got = J._result(df, members, J.components(found))
     got = got.select("doc_id", "n_shingles", "component_id").collect()
