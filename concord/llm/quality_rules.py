@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.llm import kernels as K
-from concord.llm.common import table, written
+from concord.llm.common import broadcast_if_small, table, written
 
 # Common function words by language.
 COMMON_WORDS = {
@@ -103,6 +103,8 @@ def repeated_words(words: np.ndarray, first: np.ndarray, width: int = 3) -> np.n
 def duplicate_lines(data, off, word_first_byte, values) -> np.ndarray:
     """Lines with a word that equal an earlier line of the same text."""
     base, raw = off[0], data[off[0]:off[-1]]
+    if not len(raw):
+        return np.zeros(len(off) - 1, np.int64)
     cuts = np.flatnonzero(raw == 10)
     starts = np.unique(np.concatenate((off[:-1] - base, cuts + 1)))
     starts = starts[starts < len(raw)]
@@ -223,7 +225,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and distances are JVM-side expressions over those narrow rows.
     """
     feats = written(features(docs, id_col, text_col, lang_col), "rules")
-    ref = references(feats)
+    ref = broadcast_if_small(references(feats), 10_000)  # one row per language
     rows = (feats.join(ref, feats.lang.eqNullSafe(ref.lang), "left").drop(ref.lang)
             .withColumn("n_chars", F.expr("aggregate(chars, 0L, (s, x) -> s + x)"))
             .withColumn("char_distance", distance("chars", "ref_chars"))
