@@ -41,7 +41,7 @@ def gram_codes(data: np.ndarray, off: np.ndarray, order: int, symbols: np.ndarra
     code = raw.copy()
     for j in range(1, order):
         before = np.zeros(len(raw), np.int64)
-        before[j:] = raw[:len(raw) - j]
+        before[j:] = raw[:max(0, len(raw) - j)]
         before[place < j] = START
         code |= before << (8 * j)
     return code, text
