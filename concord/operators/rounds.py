@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from concord.functions.names import STATUS_SCHEMA
+
 # Event types of the driver's events table, by role.
 FETCH_EVENTS = ("view", "click")
 UPLOAD_EVENTS = ("purchase", "signup")
@@ -25,7 +27,7 @@ N_FEDERATIONS = 16
 DETAILS = {
     "fetch_wrong_version": "Requested version is unavailable",
     "fetch_missing": "Could not find resource",
-    "fetch_busy": "Global model is being merged/evaluated",
+    "fetch_busy": "Served, but not counted: the next model is in the making",
     "upload_wrong_version": "Upload request is for a bad version",
     "upload_busy": "Upload request denied",
     "fetch_accepted": "Sending global model",
@@ -53,28 +55,20 @@ def round_events(events: DataFrame, n_federations: int = N_FEDERATIONS) -> DataF
         .filter(F.col("op").isNotNull()))
 
 
-def request_flags(rounds: DataFrame) -> DataFrame:
-    """Integer rules for the request side (fixture): claimed-version offset,
-    busy flag and missing-resource flag, all from ``event_id``."""
-    eid = F.col("event_id")
-    offset = F.when(eid % 5 == 0, -1).when(eid % 7 == 0, 1).otherwise(0)
-    return rounds.select("*", offset.alias("claim_offset"),
-                         (eid % 23 == 0).alias("busy"), (eid % 29 == 0).alias("missing"))
-
-
 def admission(requests: DataFrame) -> DataFrame:
     """P10: classify each request; ``delta`` is its effect on pending work.
 
-    A fetch of the wrong version or of a missing model is refused; a fetch
-    during a merge or evaluation is served but not counted. An upload of the
-    wrong version or during a merge is refused. Busy uses OR of the two
-    flags (the reference's AND on fetch never holds).
+    ``requests`` hold op, claimed_version, server_version, merging, evaluating and
+    exists (whether the server has the model). A fetch of another version or of a
+    missing model is refused; a fetch during a merge or evaluation is served but
+    not counted. An upload of another version or during a merge is refused. A NULL
+    claim is no version of the server; busy is either of the two flags.
     """
     fetch, upload = F.col("op") == "fetch", F.col("op") == "upload"
-    wrong = F.col("claim_offset") != 0
-    kind = (F.when(wrong, F.lit("wrong_version"))
-            .when(fetch & F.col("missing"), F.lit("missing"))
-            .when(F.col("busy"), F.lit("busy"))
+    right = F.col("claimed_version").eqNullSafe(F.col("server_version"))
+    kind = (F.when(~right, F.lit("wrong_version"))
+            .when(fetch & ~F.col("exists"), F.lit("missing"))
+            .when(F.col("merging") | F.col("evaluating"), F.lit("busy"))
             .otherwise(F.lit("accepted")))
     details = F.element_at(F.create_map(*[x for k, v in DETAILS.items()
                                           for x in (F.lit(k), F.lit(v))]),
@@ -85,6 +79,13 @@ def admission(requests: DataFrame) -> DataFrame:
                            delta.alias("delta"))
 
 
+def rejects(decided: DataFrame) -> DataFrame:
+    """Requests that were not accepted, with the reason and the server's version."""
+    return decided.filter(F.col("status") != "accepted").select(
+        "federation_id", "event_id", "op", "status", "details", "claimed_version",
+        "server_version")
+
+
 def running_sum(df: DataFrame, partition: list[str], value: Column, out: str,
                 bucket_seconds: int = 60, ts: str = "ts", order: list[str] | None = None
                 ) -> DataFrame:
@@ -110,26 +111,47 @@ def running_sum(df: DataFrame, partition: list[str], value: Column, out: str,
             .drop("_v", "_tb", "_off"))
 
 
-def barrier(decided: DataFrame, bucket_seconds: int = 60) -> DataFrame:
+def barrier(decided: DataFrame, bucket_seconds: int = 60, start: DataFrame | None = None
+            ) -> DataFrame:
     """T01 + T02: pending balance, close trigger and round number per event.
 
     ``balance`` is the counter after the event; ``closes`` marks an admitted
     upload that brings it to 0; ``version`` is the number of closes before
-    the event (the round it belongs to).
+    the event (the round it belongs to). ``start`` (federation_id, balance,
+    version) holds the counters before the first event, 0 where it has no row.
     """
     part = ["federation_id"]
     with_bal = running_sum(decided, part, F.col("delta"), "balance", bucket_seconds)
+    first = F.lit(0)
+    if start is not None:
+        with_bal = with_bal.join(start.select(
+            "federation_id", F.col("balance").alias("_b0"), F.col("version").alias("_v0")),
+            "federation_id", "left")
+        with_bal = with_bal.withColumn("balance", F.col("balance") + F.coalesce("_b0", F.lit(0)))
+        first = F.coalesce("_v0", F.lit(0))
     closes = (F.col("op") == "upload") & (F.col("status") == "accepted") & (F.col("balance") == 0)
     with_bal = with_bal.withColumn("closes", closes)
     counted = running_sum(with_bal, part, F.col("closes").cast("int"), "_n_closes",
                           bucket_seconds)
-    return (counted.withColumn("version", (F.col("_n_closes") - F.col("closes").cast("int"))
-                               .cast("int"))
-            .drop("_n_closes"))
+    return (counted.withColumn("version", (F.col("_n_closes") - F.col("closes").cast("int")
+                                           + first).cast("int"))
+            .drop("_n_closes", "_b0", "_v0"))
+
+
+def hold_off(barriered: DataFrame, history: DataFrame, seconds: int) -> DataFrame:
+    """Whether each request falls into the ``seconds`` after the previous round closed,
+    when its model is merged and evaluated. An equi-join on (federation, version)."""
+    before = history.filter(F.col("closed")).select(
+        "federation_id", (F.col("version") + 1).alias("version"),
+        F.unix_micros(F.col("closed_at").cast("timestamp")).alias("_closed"))
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    return (barriered.join(before, ["federation_id", "version"], "left")
+            .withColumn("held", F.coalesce(at <= F.col("_closed") + seconds * 1_000_000,
+                                           F.lit(False))).drop("_closed"))
 
 
 def round_history(barriered: DataFrame) -> DataFrame:
-    """T03 + T06: one row per (federation, version) with counts and close state.
+    """T03 + T06: one row per (federation, version) with counts, close state and elapsed time.
 
     ``n_models`` counts distinct uploaders (content-addressed: a client's
     repeated upload in a round is one object), ``total_samples`` sums the
@@ -153,21 +175,20 @@ def round_history(barriered: DataFrame) -> DataFrame:
             .select("federation_id", "version", "n_fetches", "n_uploads", "n_rejected",
                     F.coalesce("n_models", F.lit(0)).cast("bigint").alias("n_models"),
                     F.coalesce("total_samples", F.lit(0)).cast("bigint").alias("total_samples"),
-                    "closed", "opened_at", "closed_at"))
+                    "closed", "opened_at", "closed_at",
+                    (F.unix_micros(F.col("closed_at").cast("timestamp"))
+                     - F.unix_micros(F.col("opened_at").cast("timestamp"))).alias("elapsed_us")))
 
 
-def requester_reaction(barriered: DataFrame) -> DataFrame:
-    """P11 + T04: for version-refused requests, the server version echoed and
-    the requester's move (ahead -> wait, behind -> upgrade to the server's)."""
-    refused = barriered.filter(F.col("status") == "wrong_version")
-    claimed = F.col("version") + F.col("claim_offset")
-    action = (F.when(claimed > F.col("version"), F.lit("wait"))
-              .when(claimed < F.col("version"), F.lit("upgrade")).otherwise(F.lit("retry")))
-    return refused.select("federation_id", "event_id", "op",
-                          claimed.cast("int").alias("claimed_version"),
-                          F.col("version").alias("server_version"), action.alias("action"),
-                          F.greatest(claimed, F.col("version")).cast("int")
-                          .alias("next_version"))
+def requester_reaction(decided: DataFrame) -> DataFrame:
+    """For version-refused requests, the server version echoed and the
+    requester's move (ahead -> wait, behind -> upgrade to the server's)."""
+    refused = decided.filter(F.col("status") == "wrong_version")
+    claimed, server = F.col("claimed_version"), F.col("server_version")
+    action = (F.when(claimed > server, F.lit("wait"))
+              .when(claimed < server, F.lit("upgrade")).otherwise(F.lit("retry")))
+    return refused.select("federation_id", "event_id", "op", "claimed_version", "server_version",
+                          action.alias("action"), F.greatest(claimed, server).alias("next_version"))
 
 
 def latest_versions(history: DataFrame) -> DataFrame:
@@ -179,17 +200,28 @@ def latest_versions(history: DataFrame) -> DataFrame:
         F.count("*").alias("n_closed"))
 
 
-def current_status(history: DataFrame) -> DataFrame:
-    """S05 + U04: current status document per federation (newest round row),
-    as JSON ``{"version", "merging", "evaluating"}``; merges run between
-    micro-batches, so no round is ever seen mid-merge."""
-    cur = history.groupBy("federation_id").agg(F.max("version").alias("version"))
-    doc = F.to_json(F.struct(F.col("version"), F.lit(False).alias("merging"),
-                             F.lit(False).alias("evaluating")))
-    return cur.select("federation_id", "version", doc.alias("status_json"))
+def current_versions(history: DataFrame) -> DataFrame:
+    """Open round per federation: ``(federation_id, version)``."""
+    return history.groupBy("federation_id").agg(F.max("version").alias("version"))
+
+
+def read_status(documents: DataFrame, column: str = "document") -> DataFrame:
+    """Status documents (JSON) as columns version, merging, evaluating, sample_sizes."""
+    doc = F.from_json(F.col(column), STATUS_SCHEMA)
+    return documents.withColumn("_s", doc).select(
+        *[c for c in documents.columns if c != column], "_s.*")
+
+
+def write_status(status: DataFrame, column: str = "document") -> DataFrame:
+    """The columns of ``read_status`` as a JSON document."""
+    names = STATUS_SCHEMA.fieldNames()
+    return status.select(*[c for c in status.columns if c not in names],
+                         F.to_json(F.struct(*names)).alias(column))
 
 
-def version_gate(params: DataFrame, version: int | Column) -> DataFrame:
-    """Keep rows of one version (partition pruning on a partitioned table)."""
-    v = F.lit(version) if isinstance(version, int) else version
-    return params.filter(F.col("version") == v)
+def after_upload(status: DataFrame, client: Column, size: Column) -> DataFrame:
+    """The status after an upload: its client's entry in the map is set."""
+    entry = F.create_map(client, size)
+    rest = F.map_filter(F.coalesce("sample_sizes", F.create_map().cast("map<string,bigint>")),
+                        lambda k, _: k != client)
+    return status.withColumn("sample_sizes", F.map_concat(rest, entry))

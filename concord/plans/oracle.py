@@ -254,12 +254,14 @@ re AS (
   FROM events WHERE event_type IN ('view', 'click', 'purchase', 'signup')
 ),
 rq AS (
-  SELECT *, CASE WHEN event_id % 5 = 0 THEN -1 WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS claim_offset,
+  SELECT *, CAST(event_id // 1000 AS INTEGER) AS server_version,
+         CAST(event_id // 1000 + CASE WHEN event_id % 5 = 0 THEN -1 WHEN event_id % 7 = 0 THEN 1
+              ELSE 0 END AS INTEGER) AS claimed_version,
          event_id % 23 = 0 AS busy, event_id % 29 = 0 AS missing
   FROM re
 ),
 ad AS (
-  SELECT *, CASE WHEN claim_offset <> 0 THEN 'wrong_version'
+  SELECT *, CASE WHEN claimed_version <> server_version THEN 'wrong_version'
                  WHEN op = 'fetch' AND missing THEN 'missing'
                  WHEN busy THEN 'busy' ELSE 'accepted' END AS status
   FROM rq
@@ -269,7 +271,7 @@ dec AS (
     CASE op || '_' || status
       WHEN 'fetch_wrong_version' THEN 'Requested version is unavailable'
       WHEN 'fetch_missing' THEN 'Could not find resource'
-      WHEN 'fetch_busy' THEN 'Global model is being merged/evaluated'
+      WHEN 'fetch_busy' THEN 'Served, but not counted: the next model is in the making'
       WHEN 'upload_wrong_version' THEN 'Upload request is for a bad version'
       WHEN 'upload_busy' THEN 'Upload request denied'
       WHEN 'fetch_accepted' THEN 'Sending global model'
@@ -323,23 +325,40 @@ SELECT federation_id, event_id, op, status, details, delta FROM dec""",
     + "\nSELECT federation_id, event_id, version FROM b WHERE closes",
     "rounds_history": "WITH " + ROUNDS + """
 SELECT federation_id, version, n_fetches, n_uploads, n_rejected, n_models, total_samples, closed,
-       epoch_us(opened_at) AS opened_us, epoch_us(closed_at) AS closed_us
+       epoch_us(opened_at) AS opened_us, epoch_us(closed_at) AS closed_us,
+       epoch_us(closed_at) - epoch_us(opened_at) AS elapsed_us
 FROM hist""",
     "rounds_requester": "WITH " + ROUNDS + """
-SELECT federation_id, event_id, op, CAST(version + claim_offset AS INTEGER) AS claimed_version,
-       version AS server_version,
-       CASE WHEN claim_offset > 0 THEN 'wait' WHEN claim_offset < 0 THEN 'upgrade' ELSE 'retry' END
-         AS action,
-       CAST(greatest(version + claim_offset, version) AS INTEGER) AS next_version
-FROM b WHERE status = 'wrong_version'""",
+SELECT federation_id, event_id, op, claimed_version, server_version,
+       CASE WHEN claimed_version > server_version THEN 'wait' ELSE 'upgrade' END AS action,
+       greatest(claimed_version, server_version) AS next_version
+FROM dec WHERE status = 'wrong_version'""",
+    "rounds_rejects": "WITH " + ROUNDS + """
+SELECT federation_id, event_id, op, status, details, claimed_version, server_version
+FROM dec WHERE status <> 'accepted'""",
+    "rounds_hold_off": "WITH " + ROUNDS + """
+SELECT b.federation_id, b.event_id, b.version,
+       coalesce(epoch_us(b.ts) <= epoch_us(h.closed_at) + 600 * 1000000, false) AS held
+FROM b LEFT JOIN hist h ON h.closed AND h.federation_id = b.federation_id
+  AND h.version = b.version - 1""",
     "rounds_latest_version": "WITH " + ROUNDS + """
 SELECT federation_id, CAST(max(version) + 1 AS INTEGER) AS published_version,
        epoch_us(arg_max(closed_at, version)) AS published_us, count(*) AS n_closed
 FROM hist WHERE closed GROUP BY federation_id""",
-    "rounds_status": "WITH " + ROUNDS + """
-SELECT federation_id, version,
-       json_object('version', version, 'merging', false, 'evaluating', false)::VARCHAR AS status_json
-FROM cur""",
+    "rounds_status": "WITH " + ROUNDS + """,
+entries AS (
+  SELECT event_id, client_id, 'c1' AS client, event_id % 11 AS size, 1 AS seq FROM re
+  WHERE op = 'upload'
+  UNION ALL
+  SELECT event_id, client_id, CAST(client_id % 3 AS VARCHAR), event_id % 5, 1 FROM re
+  WHERE op = 'upload'
+  UNION ALL
+  SELECT event_id, client_id, CAST(client_id AS VARCHAR), sample_size, 2 FROM re
+  WHERE op = 'upload'
+)
+SELECT event_id, client_id, CAST(event_id % 9 AS INTEGER) AS version, event_id % 2 = 0 AS merging,
+       event_id % 3 = 0 AS evaluating, client, arg_max(size, seq) AS sample_size
+FROM entries GROUP BY event_id, client_id, client""",
     "rounds_pending_updates": "WITH " + ROUNDS + """
 SELECT b.federation_id, b.version, event_id, client_id, sample_size
 FROM b JOIN cur ON b.federation_id = cur.federation_id AND b.version = cur.version

@@ -132,3 +132,29 @@ def upload_records(documents: DataFrame) -> DataFrame:
              .otherwise(F.base64(F.encode("text", "UTF-8"))))
     body = F.to_json(F.struct(model.alias("model"), size.alias("sample_size")))
     return documents.select("doc_id", (d % 4).cast("int").alias("version"), body.alias("body"))
+
+
+def request_log(rounds: DataFrame) -> DataFrame:
+    """Request side of round events: the claimed and the server's version and its state.
+
+    The server's version is ``event_id div 1000``; the claim is one behind for
+    ``event_id % 5 = 0``, one ahead for ``% 7 = 0``; a merge runs for ``% 46 = 0``, an
+    evaluation for ``% 46 = 23``; the model is missing for ``% 29 = 0``.
+    """
+    eid = F.col("event_id")
+    server = F.floor(eid / 1000).cast("int")
+    offset = F.when(eid % 5 == 0, -1).when(eid % 7 == 0, 1).otherwise(0)
+    return rounds.select("*", (server + offset).alias("claimed_version"),
+                         server.alias("server_version"), (eid % 46 == 0).alias("merging"),
+                         (eid % 46 == 23).alias("evaluating"), (eid % 29 != 0).alias("exists"))
+
+
+def status_documents(rounds: DataFrame) -> DataFrame:
+    """A status document before each upload: ``(event_id, client_id, sample_size, document)``."""
+    uploads = rounds.filter(F.col("op") == "upload")
+    eid = F.col("event_id")
+    sizes = F.create_map(F.lit("c1"), eid % 11, (F.col("client_id") % 3).cast("string"), eid % 5)
+    doc = F.to_json(F.struct((eid % 9).cast("int").alias("version"),
+                             (eid % 2 == 0).alias("merging"), (eid % 3 == 0).alias("evaluating"),
+                             sizes.alias("sample_sizes")))
+    return uploads.select("event_id", "client_id", "sample_size", doc.alias("document"))

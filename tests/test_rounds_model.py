@@ -145,9 +145,56 @@ def test_streaming_barrier_equals_batch(spark, tmp_dir):
         dst = f"{tmp_dir}/in/{k}.parquet"
         os.link(f"{tmp_dir}/t{k}/{src}", dst)
         os.utime(dst, (1000 + k, 1000 + k))
-    S.run_barrier(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
-    got = spark.read.parquet(f"{tmp_dir}/out")
-    assert got.select("batch_id").distinct().count() == 3
     exp = rounds_job.q_barrier(spark, SF001)
-    g = got.select("federation_id", "event_id", "version")
-    assert g.exceptAll(exp).count() == 0 and exp.exceptAll(g).count() == 0
+    hist = rounds_job.q_history(spark, SF001).filter("closed").select(
+        "federation_id", "version", "n_fetches", "n_uploads")
+    rejected = rounds_job.q_rejects(spark, SF001)
+    for checkpoint in ("ckpt", "again"):  # a new checkpoint writes the same rows again
+        S.run_barrier(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/{checkpoint}")
+        got = spark.read.parquet(f"{tmp_dir}/out/closed")
+        g = got.select("federation_id", "event_id", "version")
+        assert g.exceptAll(exp).count() == 0 and exp.exceptAll(g).count() == 0
+        n = got.select("federation_id", "version", "n_fetches", "n_uploads")
+        assert n.exceptAll(hist).count() == 0 and hist.exceptAll(n).count() == 0
+        r = spark.read.parquet(f"{tmp_dir}/out/rejected")
+        assert r.select("batch_id").distinct().count() == 3
+        r = r.select(*rejected.columns)
+        assert r.exceptAll(rejected).count() == 0 and rejected.exceptAll(r).count() == 0
+
+
+def test_upload_stream(spark, tmp_dir):
+    import json
+
+    from concord.streaming import rounds_stream as S
+    bodies = [(1, '{"model": "YWJj", "sample_size": "5"}'), (2, "broken"),
+              (3, '{"model": "YWJj", "sample_size": "7"}'), (4, '{"model": "x", "sample_size": 1}')]
+    os.makedirs(f"{tmp_dir}/up")
+    for k, (i, b) in enumerate(bodies):
+        with open(f"{tmp_dir}/up/{k}.json", "w") as f:
+            f.write(json.dumps({"doc_id": i, "version": 0, "body": b}) + "\n")
+    for checkpoint in ("c1", "c2"):
+        S.run_uploads(spark, f"{tmp_dir}/up", f"{tmp_dir}/store", f"{tmp_dir}/{checkpoint}")
+        ok = spark.read.parquet(f"{tmp_dir}/store/accepted").collect()
+        bad = spark.read.parquet(f"{tmp_dir}/store/rejected").collect()
+        assert sorted(r.doc_id for r in ok) == [1, 3] and sorted(r.doc_id for r in bad) == [2, 4]
+        assert len({r.content_hash for r in ok}) == 1
+
+
+def test_admission_compares_versions(spark):
+    rows = [("fetch", 2, 2, False, False, True), ("fetch", 1, 2, False, False, True),
+            ("fetch", None, 2, False, False, True), ("fetch", 2, 2, False, False, False),
+            ("fetch", 2, 2, False, True, True), ("upload", 3, 2, False, False, True),
+            ("upload", 2, 2, True, False, True), ("upload", 2, 2, False, False, False)]
+    df = spark.createDataFrame(rows, "op string, claimed_version int, server_version int, "
+                                     "merging boolean, evaluating boolean, exists boolean")
+    got = [(r.status, r.delta) for r in RD.admission(df).collect()]
+    assert got == [("accepted", 1), ("wrong_version", 0), ("wrong_version", 0), ("missing", 0),
+                   ("busy", 0), ("wrong_version", 0), ("busy", 0), ("accepted", -1)]
+
+
+def test_status_document_round_trip(spark):
+    doc = '{"version":3,"merging":true,"evaluating":false,"sample_sizes":{"a":1,"b":2}}'
+    df = spark.createDataFrame([(1, doc)], "id int, document string")
+    new = RD.after_upload(RD.read_status(df), F.lit("b"), F.lit(9).cast("bigint"))
+    back = RD.read_status(RD.write_status(new)).first()
+    assert (back.version, back.merging, back.sample_sizes) == (3, True, {"a": 1, "b": 9})
