@@ -34,10 +34,11 @@ from concord.llm import kernels as K
 from concord.llm.common import table
 
 #: Text bytes whose pieces are encoded together, and distinct pieces remembered.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 REMEMBERED = 1_000_000
-#: Ids that one decoding query holds.
-DECODE_IDS = 1 << 20
+#: Bytes of new pieces that one encoding query holds, and ids that one decoding query holds.
+QUERY_BYTES = 1 << 17
+DECODE_IDS = 1 << 17
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 # Code points of the Unicode property White_Space.
 WHITE_SPACE = (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
@@ -158,7 +159,8 @@ class Coder:
                 if a is not None and b is not None:
                     pairs.append((a << 32) + b)
                     merged.append(rank)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1})
+        self.db.execute("SET preserve_insertion_order = false")
         self._load("merges", pair=pa.array(pairs, pa.int64()), tok=pa.array(merged, pa.int32()))
         self._load("vocabulary", tok=pa.array(list(ranks.values()), pa.int32()),
                    hex=pa.array([t.hex() for t in ranks], pa.string()))
@@ -173,7 +175,14 @@ class Coder:
         self.db.unregister("arrow_rows")
 
     def contract(self, pieces: list[bytes]):
-        """(number of ids of each piece, all ids) by the recursive query."""
+        """(number of ids of each piece, all ids), a bounded part of the pieces at a time."""
+        bounds = np.concatenate(([0], np.cumsum([len(p) for p in pieces])))
+        parts = [self._contract(pieces[i:j]) for i, j in K.pieces(bounds, QUERY_BYTES)]
+        sizes, ids = zip(*parts, strict=True)
+        return np.concatenate(sizes), np.concatenate(ids)
+
+    def _contract(self, pieces: list[bytes]):
+        """One run of the recursive query."""
         whole = [(k, self.ranks[p]) for k, p in enumerate(pieces) if p in self.ranks]
         rest = [(k, p) for k, p in enumerate(pieces) if p not in self.ranks]
         sizes = np.array([len(p) for _, p in rest], np.int64)
@@ -256,60 +265,70 @@ def _coder(ranks: dict[bytes, int]) -> Coder:
     return _CODERS[key]
 
 
-def _added(schema, drop: str) -> tuple[list[int], str]:
-    keep = [k for k, f in enumerate(schema) if f.name != drop]
-    fields = [f"`{schema[k].name}` {schema[k].dataType.simpleString()}" for k in keep]
-    return keep, ", ".join([*fields, f"{drop} binary"])
+def _encoded(coder: Coder, column, i: int, j: int):
+    """Ids of the texts i..j of a column, as binary values."""
+    data, off = column
+    ids, bounds = coder.encode(data, off[i:j + 1])
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), j - i, [None, pa.py_buffer(bounds.astype(np.int64) * 4),
+                                   pa.py_buffer(ids.astype("<u4"))]).cast(pa.binary())
 
 
-def encode(docs: DataFrame, ranks_path: str, text_col: str = "text") -> DataFrame:
-    """All columns, and ``ids``: the ids as little-endian unsigned 32-bit integers."""
-    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    keep, schema = _added(docs.schema, "ids")
-    names = [*(docs.schema[k].name for k in keep), "ids"]
-    text_at = docs.schema.names.index(text_col)
+def _decoded(coder: Coder, column):
+    """Bytes of a column of ids, a bounded number of ids to a query."""
+    data, off = column
+    out: list[bytes] = []
+    for i, j in K.pieces(off, 4 * DECODE_IDS):
+        ids = np.frombuffer(data[off[i]:off[j]].tobytes(), "<u4")
+        out += coder.decode(ids, (off[i:j + 1] - off[i]) // 4)
+    return pa.array(out, pa.binary())
+
+
+def _mapped(rows: DataFrame, ranks_path: str, source: str, steps: list[str]) -> DataFrame:
+    """All columns and those of the steps: ``ids`` from texts, ``decoded`` from ids. Steps
+    asked for together run in one worker process."""
+    ranks = rows.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    schema = rows.schema
+    keep = [k for k, f in enumerate(schema) if f.name not in steps]
+    names = [*(schema[k].name for k in keep), *steps]
+    at = schema.names.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(ranks.value)
         for batch in batches:
-            data, off = K.byte_column(batch.column(text_at))
-            for i, j in K.pieces(off, CHUNK_BYTES):
-                ids, bounds = coder.encode(data, off[i:j + 1])
-                body = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), j - i,
-                    [None, pa.py_buffer((bounds * 4).astype(np.int64)),
-                     pa.py_buffer(ids.astype("<u4"))]).cast(pa.binary())
-                part = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), body],
+            column = K.byte_column(batch.column(at))
+            for i, j in K.pieces(column[1], CHUNK_BYTES):
+                part, new = batch.slice(i, j - i), []
+                if "ids" in steps:
+                    new.append(_encoded(coder, column, i, j))
+                if "decoded" in steps:
+                    new.append(_decoded(coder, K.byte_column(new[0] if new else part.column(at))))
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), *new],
                                                  names=names)
 
-    return docs.mapInArrow(run, schema)
+    fields = [f"`{schema[k].name}` {schema[k].dataType.simpleString()}" for k in keep]
+    return rows.mapInArrow(run, ", ".join([*fields, *(f"{c} binary" for c in steps)]))
+
+
+def encode(docs: DataFrame, ranks_path: str, text_col: str = "text") -> DataFrame:
+    """All columns, and ``ids``: the ids as little-endian unsigned 32-bit integers."""
+    return _mapped(docs, ranks_path, text_col, ["ids"])
 
 
 def decode(tokens: DataFrame, ranks_path: str) -> DataFrame:
-    """All columns, and ``decoded``: the bytes of the ids."""
-    ranks = tokens.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    keep, schema = _added(tokens.schema, "decoded")
-    names = [*(tokens.schema[k].name for k in keep), "decoded"]
-    ids_at = tokens.schema.names.index("ids")
+    """All columns, and ``decoded``: the bytes of the column ``ids``."""
+    tokens = tokens.drop("decoded").withColumnRenamed("ids", "_ids")
+    return _mapped(tokens, ranks_path, "_ids", ["decoded"]).withColumnRenamed("_ids", "ids")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(ranks.value)
-        for batch in batches:
-            data, off = K.byte_column(batch.column(ids_at))
-            for i, j in K.pieces(off, 4 * DECODE_IDS):
-                ids = np.frombuffer(data[off[i]:off[j]].tobytes(), "<u4")
-                body = coder.decode(ids, (off[i:j + 1] - off[i]) // 4)
-                part = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(k) for k in keep), pa.array(body, pa.binary())], names=names)
 
-    return tokens.mapInArrow(run, schema)
+def round_trip(docs: DataFrame, ranks_path: str, text_col: str = "text") -> DataFrame:
+    """All columns, ``ids``, and ``decoded``: the bytes that the ids give again."""
+    return _mapped(docs, ranks_path, text_col, ["ids", "decoded"])
 
 
 def digests(docs: DataFrame, ranks_path: str, text_col: str = "text") -> DataFrame:
     """Encode, decode, and the digests of both; all other columns stay."""
-    return decode(encode(docs, ranks_path, text_col), ranks_path).withColumns({
+    return round_trip(docs, ranks_path, text_col).withColumns({
         "n_tokens": (F.octet_length("ids") / 4).cast("long"),
         "ids_sha256": F.sha2("ids", 256), "decoded_sha256": F.sha2("decoded", 256),
     }).drop("ids", "decoded")

@@ -67,8 +67,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: token ids (little-endian unsigned 32-bit) and the round trip's digest."""
-    ranks = bpe.default_ranks()
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks), ranks)
+    coded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), bpe.default_ranks())
     return coded.select("doc_id", "lang", "source",
                         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -66,6 +66,8 @@ def test_query_columns(spark, library):
         assert (row.doc_id, row.n_tokens) == (doc, len(want))
         assert row.ids_sha256 == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+    apart = bpe.decode(bpe.encode(df, bpe.default_ranks()), bpe.default_ranks())
+    assert [bytes(r.decoded) for r in apart.collect()] == [(t or "").encode() for _, t, _ in rows]
     empty = spark.createDataFrame([], df.schema)
     assert bpe.digests(empty, bpe.default_ranks()).count() == 0
 
