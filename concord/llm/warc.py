@@ -40,6 +40,8 @@ LEAST = 100
 #: Bytes of an archive that one task scans, and of one read.
 RANGE = 8 << 20
 READ = 1 << 16
+#: Tasks of one reading job; beyond, a task scans several ranges.
+MOST_TASKS = 100_000
 MAGIC = b"\x1f\x8b\x08"
 HEADER = b"WARC/1."
 #: A header that has not ended after so many bytes is not one.
@@ -233,7 +235,9 @@ def read_archives(spark: SparkSession, folder: str, bytes_per_task: int = RANGE)
              .select("path", "length").filter("length > 0"))
     ranges = files.select("path", F.explode(F.sequence(
         F.lit(0).cast("long"), F.col("length") - 1, F.lit(bytes_per_task).cast("long")))
-        .alias("start")).repartition(F.col("path"), F.col("start"))
+        .alias("start"))
+    # a row is a few bytes but a whole range of work, so the number of tasks is set here
+    ranges = ranges.repartition(max(1, min(ranges.count(), MOST_TASKS)))
     names = [f.split(" ")[0] for f in RECORDS.split(", ")]
     types = [pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string(),
              pa.int64()]
