@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -34,7 +35,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     sf = os.path.basename(os.path.normpath(sf_dir)).replace("sf", "")
     spark = local_session(cpus=cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16,
-                          app_name="concord-bench")
+                          app_name="concord-bench",
+                          extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-")})
     queries = catalog.all_queries()
     # warm-up: JVM, parquet footers, codegen caches
     queries["corpus_grand_total"](spark, sf_dir).write.format("noop").mode("overwrite").save()
