@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+from concord.llm import quality_rules as Q
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x20\x09-\x0D]+"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -104,6 +108,64 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
 FROM p LEFT JOIN f USING (digest)
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_min_cost_flow_sharding": OP4, "op5_warc_splittable": OP5,
+def op8() -> str:
+    """Base counts, histograms, pooled references and Jensen-Shannon distances."""
+    common = ", ".join(f"('{lang}', {i}, '{w}')" for lang, ws in Q.COMMON_WORDS.items()
+                       for i, w in enumerate(ws.split()))
+    patterns = {"lower": "a-z", "upper": "A-Z", "digit": "0-9", "space": r"\x20\x09",
+                "newline": r"\x0A\x0D", "stop": ".,;:!?", "symbol": "#*$%&|<>",
+                "quote": r"''\x22()-"}
+    of = {k: f"length(regexp_replace(t, '[^{p}]', '', 'g'))" for k, p in patterns.items()}
+    of["high"] = r"length(regexp_replace(t, '[\x00-\x7F]', '', 'g'))"
+    of["other"] = f"length(t) - ({' + '.join(of.values())})"
+    counts = [of[k] for k in Q.CLASSES]
+    part = "CASE WHEN {0} > 0 THEN {0} * log2(2 * {0} / (x[1] + x[2])) ELSE 0 END"
+    distance = ("sqrt(greatest(0, list_sum(list_transform(list_zip(p, q), lambda x: 0.5 * (("
+                + part.format("x[1]") + ") + (" + part.format("x[2]") + "))))))")
+    noise = 4 * math.log(2)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '\x01') AS lang, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+pos AS (SELECT r, generate_subscripts(w, 1) AS i, unnest(w) AS x FROM d),
+tri AS (SELECT r, i, count(*) OVER (PARTITION BY r, w1, w2, w3) AS n FROM (
+          SELECT r, i, x AS w1, lead(x) OVER s AS w2, lead(x, 2) OVER s AS w3 FROM pos
+          WINDOW s AS (PARTITION BY r ORDER BY i)) WHERE w3 IS NOT NULL),
+rep AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM tri WHERE n > 1) GROUP BY r),
+lines AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d)
+          WHERE regexp_matches(l, '{_WORD}') GROUP BY r),
+common(lang, bin, word) AS (VALUES {common}),
+bins AS (SELECT r, bin, count(*) AS n FROM d JOIN pos USING (r)
+         JOIN common c ON c.lang = d.lang AND {_folded('x')} = c.word GROUP BY r, bin),
+allbins AS (SELECT r, bin, coalesce(b.n, 0) AS n FROM d JOIN common c ON c.lang = d.lang LEFT JOIN bins b USING (r, bin)),
+hist AS (SELECT r, list(n ORDER BY bin) AS h, sum(n) AS s FROM allbins GROUP BY r),
+f AS (SELECT r, doc_id, d.lang, len(w)::BIGINT AS n_words,
+             coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+             coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+             [{', '.join(counts)}] AS chars, list_append(coalesce(h, []), (len(w) - coalesce(s, 0))::BIGINT) AS words
+      FROM d LEFT JOIN lines USING (r) LEFT JOIN rep USING (r) LEFT JOIN hist USING (r)),
+g AS (SELECT *, n_words < {Q.MIN_WORDS} OR 100 * n_repeat_words > {Q.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM f),
+rc AS (SELECT lang, list(n ORDER BY i) AS ref FROM (SELECT lang, i, sum(v) AS n FROM (
+         SELECT lang, unnest(chars) AS v, generate_subscripts(chars, 1) AS i FROM g WHERE NOT base_failed) GROUP BY ALL) GROUP BY lang),
+rw AS (SELECT lang, list(n ORDER BY i) AS ref FROM (SELECT lang, i, sum(v) AS n FROM (
+         SELECT lang, unnest(words) AS v, generate_subscripts(words, 1) AS i FROM g WHERE NOT base_failed) GROUP BY ALL) GROUP BY lang),
+pq AS (SELECT g.*, list_sum(chars)::DOUBLE AS nc, rc.ref AS qc, rw.ref AS qw FROM g LEFT JOIN rc USING (lang) LEFT JOIN rw USING (lang)),
+dist AS (
+  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, nc, len(chars) AS bc, len(words) AS bw,
+    (SELECT {distance} FROM (SELECT list_transform(chars, lambda x: x / greatest(1, list_sum(chars))) AS p,
+                               list_transform(qc, lambda x: x / greatest(1, list_sum(qc))) AS q)) AS dc,
+    (SELECT {distance} FROM (SELECT list_transform(words, lambda x: x / greatest(1, list_sum(words))) AS p,
+                               list_transform(qw, lambda x: x / greatest(1, list_sum(qw))) AS q)) AS dw
+  FROM pq)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed
+  AND NOT coalesce(nc >= {Q.CHAR_MIN} AND dc * dc > {Q.CHAR_LIMIT ** 2} + (bc - 1) / (nc * {noise}), false)
+  AND NOT coalesce(n_words >= {Q.WORD_MIN} AND dw * dw > {Q.WORD_LIMIT ** 2} + (bw - 1) / (n_words * {noise}), false) AS kept
+FROM dist
+"""
+
+
+ORACLE_SQL: dict[str, str] = {"op8_quality_rules": op8(),
+                              "op4_min_cost_flow_sharding": OP4, "op5_warc_splittable": OP5,
                               "op2_ngram_jaccard_join": OP2,
                               "op10_decontamination": OP10}
