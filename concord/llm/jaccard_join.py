@@ -353,16 +353,67 @@ def sets_of(docs: DataFrame, members: DataFrame, classes: DataFrame) -> DataFram
     return written(sets, "sets")
 
 
+#: Sets of one side of a cell when many pairs among few sets are verified.
+CELL_SETS = 2000
+
+
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that reach the similarity, by exact intersection."""
+    """The pairs (a, b) that reach the similarity, by exact intersection.
+
+    Sets travel either with their pairs (two joins), or, where pairs are many and
+    sets few, to the cells of a grid over (a, b): each set once per row and column.
+    """
+    pairs = pairs.select("a", "b").distinct()
+    n = sets.count()
+    side = -(-n // CELL_SETS)
+    if pairs.count() > 2 * n * side > 0:
+        return _linked_in_cells(pairs, sets, side)
     left = sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb"))
     both = F.size(F.array_intersect("ga", "gb"))
     union = F.size("ga") + F.size("gb") - both
-    return (pairs.select("a", "b").distinct().join(left, "a").join(right, "b")
+    return (pairs.join(left, "a").join(right, "b")
             .filter(100 * both >= 75 * union).select("a", "b"))
 
 
+def _linked_in_cells(pairs: DataFrame, sets: DataFrame, side: int) -> DataFrame:
+    """A task holds the sets of one cell (at most some ``CELL_SETS`` a side) and streams
+    the cell's pairs past them."""
+    part = lambda c: F.pmod(F.hash(c), F.lit(side))
+    cell = lambda x, y: (x * side + y).cast("int").alias("cell")
+    all_ = F.sequence(F.lit(0), F.lit(side - 1))
+    none = F.lit(None).cast("array<long>")
+    rows = sets.select(F.explode(all_).alias("k"), "cls", "grams")
+    by_row = rows.select(cell(part("cls"), F.col("k")), F.col("cls").alias("a"),
+                         F.lit(None).cast("long").alias("b"), "grams")
+    by_column = rows.select(cell(F.col("k"), part("cls")), F.col("cls").alias("a"),
+                            F.lit(None).cast("long").alias("b"), "grams")
+    tested = pairs.select(cell(part("a"), part("b")), "a", "b", none.alias("grams"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, {}
+        for batch in batches:
+            cells, a, b = (batch.column(k).to_pylist() for k in range(3))
+            grams = batch.column(3)
+            out = []
+            for k, (c, x, y) in enumerate(zip(cells, a, b, strict=True)):
+                if c != at:
+                    at, held = c, {}
+                if y is None:
+                    held[x] = grams[k].values.to_numpy()
+                    continue
+                ga, gb = held[x], held[y]
+                both = len(np.intersect1d(ga, gb, assume_unique=True))
+                if 100 * both >= 75 * (len(ga) + len(gb) - both):
+                    out.append((x, y))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return (by_row.unionByName(by_column).unionByName(tested)
+            .repartition(side * side, "cell").sortWithinPartitions("cell", F.col("b").isNotNull())
+            .mapInArrow(run, "a long, b long"))
+
+
 def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs whose ends are not yet in one component."""
     la = labels.select(F.col("v").alias("a"), F.col("label").alias("la"))

@@ -74,7 +74,10 @@ def test_second_pass_alone_finds_all_links(spark, words_of):
     classes = members.filter("n > 0").select("cls").distinct()
     sets = J.sets_of(df, members, classes).withColumn("extent", F.lit(1).cast("long"))
     sets = sets.withColumn("label", F.col("cls"))
-    found = J.linked(J.second_pass(sets, classes), sets)
+    pairs = J.second_pass(sets, classes)
+    found = J.linked(pairs, sets)
+    cells = J._linked_in_cells(pairs, sets, 3)
+    assert found.exceptAll(cells).count() == 0 and cells.exceptAll(found).count() == 0
     got = J._result(df, members, J.components(found))
     got = got.select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, got)) == brute(rows, words_of)
