@@ -124,7 +124,7 @@ def op8() -> str:
                 + part.format("x[1]") + ") + (" + part.format("x[2]") + "))))))")
     noise = 4 * math.log(2)
     return f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '\x01') AS lang, coalesce(text, '') AS t,
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t,
                   regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
 pos AS (SELECT r, generate_subscripts(w, 1) AS i, unnest(w) AS x FROM d),
 tri AS (SELECT r, i, count(*) OVER (PARTITION BY r, w1, w2, w3) AS n FROM (

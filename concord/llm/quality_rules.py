@@ -10,8 +10,8 @@ length under which it is not judged, and the squared limit is widened by twice
 the divergence that sampling alone gives, ``(bins - 1) / (8 ln 2 length)``.
 
 Edge cases: a null or empty text has zero counts, no words, fails the base
-rules and is not kept; a null language is a language of its own without common
-words; duplicate ids are separate rows; columns other than id, text and
+rules and is not kept; a null language counts as the language "", which has no
+common words; duplicate ids are separate rows; columns other than id, text and
 language are ignored; an empty table gives an empty result.
 """
 
@@ -179,7 +179,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      pa.array(f["words"], pa.list_(pa.int64()))], schema=schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(lang_col).cast("string").alias("lang"),
+                       F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
                        F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, FEATURES)
 
@@ -200,9 +200,7 @@ def references(feats: DataFrame) -> DataFrame:
             F.transform(F.array_sort(F.collect_list(F.struct("bin", "n"))), lambda s: s["n"])
             .alias(f"ref_{col}"))  # at most one entry per bin
 
-    return (pooled("chars").join(pooled("words"), "lang", "outer")
-            .union(good.filter("lang is null").limit(1).select(
-                F.lit(None).cast("string"), F.expr("array(0L)"), F.expr("array(0L)"))))
+    return pooled("chars").join(pooled("words"), "lang")
 
 
 def distance(p: str, q: str):
@@ -226,7 +224,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     feats = written(features(docs, id_col, text_col, lang_col), "rules")
     ref = broadcast_if_small(references(feats), 10_000)  # one row per language
-    rows = (feats.join(ref, feats.lang.eqNullSafe(ref.lang), "left").drop(ref.lang)
+    rows = (feats.join(ref, "lang", "left")
             .withColumn("n_chars", F.expr("aggregate(chars, 0L, (s, x) -> s + x)"))
             .withColumn("char_distance", distance("chars", "ref_chars"))
             .withColumn("word_distance", distance("words", "ref_words"))

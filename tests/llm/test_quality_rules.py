@@ -58,7 +58,9 @@ def test_against_brute_force(spark):
     rows = corpus()
     df = spark.createDataFrame([(*x, True) for x in rows],
                                "doc_id long, lang string, text string, kept boolean").repartition(3)
-    got = {(x.doc_id, x.n_words, x.word_chars): x for x in Q.judge(df).collect()}
+    judged = Q.judge(df).collect()
+    assert len(judged) == len(rows)
+    got = {(x.doc_id, x.n_words, x.word_chars): x for x in judged}
     want = [(d, lang, *brute(t, lang)) for d, lang, t in rows]
     refs = {}
     for d, lang, base, chars, words in want:
