@@ -1,15 +1,16 @@
 """Interpolated modified Kneser-Ney n-gram models as tables (for operators 1 and 6).
 
-Tokens are the UTF-8 bytes of a text, mapped through a vocabulary of at most
-256 symbols; ``order - 1`` start symbols precede every text. A gram is the
-number whose base-256 digits are its symbols. Counting is a map-side
-aggregation followed by one shuffle; discounts, context sums and the
-interpolation are grouped aggregations and joins on (model, gram), which shard
-every level of the model by its key. The result holds the loss of each distinct
+Tokens are the words of a text (``Words``: maximal runs without blanks, lower-cased
+A-Z; the registered queries use them) or its UTF-8 bytes (``Bytes``); ``order - 1``
+start symbols precede every text. A gram is two numbers whose digits are its
+symbols: the last ``63 // bits`` symbols in ``gram``, the ones before in ``hi``.
+Counting is a map-side aggregation followed by one shuffle; discounts, context sums
+and the interpolation are grouped aggregations and joins on (model, hi, gram), which
+shard every level of the model by its key. The result holds the loss of each distinct
 gram of the corpus, so the size of a model follows the corpus, not a cap.
 
-Scoring looks losses up in a broadcast table while its counted size is at most
-``BROADCAST_GRAMS``; beyond, per-document gram counts are joined with it.
+Scoring joins the gram counts of each document with the losses; no model passes
+through the driver.
 """
 
 from __future__ import annotations
@@ -18,43 +19,117 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concord.llm import kernels as K
-from concord.llm.common import written
+from concord.llm.common import broadcast_if_small, written
 
 ORDER = 5
 START = 0
-#: Grams (12 bytes each) that may be broadcast.
+#: Not read any more (every table is joined); callers may still pass a limit.
 BROADCAST_GRAMS = 4_000_000
+#: Words found less often in all documents are one unknown symbol.
+LEAST_WORDS = 5
 
-COUNTS = "model string, gram long, every long, chosen long"
+KEY = ["model", "hi", "gram"]
+COUNTS = "model string, hi long, gram long, every long, chosen long"
 
 
-def gram_codes(data: np.ndarray, off: np.ndarray, order: int, symbols: np.ndarray):
-    """(gram that ends at each byte, text of each byte) of texts between the offsets."""
-    raw = symbols[data[off[0]:off[-1]]].astype(np.int64)
-    size = np.diff(off)
+def identity() -> np.ndarray:
+    return np.arange(256, dtype=np.uint8)
+
+
+class Bytes:
+    """The bytes of a text, mapped to at most 256 symbols."""
+
+    bits = 8
+
+    def __init__(self, symbols: np.ndarray | None = None):
+        self.symbols = identity() if symbols is None else symbols
+        self.size = len(np.unique(self.symbols))
+
+    def tokens(self, data: np.ndarray, off: np.ndarray):
+        """(symbol of each token, number of the first token of each text)."""
+        return self.symbols[data[off[0]:off[-1]]].astype(np.int64), off - off[0]
+
+
+class Words:
+    """The words of a text; words outside the vocabulary are one unknown symbol.
+
+    A word is in the vocabulary when all texts hold it at least ``least`` times and
+    it is at least one in ``MOST`` of all their words, so there are at most ``MOST``.
+    """
+
+    bits = 21
+    MOST = (1 << 21) - 2
+    UNKNOWN = 1
+
+    def __init__(self, texts: DataFrame, least: int):
+        counts = written(word_counts(texts), "words")
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        words = counts.filter(F.col("n") >= max(least, -(-total // self.MOST))).select("word")
+        found = np.sort(words.toArrow().column(0).to_numpy().astype(np.int64))
+        self.size = len(found) + 1
+        self.kept = texts.sparkSession.sparkContext.broadcast(found)
+
+    def tokens(self, data: np.ndarray, off: np.ndarray):
+        """(symbol of each token, number of the first token of each text)."""
+        hashes, first = K.word_hashes(data, off, K.not_space())
+        hashes, kept = K.signed(hashes), self.kept.value
+        if not len(kept):
+            return np.full(len(hashes), self.UNKNOWN, np.int64), first
+        at = np.minimum(np.searchsorted(kept, hashes), len(kept) - 1)
+        return np.where(kept[at] == hashes, at + 2, self.UNKNOWN), first
+
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(word, n): hash and number of each distinct word of the texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = K.byte_column(batch.column(0))
+            for i, j in K.pieces(off):
+                hashes, _ = K.word_hashes(data, off[i:j + 1], K.not_space())
+                words, n = np.unique(K.signed(hashes), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(n)],
+                                                 names=["word", "n"])
+
+    return (texts.select("text").mapInArrow(run, "word long, n long").groupBy("word")
+            .agg(F.sum("n").alias("n")))
+
+
+def gram_codes(data: np.ndarray, off: np.ndarray, order: int, unit):
+    """(hi, gram) that ends at each token, text of each token, tokens of each text."""
+    ids, first = unit.tokens(data, off)
+    size, per = np.diff(first), 63 // unit.bits
+    assert order <= 2 * per
     text = np.repeat(np.arange(len(size)), size)
-    place = np.arange(len(raw)) - np.repeat(off[:-1] - off[0], size)
-    code = raw.copy()
+    place = np.arange(len(ids)) - np.repeat(first[:-1], size)
+    code = [ids.copy(), np.zeros(len(ids), np.int64)]
     for j in range(1, order):
-        before = np.zeros(len(raw), np.int64)
-        before[j:] = raw[:max(0, len(raw) - j)]
+        before = np.zeros(len(ids), np.int64)
+        before[j:] = ids[:max(0, len(ids) - j)]
         before[place < j] = START
-        code |= before << (8 * j)
-    return code, text
+        code[j // per] |= before << (unit.bits * (j % per))
+    return code[1], code[0], text, size
 
 
-def identity() -> np.ndarray:
-    return np.arange(256, dtype=np.uint8)
+def distinct(*columns: np.ndarray):
+    """(place of the first row of each group of equal rows, group of each row)."""
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[order][1:] != c[order][:-1]
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    return order[new], group
 
 
-def gram_counts(rows: DataFrame, order: int = ORDER, symbols: np.ndarray | None = None) -> DataFrame:
-    """(model, gram, every, chosen) from rows (model, chosen, text): counts over all
+def gram_counts(rows: DataFrame, order: int = ORDER, unit=None) -> DataFrame:
+    """(model, hi, gram, every, chosen) from rows (model, chosen, text): counts over all
     rows and over those marked as chosen."""
-    symbols = identity() if symbols is None else symbols
+    unit = unit or Bytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,42 +138,49 @@ def gram_counts(rows: DataFrame, order: int = ORDER, symbols: np.ndarray | None
             which = np.array([models[m] for m in names], np.int64)
             chosen = np.array(batch.column(1).to_pylist(), bool)
             data, off = K.byte_column(batch.column(2))
-            parts = []
+            names = np.array([*models, None], object)
             for i, j in K.pieces(off):
-                code, text = gram_codes(data, off[i:j + 1], order, symbols)
-                for flag in (False, True):
-                    take = chosen[i:j][text] == flag
-                    key = (which[i:j][text][take] << (8 * order)) | code[take]
-                    keys, n = np.unique(key, return_counts=True)
-                    parts.append((keys, n, n * flag))
-            if not parts:
-                continue
-            key, n, c = (np.concatenate(x) for x in zip(*parts, strict=True))
-            keys, back = np.unique(key, return_inverse=True)
-            every = np.bincount(back, n, len(keys)).astype(np.int64)
-            some = np.bincount(back, c, len(keys)).astype(np.int64)
-            names = np.array([*models, None], object)[keys >> (8 * order)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array(keys & ((1 << (8 * order)) - 1)),
-                 pa.array(every), pa.array(some)], names=["model", "gram", "every", "chosen"])
+                hi, gram, text, _ = gram_codes(data, off[i:j + 1], order, unit)
+                model = which[i:j][text]
+                at, group = distinct(model, hi, gram)
+                every = np.bincount(group, minlength=len(at))
+                some = np.bincount(group, chosen[i:j][text], len(at)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[model[at]], pa.string()), pa.array(hi[at]),
+                     pa.array(gram[at]), pa.array(every), pa.array(some)],
+                    names=["model", "hi", "gram", "every", "chosen"])
 
     rows = rows.select(F.coalesce(F.col("model").cast("string"), F.lit("")).alias("model"),
                        F.coalesce("chosen", F.lit(False)).alias("chosen"), "text")
-    return (rows.mapInArrow(run, COUNTS).groupBy("model", "gram")
+    return (rows.mapInArrow(run, COUNTS).groupBy(*KEY)
             .agg(F.sum("every").alias("every"), F.sum("chosen").alias("chosen")))
 
 
-def suffix(symbols: int):
-    return F.col("gram").bitwiseAND(F.lit((1 << (8 * symbols)) - 1))
+def suffix(symbols: int, bits: int) -> list[Column]:
+    """(hi, gram) of the last symbols of a gram."""
+    def low(name: str, n: int):
+        return F.col(name).bitwiseAND(F.lit((1 << (bits * n)) - 1)).alias(name)
 
+    per = 63 // bits
+    if symbols <= per:
+        return [F.lit(0).cast("long").alias("hi"), low("gram", symbols)]
+    return [low("hi", symbols - per), F.col("gram")]
 
-def levels(counts: DataFrame, order: int) -> list[DataFrame]:
-    """(model, gram, a) for gram lengths 1..order: counts at the top, below it the number
-    of different symbols that precede a gram."""
-    out = [counts.select("model", "gram", F.col("n").alias("a"))]
+
+def context(bits: int) -> list[Column]:
+    """(c_hi, c_gram): the gram without its last symbol."""
+    carry = F.shiftleft(F.col("hi").bitwiseAND(F.lit((1 << bits) - 1)), bits * (63 // bits - 1))
+    return [F.shiftright("hi", bits).alias("c_hi"),
+            F.shiftright("gram", bits).bitwiseOR(carry).alias("c_gram")]
+
+
+def levels(counts: DataFrame, order: int, bits: int) -> list[DataFrame]:
+    """(model, hi, gram, a) for gram lengths 1..order: counts at the top, below it the
+    number of different symbols that precede a gram in the training text (0: only scored)."""
+    out = [counts.select(*KEY, F.col("n").alias("a"))]
     for k in range(order - 1, 0, -1):
-        shorter = out[0].select("model", suffix(k).alias("gram"))
-        shorter = shorter.groupBy("model", "gram").agg(F.count("*").alias("a"))
+        shorter = out[0].select("model", *suffix(k, bits), (F.col("a") > 0).cast("long").alias("a"))
+        shorter = shorter.groupBy(*KEY).agg(F.sum("a").alias("a"))
         out.insert(0, written(shorter, f"lm-{k}"))  # read three times, and by the next level
     return out
 
@@ -119,116 +201,78 @@ def discounts(level: DataFrame) -> DataFrame:
         for k, r in zip((1, 2, 3), raw, strict=True)))
 
 
-def losses(counts: DataFrame, wanted: DataFrame, order: int, vocabulary: int = 256) -> DataFrame:
-    """(model, gram, loss): natural-log loss of the last symbol of each wanted gram.
+def losses(counts: DataFrame, order: int, unit) -> DataFrame:
+    """(model, hi, gram, loss): natural-log loss of the last symbol of each gram.
 
-    ``counts``: (model, gram, n) of the training text. Below the shortest gram lies
-    the uniform distribution over the vocabulary; an unseen context passes its
-    whole mass down. A model without counts is uniform.
+    ``counts``: (model, hi, gram, n) with the count of each gram in the training text,
+    0 for grams that are only scored. Below the shortest gram lies the uniform
+    distribution over the vocabulary; an unseen context passes its whole mass down. A
+    model without counts is uniform.
     """
     below = None
-    for k, level in enumerate(levels(counts, order), 1):
-        d = discounts(level)  # one row per model
-        cut = (F.when(F.col("a") == 1, F.col("d1")).when(F.col("a") == 2, F.col("d2"))
-               .otherwise(F.col("d3")))
-        seen = level.join(d, "model").select(
-            "model", "gram", (F.col("a") - cut).alias("rest"), "a", cut.alias("cut"))
-        context = seen.groupBy("model", F.shiftright("gram", 8).alias("context")).agg(
+    for k, level in enumerate(levels(counts, order, unit.bits), 1):
+        d = broadcast_if_small(written(discounts(level), f"lm-d-{k}"), 100_000)  # one a model
+        cut = (F.when(F.col("a") == 0, 0.0).when(F.col("a") == 1, F.col("d1"))
+               .when(F.col("a") == 2, F.col("d2")).otherwise(F.col("d3")))
+        grams = level.join(d, "model").select(
+            *KEY, *context(unit.bits), "a", cut.alias("cut"))
+        of = ["model", "c_hi", "c_gram"]
+        sums = grams.filter("a > 0").groupBy(*of).agg(
             F.sum("a").alias("total"), (F.sum("cut") / F.sum("a")).alias("pass"))
-        grams = wanted.select("model", suffix(k).alias("gram")).distinct() if k < order else wanted
-        p = (grams.withColumn("context", F.shiftright("gram", 8))
-             .join(context, ["model", "context"], "left")
-             .join(seen.select("model", "gram", "rest"), ["model", "gram"], "left"))
+        if k == 1:  # one context a model
+            sums = broadcast_if_small(written(sums, "lm-c-1"), 100_000)
+        p = grams.join(sums, of, "left")
         if below is None:
-            p = p.withColumn("low", F.lit(1.0 / vocabulary))
+            p = p.withColumn("low", F.lit(1.0 / unit.size))
         else:
-            p = p.withColumn("short", suffix(k - 1)).join(below, ["model", "short"], "left")
-        here = (F.coalesce(F.col("rest") / F.col("total"), F.lit(0.0))
+            s_hi, s_gram = suffix(k - 1, unit.bits)
+            p = p.withColumns({"s_hi": s_hi, "s_gram": s_gram}).join(
+                below.withColumnsRenamed({"hi": "s_hi", "gram": "s_gram", "p": "low"}),
+                ["model", "s_hi", "s_gram"], "left")
+        here = (F.coalesce((F.col("a") - F.col("cut")) / F.col("total"), F.lit(0.0))
                 + F.coalesce("pass", F.lit(1.0)) * F.col("low")).alias("p")
-        below = p.select("model", F.col("gram").alias("short"), here)
+        below = p.select(*KEY, here)
         if k < order:
-            below = written(below.withColumnRenamed("p", "low"), f"lm-low-{k}")
-    return below.select("model", F.col("short").alias("gram"), (-F.log("p")).alias("loss"))
+            below = written(below, f"lm-low-{k}")
+    return below.select(*KEY, (-F.log("p")).alias("loss"))
 
 
 def score(rows: DataFrame, table_: DataFrame, values: int, order: int = ORDER,
-          symbols: np.ndarray | None = None, limit: int = BROADCAST_GRAMS) -> DataFrame:
+          unit=None, limit: int = BROADCAST_GRAMS) -> DataFrame:
     """The rows (with columns model and text) without text, with n_tokens and sums.
 
-    ``table_``: (model, gram, values array<double>) with ``values`` numbers a gram;
-    sums are over the tokens of a text.
+    ``table_``: (model, hi, gram, values array<double>) with ``values`` numbers a gram;
+    sums are over the tokens of a text. A row is known by two 64-bit hashes; the counts
+    of each of its grams, and one row more for itself, meet the table in a join.
     """
-    symbols = identity() if symbols is None else symbols
+    unit = unit or Bytes()
+    carried = [c for c in rows.columns if c != "text"]
     rows = rows.withColumn("model", F.coalesce(F.col("model").cast("string"), F.lit("")))
-    if table_.limit(limit + 1).count() > limit:
-        return _score_by_join(rows, table_, values, order, symbols)
-    found = table_.toArrow()
-    tables = {}
-    names = np.array(found.column("model").to_pylist(), object)
-    grams = found.column("gram").to_numpy()
-    flat = found.column("values").combine_chunks().flatten().to_numpy().astype(np.float32)
-    flat = flat.reshape(-1, values)
-    for m in sorted(set(names)):
-        at = np.flatnonzero(names == m)
-        at = at[np.argsort(grams[at])]
-        tables[m] = (grams[at], flat[at])
-    kept = rows.sparkSession.sparkContext.broadcast(tables)
-    fields = [f for f in rows.schema if f.name != "text"]
-    at_text, at_model = rows.schema.names.index("text"), rows.schema.names.index("model")
-    carry = [k for k, f in enumerate(rows.schema) if f.name != "text"]
-    names_out = [*(f.name for f in fields), "n_tokens", "sums"]
+    cells = [*carried, "text", F.col("text").isNull()]
+    rows = rows.withColumns({"_a": F.xxhash64(*cells), "_b": F.xxhash64(F.lit(1), *cells)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            models = np.array(batch.column(at_model).to_pylist(), object)
-            data, off = K.byte_column(batch.column(at_text))
+            data, off = K.byte_column(batch.column(3))
             for i, j in K.pieces(off):
-                code, text = gram_codes(data, off[i:j + 1], order, symbols)
-                sums = np.zeros((j - i, values))
-                for m in set(models[i:j]):
-                    if m not in kept.value:
-                        continue
-                    keys, numbers = kept.value[m]
-                    mine = models[i:j][text] == m
-                    at = np.minimum(np.searchsorted(keys, code[mine]), len(keys) - 1)
-                    for v in range(values):
-                        sums[:, v] += np.bincount(text[mine], numbers[at, v], j - i)
+                hi, gram, text, _ = gram_codes(data, off[i:j + 1], order, unit)
+                at, group = distinct(text, hi, gram)
                 part = batch.slice(i, j - i)
+                row = pa.array(np.concatenate((np.arange(j - i), text[at])))
+                own = np.full(j - i, -1)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(k) for k in carry), pa.array(np.diff(off[i:j + 1])),
-                     pa.array(list(sums), pa.list_(pa.float64()))], names=names_out)
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields),
-                        "n_tokens long, sums array<double>"])
-    return rows.mapInArrow(run, schema)
-
-
-def _score_by_join(rows, table_, values, order, symbols) -> DataFrame:
-    """The same by a join: a row per text and distinct gram, summed by text."""
-    carried = [c for c in rows.columns if c != "text"]
-    once = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
-    once = once.withColumn("_key", F.xxhash64(*carried, "text"))
-    keys = [*carried, "_copies", "_key"]
-    inner = once.select(F.struct(*keys).alias("row"), "text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, off = K.byte_column(batch.column(1))
-            for i, j in K.pieces(off):
-                code, text = gram_codes(data, off[i:j + 1], order, symbols)
-                for k in range(j - i):
-                    grams, n = np.unique(code[text == k], return_counts=True)
-                    if not len(grams):
-                        grams, n = np.array([-1]), np.array([0])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.concat_arrays([batch.column(0).slice(i + k, 1)] * len(grams)),
-                         pa.array(grams), pa.array(n)], names=["row", "gram", "n"])
-
-    schema = f"row {inner.schema['row'].dataType.simpleString()}, gram long, n long"
-    grams = inner.mapInArrow(run, schema).withColumn("model", F.col("row.model"))
+                    [*(part.column(c).take(row) for c in range(3)),
+                     pa.array(np.concatenate((own, hi[at]))),
+                     pa.array(np.concatenate((part.column(0).to_numpy(), gram[at]))),
+                     pa.array(np.concatenate((0 * own, np.bincount(group, minlength=len(at)))))],
+                    names=["_a", "_b", "model", "hi", "gram", "n"])
+
+    schema = "_a long, _b long, model string, hi long, gram long, n long"
+    grams = rows.select("_a", "_b", "model", "text").mapInArrow(run, schema)
     sums = [F.sum(F.col("n") * F.coalesce(F.col("values")[v], F.lit(0.0))) for v in range(values)]
-    by_text = (grams.join(table_, ["model", "gram"], "left").groupBy("row")
-               .agg(F.sum("n").alias("n_tokens"), F.array(*sums).alias("sums")))
-    return (by_text.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"),
-                                                          F.col("row._copies"))))
-            .select(*(F.col(f"row.{c}").alias(c) for c in carried), "n_tokens", "sums"))
+    copies = F.sum((F.col("hi") == -1).cast("long"))  # rows equal in all columns
+    by_text = (grams.join(table_, KEY, "left").groupBy("_a", "_b")
+               .agg((F.sum("n") / copies).cast("long").alias("n_tokens"),
+                    F.array(*(s / copies for s in sums)).alias("sums")))
+    return (rows.select(*carried, "_a", "_b").join(by_text, ["_a", "_b"])
+            .select(*carried, "n_tokens", "sums"))

@@ -2,7 +2,8 @@
 
 Per language, the trusted documents (labelled good and not toxic) train an
 interpolated modified Kneser-Ney model, except one in ``HELD_OUT`` of them (by a
-hash of the id); every document of the language gets its perplexity, and is kept
+hash of the id); every document of the language gets its perplexity over its words
+(``words``: least count of a word of the vocabulary; 0: over its bytes), and is kept
 when that is at most ``MARGIN`` times the ``QUANTILE`` of the held-out trusted
 documents of its language (of all its documents where none is held out).
 
@@ -42,16 +43,16 @@ def marked(docs: DataFrame, labels: DataFrame, model) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame, order: int = L.ORDER,
-             quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
+             quantile: float = QUANTILE, margin: float = MARGIN, words: int = 0) -> DataFrame:
     """doc_id, lang, n_tokens, perplexity, threshold, kept of each document."""
     rows = marked(docs, labels, F.coalesce(F.col("lang").cast("string"), F.lit("")))
     held = F.col("chosen") & (F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0)
     rows = rows.withColumns({"held": held, "chosen": F.col("chosen") & ~held})
-    counts = written(L.gram_counts(rows, order), "grams")
-    train = counts.filter("chosen > 0").select("model", "gram", F.col("chosen").alias("n"))
-    loss = written(L.losses(train, counts.select("model", "gram"), order).select(
-        "model", "gram", F.array("loss").alias("values")), "losses")
-    scored = written(L.score(rows, loss, 1, order).withColumn(
+    unit = L.Words(rows, words) if words else L.Bytes()
+    counts = written(L.gram_counts(rows, order, unit), "grams")
+    loss = written(L.losses(counts.select(*L.KEY, F.col("chosen").alias("n")), order, unit).select(
+        *L.KEY, F.array("loss").alias("values")), "losses")
+    scored = written(L.score(rows, loss, 1, order, unit).withColumn(
         "perplexity", F.when(F.col("n_tokens") > 0,
                              F.exp(F.col("sums")[0] / F.col("n_tokens")))), "scored")
     at = F.percentile_approx
@@ -67,4 +68,5 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = L.ORDER,
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity and verdict of every row of ``documents``, trained on its labelled rows."""
-    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                    words=L.LEAST_WORDS)
