@@ -4,8 +4,8 @@ Per language, the trusted documents (labelled good and not toxic) train an
 interpolated modified Kneser-Ney model, except one in ``HELD_OUT`` of them (by a
 hash of the id); every document of the language gets its perplexity over its words
 (``words``: least count of a word of the vocabulary; 0: over its bytes), and is kept
-when that is at most ``MARGIN`` times the ``QUANTILE`` of the held-out trusted
-documents of its language (of all its documents where none is held out).
+when that is at most the ``QUANTILE`` of the held-out trusted documents of its
+language (of all its documents where none is held out).
 
 Edge cases: a null language is the language ""; null and empty texts have no
 tokens, a null perplexity and are not kept; a language without trusted text is
@@ -22,7 +22,6 @@ from concord.llm import ngram_lm as L
 from concord.llm.common import broadcast_if_small, table, written
 
 QUANTILE = 0.99
-MARGIN = 1.25
 HELD_OUT = 5
 #: Accuracy of the quantile sketch (relative rank error 1 / ACCURACY).
 ACCURACY = 10_000
@@ -43,7 +42,7 @@ def marked(docs: DataFrame, labels: DataFrame, model) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame, order: int = L.ORDER,
-             quantile: float = QUANTILE, margin: float = MARGIN, words: int = 0) -> DataFrame:
+             quantile: float = QUANTILE, words: int = 0) -> DataFrame:
     """doc_id, lang, n_tokens, perplexity, threshold, kept of each document."""
     rows = marked(docs, labels, F.coalesce(F.col("lang").cast("string"), F.lit("")))
     held = F.col("chosen") & (F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0)
@@ -59,7 +58,7 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = L.ORDER,
     limits = scored.groupBy("model").agg(
         at(F.when(F.col("held"), F.col("perplexity")), quantile, ACCURACY).alias("good"),
         at("perplexity", quantile, ACCURACY).alias("any"))
-    limits = limits.select("model", (F.coalesce("good", "any") * margin).alias("threshold"))
+    limits = limits.select("model", F.coalesce("good", "any").alias("threshold"))
     return (scored.join(broadcast_if_small(limits, 100_000), "model", "left")
             .select("doc_id", F.col("model").alias("lang"), "n_tokens", "perplexity", "threshold",
                     F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False))
