@@ -10,7 +10,8 @@ shard every level of the model by its key. The result holds the loss of each dis
 gram of the corpus, so the size of a model follows the corpus, not a cap.
 
 Scoring joins the gram counts of each document with the losses; no model passes
-through the driver.
+through the driver. Sums are taken over whole numbers (counts, and losses in steps
+of 2 ** -30), so results do not depend on the order or number of tasks.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from concord.llm.common import broadcast_if_small, written
 
 ORDER = 5
 START = 0
+#: Steps of a loss in one nat; sums are exact up to 2 ** 33 nats a text.
+STEPS = 1 << 30
 #: Not read any more (every table is joined); callers may still pass a limit.
 BROADCAST_GRAMS = 4_000_000
 #: Words found less often in all documents are one unknown symbol.
@@ -217,8 +220,12 @@ def losses(counts: DataFrame, order: int, unit) -> DataFrame:
         grams = level.join(d, "model").select(
             *KEY, *context(unit.bits), "a", cut.alias("cut"))
         of = ["model", "c_hi", "c_gram"]
+        once, twice = (F.sum((F.col("a") == n).cast("long")) for n in (1, 2))
         sums = grams.filter("a > 0").groupBy(*of).agg(
-            F.sum("a").alias("total"), (F.sum("cut") / F.sum("a")).alias("pass"))
+            F.sum("a").alias("total"), once.alias("once"), twice.alias("twice"),
+            (F.count("*") - once - twice).alias("more"))
+        sums = sums.join(d, "model").select(*of, "total", F.expr(
+            "(once * d1 + twice * d2 + more * d3) / total").alias("pass"))
         if k == 1:  # one context a model
             sums = broadcast_if_small(written(sums, "lm-c-1"), 100_000)
         p = grams.join(sums, of, "left")
@@ -269,10 +276,12 @@ def score(rows: DataFrame, table_: DataFrame, values: int, order: int = ORDER,
 
     schema = "_a long, _b long, model string, hi long, gram long, n long"
     grams = rows.select("_a", "_b", "model", "text").mapInArrow(run, schema)
-    sums = [F.sum(F.col("n") * F.coalesce(F.col("values")[v], F.lit(0.0))) for v in range(values)]
+    steps = [F.round(F.coalesce(F.col("values")[v], F.lit(0.0)) * STEPS).cast("long")
+             for v in range(values)]
+    sums = [F.sum(F.col("n") * s) for s in steps]
     copies = F.sum((F.col("hi") == -1).cast("long"))  # rows equal in all columns
     by_text = (grams.join(table_, KEY, "left").groupBy("_a", "_b")
                .agg((F.sum("n") / copies).cast("long").alias("n_tokens"),
-                    F.array(*(s / copies for s in sums)).alias("sums")))
+                    F.array(*(s / copies / STEPS for s in sums)).alias("sums")))
     return (rows.select(*carried, "_a", "_b").join(by_text, ["_a", "_b"])
             .select(*carried, "n_tokens", "sums"))
