@@ -8,7 +8,7 @@ aggregation: the smallest page id is the response, the others revisit it.
 
 Reading splits archives into byte ranges. A task looks for the gzip magic from
 the start of its range on, takes a candidate as a member only if it inflates to
-a WARC header, and owns the records that start inside its range; the last one
+a WARC header (of any length: it holds the url), and owns the records that start inside its range; the last one
 may end beyond it. After a record the next one is expected at its end. The
 payload of a text page cannot contain the magic (0x1F 0x8B is not UTF-8), and
 bytes that only look like it fail to inflate to a header.
@@ -44,8 +44,10 @@ READ = 1 << 16
 MOST_TASKS = 100_000
 MAGIC = b"\x1f\x8b\x08"
 HEADER = b"WARC/1."
-#: A header that has not ended after so many bytes is not one.
-HEADER_LIMIT = 1 << 20
+#: The first line of a header; what follows it may be of any length.
+FIRST_LINE = re.compile(rb"WARC/1\.\d+\r\n")
+#: Bytes that hold the first line of every header.
+FIRST = 32
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 RECORDS = ("page_id long, url string, payload binary, payload_bytes long, "
@@ -154,7 +156,7 @@ def headers_of(head: bytes) -> dict[str, str]:
 def member(source: Source) -> tuple[dict[str, str], bytes, int] | None:
     """(headers, block, compressed size) of the record at the start of the source, if any."""
     unpack = zlib.decompressobj(31)
-    out, at, fields, need = bytearray(), 0, None, 0
+    out, at, fields, need, looked = bytearray(), 0, None, 0, 0
     while True:
         try:
             out += unpack.decompress(source.data[at:])
@@ -164,8 +166,11 @@ def member(source: Source) -> tuple[dict[str, str], bytes, int] | None:
         if bytes(out[:len(HEADER)]) != HEADER[:len(out)]:
             return None
         if fields is None:
-            end = out.find(b"\r\n\r\n")
-            if end < 0 and (unpack.eof or len(out) > HEADER_LIMIT):
+            if (unpack.eof or len(out) >= FIRST) and not FIRST_LINE.match(out):
+                return None
+            end = out.find(b"\r\n\r\n", looked)
+            looked = max(0, len(out) - 3)
+            if end < 0 and unpack.eof:
                 return None
             if end >= 0:
                 fields = headers_of(bytes(out[:end]))
