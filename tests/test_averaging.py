@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from concord.operators import averaging as A
 from concord.operators import uploads as U
 from concord.sources import files, fixtures, tables
-from conftest import SF001
+from table_paths import SF001
 
 UPD = "version int, client_id long, content_hash string, layer string, pos int, value double"
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from concord.operators import corpus as C
 from concord.sources import files, fixtures
 from concord.plans import corpus_job
-from conftest import SF001
+from table_paths import SF001
 
 WIDE = ("doc_id long, text string, source string, seq int, m1 int, m2 int, m3 int, p1 int, "
         "oh_label int, hateful int, class int, file string")

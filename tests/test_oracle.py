@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from concord.sources.tables import TABLES, table_path
-from conftest import SF001
+from table_paths import SF001
 
 import os
 import sys

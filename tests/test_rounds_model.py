@@ -15,7 +15,7 @@ from concord.operators import model as M
 from concord.operators import rounds as RD
 from concord.plans import round_job, rounds_job
 from concord.sources import tables
-from conftest import SF001
+from table_paths import SF001
 
 
 def test_two_level_running_sum_equals_plain_window(spark):
