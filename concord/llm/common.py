@@ -41,6 +41,23 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if small_enough(df, max_rows) else df
 
 
+#: A key of more than one in ``HOT_SHARE`` of all rows is hot; there are fewer than that many.
+HOT_SHARE = 1000
+
+
+def join_keyed(rows: DataFrame, keyed: DataFrame, key: str, size: str) -> DataFrame:
+    """The rows joined with ``keyed``: one row a key, ``size`` of the rows having that key.
+
+    Keys that hold more than one in ``HOT_SHARE`` of all rows, fewer than ``HOT_SHARE`` of
+    them whatever the input, are broadcast; rows of all other keys are shuffled.
+    """
+    total = keyed.agg(F.sum(size)).first()[0] or 0
+    is_hot = F.col(size) * HOT_SHARE > total
+    hot = F.broadcast(keyed.filter(is_hot))
+    cold_rows = rows.join(F.broadcast(keyed.filter(is_hot).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(cold_rows.join(keyed.filter(~is_hot), key))
+
+
 def components(edges: DataFrame, name: str = "cc", rounds: int = 200) -> DataFrame:
     """(v, label): smallest node reachable from v, for each node of ``edges`` (a, b).
 

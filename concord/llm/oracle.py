@@ -165,7 +165,70 @@ FROM dist
 """
 
 
+OP11 = """
+WITH e AS (SELECT vec_id, label::BIGINT AS label, embedding::DOUBLE[] AS x FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL),
+v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(x, lambda c: floor(256 * c)) AS v
+      FROM e WHERE len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+             list_inner_product(a.v, b.v)::BIGINT AS score
+      FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other)::INT AS rank,
+       s.other AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+QUALIFY rank <= 5
+"""
+
+OP12 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+      FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST,
+               sha256(octet_length(encode(role))::VARCHAR || ':' || role || text)) AS w
+      FROM turns GROUP BY conv_id),
+h AS (SELECT conv_id, w, conv_id - conv_id % 5 AS base, ({_crc('conv_id::VARCHAR')} % 9)::INT AS h
+      FROM o, tab),
+r AS (SELECT h.conv_id, list_concat(list_slice(coalesce(b.w, []), 1, h), list_slice(h.w, h + 1, len(h.w))) AS w
+      FROM h LEFT JOIN o b ON b.conv_id = h.base),
+m AS (SELECT conv_id, d, list_slice(w, 1, d) AS p, len(w) = d AS ends,
+             CASE WHEN d > 0 THEN octet_length(encode(w[d].text)) ELSE 0 END AS size
+      FROM r, unnest(range(0, len(w) + 1)) AS u(d)),
+n AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+      FROM m GROUP BY p, d),
+c AS (SELECT list_slice(p, 1, d - 1) AS p, count(*) AS n FROM n WHERE d > 0 GROUP BY ALL),
+q AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM n LEFT JOIN c ON c.p = n.p),
+a AS (SELECT list_slice(p, 1, k) AS p, n_children = 0 AS leaf, (n_convs - 1) * size AS saved
+      FROM q, unnest(range(0, d + 1)) AS u(k)),
+s AS (SELECT p, sum(leaf::INT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved FROM a GROUP BY p)
+SELECT q.conv_id, q.d AS depth, u.conv_id AS parent_conv_id, q.n_convs, q.n_children, s.n_leaves,
+       s.saved AS saved_tokens, q.ends_sha256
+FROM q JOIN s ON s.p = q.p LEFT JOIN n u ON q.d > 0 AND u.d = q.d - 1 AND u.p = list_slice(q.p, 1, q.d - 1)
+"""
+
+OP13 = """
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
+ok AS (SELECT r, vec_id, label, x FROM e WHERE vec_id IS NOT NULL AND label IS NOT NULL AND x IS NOT NULL
+         AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+         AND len(list_filter(x, lambda c: c <> 0)) > 0),
+l AS (SELECT a.r, b.r AS other, b.vec_id FROM ok a JOIN ok b ON a.label = b.label AND a.r <> b.r
+      WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+n AS (SELECT r, count(*) AS n FROM l GROUP BY r),
+g AS (SELECT r, r AS other FROM e UNION SELECT g.r, l.other FROM g JOIN l ON l.r = g.other),
+c AS (SELECT g.r, min(e.vec_id) AS component_id FROM g JOIN e ON e.r = g.other GROUP BY g.r)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id,
+       coalesce(e.vec_id = c.component_id, false) AS kept
+FROM e LEFT JOIN n USING (r) JOIN c USING (r)
+"""
+
 ORACLE_SQL: dict[str, str] = {"op8_quality_rules": op8(),
                               "op4_min_cost_flow_sharding": OP4, "op5_warc_splittable": OP5,
                               "op2_ngram_jaccard_join": OP2,
-                              "op10_decontamination": OP10}
+                              "op10_decontamination": OP10,
+                              "op11_hard_negatives": OP11, "op12_prefix_trie": OP12,
+                              "op13_embedding_near_dedup": OP13}

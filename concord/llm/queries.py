@@ -6,9 +6,12 @@ from concord.llm import (
     bpe,
     cross_entropy,
     decontamination,
+    embedding_dedup,
+    hard_negatives,
     jaccard_join,
     license_scan,
     oracle,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     sharding,
@@ -27,6 +30,9 @@ QUERIES = {f.__name__: f for f in (
     quality_rules.op8_quality_rules,
     license_scan.op9_license_scan,
     decontamination.op10_decontamination,
+    hard_negatives.op11_hard_negatives,
+    prefix_trie.op12_prefix_trie,
+    embedding_dedup.op13_embedding_near_dedup,
 )}
 
 ORACLE_SQL = {**oracle.ORACLE_SQL, "op9_license_scan": license_scan.oracle()}
