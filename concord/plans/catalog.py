@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from concord.plans import averaging_job, corpus_job, round_job, rounds_job
+from concord.plans import averaging_job, corpus_job, live_job, round_job, rounds_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for module in (corpus_job, averaging_job, rounds_job, round_job):
+    for module in (corpus_job, averaging_job, rounds_job, live_job, round_job):
         out.update(module.QUERIES)
     return out

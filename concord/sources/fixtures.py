@@ -149,6 +149,24 @@ def request_log(rounds: DataFrame) -> DataFrame:
                          (eid % 46 == 23).alias("evaluating"), (eid % 29 != 0).alias("exists"))
 
 
+def live_requests(rounds: DataFrame) -> DataFrame:
+    """Request side of round events for the live controller, without any server version.
+
+    A client claims version ``(event_id * 31 + client_id) % (event_id div 500 + 1)``: old
+    clients stay, newer versions come up over time. The model is missing for ``event_id %
+    29 = 0``. If an upload closes a round, merging takes ``event_id % 4`` times 40 minutes
+    and evaluating ``event_id % 3`` times 30 minutes. The uploaded model is the vector of
+    id ``event_id % 500``.
+    """
+    eid = F.col("event_id")
+    newest = F.floor(eid / 500) + 1
+    return rounds.select("*", ((eid * 31 + F.col("client_id")) % newest).cast("int")
+                         .alias("claimed_version"), (eid % 29 != 0).alias("exists"),
+                         (eid % 4 * 2_400_000_000).alias("merge_us"),
+                         (eid % 3 * 1_800_000_000).alias("evaluate_us"),
+                         (eid % 500).alias("model_id"))
+
+
 def status_documents(rounds: DataFrame) -> DataFrame:
     """A status document before each upload: ``(event_id, client_id, sample_size, document)``."""
     uploads = rounds.filter(F.col("op") == "upload")
