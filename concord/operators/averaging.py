@@ -37,6 +37,15 @@ def distinct_objects(uploads: DataFrame, content: str) -> DataFrame:
                                              F.count("*").alias("n_uploads"))
 
 
+def weighed_objects(uploads: DataFrame, content: str, order_col: str = "upload_seq"
+                    ) -> DataFrame:
+    """F07 + A13 + J01 where content and weight come in the same record: one aggregation
+    gives each stored object, its number of uploads and the size of its last upload."""
+    return uploads.groupBy(*UPDATE_KEYS).agg(
+        F.any_value(content).alias(content), F.count("*").alias("n_uploads"),
+        F.max_by("sample_size", order_col).alias("sample_size"))
+
+
 def with_model_count(objects: DataFrame) -> DataFrame:
     """Objects (not yet exploded) with ``n_models``, the objects of their version."""
     counts = objects.groupBy("version").agg(F.count("*").alias("n_models"))
@@ -82,20 +91,37 @@ def both_orders(params: DataFrame, tol: float = 1e-9) -> DataFrame:
         "agree", F.abs(F.col("divide_then_add") - F.col("add_then_divide")) <= tol)
 
 
+def ranked(rows: DataFrame, partition: list[str], order: str, digits: int = 4) -> DataFrame:
+    """The rows with ``rank`` (from 0) in the order of a hexadecimal column per partition.
+
+    Two levels: the partition's counts by the first digits of the order are prefix-summed
+    (at most 16 ** digits rows a partition), and ``row_number`` runs inside one such bucket.
+    """
+    rows = rows.withColumn("_b", F.substring(order, 1, digits))
+    counts = rows.groupBy(*partition, "_b").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*partition).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*partition, "_b",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    inside = Window.partitionBy(*partition, "_b").orderBy(order)
+    return (rows.join(starts, [*partition, "_b"])
+            .withColumn("rank", F.col("_first") + F.row_number().over(inside) - 1)
+            .drop("_b", "_first"))
+
+
 def cohorts(objects: DataFrame, sizes: list[int], order: str = "content_hash") -> DataFrame:
-    """the first objects of each version, dealt into cohorts of the given sizes.
+    """all objects of each version, dealt in turn into cohorts of the given sizes.
 
-    ``row_number`` is cut at the total size, so Spark keeps that many rows per
-    version in each map task and no version is sorted whole.
+    After the last size the first one follows again; the last cohort of a version may be
+    smaller.
     """
-    rank = F.row_number().over(Window.partitionBy("version").orderBy(order))
-    first = objects.withColumn("_r", rank).filter(F.col("_r") <= sum(sizes))
-    cohort, end = None, 0
-    for i, n in enumerate(sizes):
+    place = F.col("rank") % sum(sizes)
+    number, end = F.lit(0), 0
+    for n in sizes[:-1]:
         end += n
-        cohort = (F.when(F.col("_r") <= end, F.lit(i)) if cohort is None
-                  else cohort.when(F.col("_r") <= end, F.lit(i)))
-    return first.withColumn("cohort", cohort).drop("_r")
+        number = number + (place >= end).cast("int")
+    turn = F.floor(F.col("rank") / sum(sizes)) * len(sizes)
+    return (ranked(objects, ["version"], order)
+            .withColumn("cohort", (turn + number).cast("int")).drop("rank"))
 
 
 def last_write_wins(records: DataFrame, keys: list[str], order_col: str,

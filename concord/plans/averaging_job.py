@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from concord.functions import names as N
 from concord.operators import averaging as A
 from concord.operators import uploads as U
-from concord.session import scratch_folder
+from concord.session import cut_lineage, scratch_folder
 from concord.sources import files, fixtures, tables
 
 R = 6
@@ -58,8 +58,7 @@ def q_uniform(spark, sf_dir):
 
 def q_weighted(spark, sf_dir):
     """sample-size-weighted mean per parameter over distinct objects."""
-    weights = updates(spark, sf_dir).select(*KEEP, "upload_seq", "sample_size")
-    weighed = A.join_weights(objects(spark, sf_dir), weights)
+    weighed = A.weighed_objects(updates(spark, sf_dir), "embedding")
     params = A.explode_vector(weighed, "embedding", "w", [*KEEP, "sample_size"])
     return _rounded(A.weighted_mean(params), "value")
 
@@ -71,7 +70,7 @@ def q_order_property(spark, sf_dir):
 
 
 def q_cohorts(spark, sf_dir):
-    """averages of cohorts of 4, 3 and 4 objects of each version."""
+    """averages of cohorts of 4, 3 and 4 objects, in turn over all of each version."""
     dealt = A.cohorts(objects(spark, sf_dir), [4, 3, 4])
     params = A.explode_vector(dealt, "embedding", "w", ["version", "cohort"])
     return _rounded(A.uniform_mean(params, ["version", "cohort", "layer", "pos"]), "value")
@@ -136,7 +135,8 @@ def q_last_write(spark, sf_dir):
 def q_shares(spark, sf_dir):
     """Each object's share of its version's samples."""
     acc = uploads(spark, sf_dir).filter(F.col("status") == "accepted")
-    latest = A.last_write_wins(acc, ["version", "content_hash"], "doc_id", "sample_size")
+    latest = cut_lineage(A.last_write_wins(acc, ["version", "content_hash"], "doc_id",
+                                           "sample_size"))  # read for the totals and the rows
     return _rounded(A.shares(latest), "share")
 
 

@@ -160,9 +160,7 @@ def q_history(spark, sf_dir):
 def q_blocks(spark, sf_dir):
     """Uniform and weighted means, and the scaled sum, over blocks of 24 numbers."""
     ups = fixtures.client_updates(tables.embeddings(spark, sf_dir))
-    objects = A.distinct_objects(ups, "embedding")
-    weights = ups.select("version", "content_hash", "upload_seq", "sample_size")
-    weighed = A.with_model_count(A.join_weights(objects, weights))
+    weighed = A.with_model_count(cut_lineage(A.weighed_objects(ups, "embedding")))
     cut = cut_lineage(B.to_blocks(weighed, "embedding", LAYER,
                                   ["version", "sample_size", "n_models"], BLOCK))
     scaled = B.scale(cut, F.lit(1.0), F.col("n_models"))

@@ -207,10 +207,11 @@ SELECT version, layer, pos, (round(avg(value), 6) + 0.0) AS divide_then_add,
        (round(avg(value), 6) + 0.0) AS add_then_divide, true AS agree
 FROM params GROUP BY ALL""",
     "avg_cohorts": "WITH " + UPDATES + """,
-r AS (SELECT *, row_number() OVER (PARTITION BY version ORDER BY content_hash) AS rk FROM objects),
+r AS (SELECT *, row_number() OVER (PARTITION BY version ORDER BY content_hash) - 1 AS rk FROM objects),
 dealt AS (
-  SELECT version, content_hash, CASE WHEN rk <= 4 THEN 0 WHEN rk <= 7 THEN 1 ELSE 2 END AS cohort
-  FROM r WHERE rk <= 11)
+  SELECT version, content_hash,
+         CAST(rk // 11 * 3 + CASE WHEN rk % 11 < 4 THEN 0 WHEN rk % 11 < 7 THEN 1 ELSE 2 END AS INTEGER) AS cohort
+  FROM r)
 SELECT version, cohort, layer, pos, (round(avg(value), 6) + 0.0) AS value
 FROM params JOIN dealt USING (version, content_hash) GROUP BY ALL""",
     "uploads_ingest": "WITH " + UPLOADS + """

@@ -35,12 +35,22 @@ def train_features(feats: DataFrame) -> DataFrame:
     return feats.filter(F.col("split") == "train").join(held, "split_key", "left_anti")
 
 
-def client_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each client's distinct train rows: ``(client, split_key, objectionable, features)``."""
+def written_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus features written once: training reads them twice, scoring once more."""
+    return cut_lineage(corpus_features(spark, sf_dir))
+
+
+def client_features(spark: SparkSession, sf_dir: str, feats: DataFrame | None = None
+                    ) -> DataFrame:
+    """Each client's distinct train rows: ``(client, split_key, objectionable, features)``.
+
+    ``feats``: the corpus features, where they are already there.
+    """
+    feats = written_features(spark, sf_dir) if feats is None else feats
     owners = (corpus_job.labelled(spark, sf_dir).filter(F.col("toxic").isNotNull())
               .select("client", split_key(F.col("text"), SPLIT_SEED).alias("split_key"),
                       F.col("toxic").alias("objectionable")).distinct())
-    return (train_features(corpus_features(spark, sf_dir))
+    return (train_features(feats)
             .join(owners, ["split_key", "objectionable"])
             .select("client", "split_key", "objectionable", "features"))
 
@@ -61,8 +71,9 @@ def run_rounds(spark: SparkSession, sf_dir: str, n_rounds: int, folder: str,
     before the next round reads it, and appended to ``folder/history`` with its
     number of clients and samples and its scores on the held-out splits.
     Returns the history; a rerun replaces the versions it publishes."""
-    feats = cut_lineage(client_features(spark, sf_dir))
-    held = cut_lineage(corpus_features(spark, sf_dir).filter(F.col("split").isin(*HELD_OUT)))
+    corpus = written_features(spark, sf_dir)
+    feats = cut_lineage(client_features(spark, sf_dir, corpus))
+    held = corpus.filter(F.col("split").isin(*HELD_OUT))
     files.write_params(M.initial_params(spark, 0), f"{folder}/params")
     size = feats.agg(F.countDistinct("client").alias("n_clients"), F.count("*").alias("n_samples"))
     for v in range(n_rounds):
@@ -112,9 +123,9 @@ def q_client_step(spark, sf_dir):
                     "sample_size")
 
 
-def version_one(spark, sf_dir) -> DataFrame:
+def version_one(spark, sf_dir, feats: DataFrame | None = None) -> DataFrame:
     """Version 1 from the zero model."""
-    return federated_round(client_features(spark, sf_dir), M.initial_params(spark, 0), 0)
+    return federated_round(client_features(spark, sf_dir, feats), M.initial_params(spark, 0), 0)
 
 
 def q_round(spark, sf_dir):
@@ -123,7 +134,8 @@ def q_round(spark, sf_dir):
 
 
 def _v1_scores(spark, sf_dir):
-    return M.score(corpus_features(spark, sf_dir), version_one(spark, sf_dir))
+    feats = written_features(spark, sf_dir)
+    return M.score(feats, version_one(spark, sf_dir, feats))
 
 
 def q_scores(spark, sf_dir):
@@ -153,10 +165,10 @@ def q_wrong(spark, sf_dir):
 COMPARED = ("v0", "v1", "v1_self")
 
 
-def models_for_comparison(spark, sf_dir) -> DataFrame:
+def models_for_comparison(spark, sf_dir, feats: DataFrame | None = None) -> DataFrame:
     """v0, v1 and v1 averaged with itself (two copies, uniform mean)."""
     p0 = M.initial_params(spark, 0)
-    p1 = version_one(spark, sf_dir)
+    p1 = cut_lineage(version_one(spark, sf_dir, feats))
     copies = p1.select("*", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("content_hash"))
     return (p0.withColumn("model", F.lit("v0"))
             .unionByName(p1.withColumn("model", F.lit("v1")))
@@ -165,9 +177,10 @@ def models_for_comparison(spark, sf_dir) -> DataFrame:
 
 def q_compare(spark, sf_dir):
     """Report deltas v1 - v0 and (v1 averaged with itself) - v1."""
-    models = models_for_comparison(spark, sf_dir)
-    feats = corpus_features(spark, sf_dir).filter(F.col("split").isin(*HELD_OUT))
-    rows = feats.select("*", F.explode(F.array(*[F.lit(m) for m in COMPARED])).alias("model"))
+    feats = written_features(spark, sf_dir)
+    models = models_for_comparison(spark, sf_dir, feats)
+    held = feats.filter(F.col("split").isin(*HELD_OUT))
+    rows = held.select("*", F.explode(F.array(*[F.lit(m) for m in COMPARED])).alias("model"))
     rep = E.report(M.score(rows, models, ["model"]), "objectionable", ["model", "split"])
     return E.compare(rep, "model", [("v0", "v1"), ("v1", "v1_self")], ["split", "class"])
 

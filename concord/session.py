@@ -66,6 +66,11 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows as a table written to the shared folder (survives executor loss).
+
+    Unlike a checkpoint of rows, the table is read by column and has a known size, so later
+    joins may broadcast it.
+    """
+    spark, path = df.sparkSession, scratch_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
