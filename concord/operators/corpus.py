@@ -203,3 +203,24 @@ def as_training_frame(split_df: DataFrame, split: str) -> DataFrame:
     """Rename by position to ``(text, labels)`` for one split."""
     return split_df.filter(F.col("split") == split).select("text", LABEL).toDF("text", "labels")
 
+
+
+#: log2 of the registers of a sketch; the relative error is about 1.04 / sqrt(2 ** SKETCH_BITS).
+SKETCH_BITS = 14
+
+
+def distinct_sketches(tagged: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+    """A02 / A03, opt-in: a mergeable sketch of the distinct texts of each source file and class.
+
+    Sketches of parts add up (``sketched_counts``), so a table of them kept per file takes a
+    new file by reading that file only; a sketch has at most 2 ** bits registers.
+    """
+    return tagged.groupBy("source", "file", LABEL).agg(
+        F.count("*").alias("n_rows"), F.hll_sketch_agg("text", bits).alias("sketch"))
+
+
+def sketched_counts(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows and estimated distinct texts of the union of the sketches of each group."""
+    return sketches.groupBy(*keys).agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct"))

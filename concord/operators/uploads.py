@@ -26,3 +26,14 @@ def ingest(records: DataFrame, body: str = "body") -> DataFrame:
     fine = F.col("content_hash").isNotNull() & F.coalesce(F.col("sample_size") >= 1, F.lit(False))
     return (out.withColumn("status", F.when(fine, F.lit("accepted")).otherwise(F.lit("rejected")))
             .drop("_u", "_m", body))
+
+
+def accepted(records: DataFrame, body: str = "body") -> DataFrame:
+    """The accepted uploads of ``ingest``.
+
+    A filter on the status would be pushed below the projection and decode every body once
+    more; generating no row for a rejected body keeps it to one decode.
+    """
+    rows = ingest(records, body)
+    return rows.select(F.inline(F.when(F.col("status") == "accepted",
+                                       F.array(F.struct(*rows.columns)))))

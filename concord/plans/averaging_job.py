@@ -10,6 +10,7 @@ from concord.operators import averaging as A
 from concord.operators import uploads as U
 from concord.session import cut_lineage, scratch_folder
 from concord.sources import files, fixtures, tables
+from concord.sources import objects as object_store
 
 R = 6
 
@@ -86,9 +87,13 @@ def q_ingest(spark, sf_dir):
                                          "sample_size", "status")
 
 
+def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return U.accepted(fixtures.upload_records(tables.documents(spark, sf_dir)))
+
+
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The object store that the accepted uploads make: one object per content."""
-    acc = uploads(spark, sf_dir).filter(F.col("status") == "accepted")
+    acc = accepted(spark, sf_dir)
     return acc.groupBy("version", "content_hash").agg(
         F.any_value("object_name").alias("object_name"), F.any_value("size").alias("size"),
         F.count("*").alias("n_uploads"))
@@ -110,6 +115,17 @@ def q_listing(spark, sf_dir):
         "version", "name", "key", "size", "n_objects", F.round("mean_size", R).alias("mean_size"))
 
 
+def q_object_files(spark, sf_dir):
+    """Every distinct model stored as a file of its own and listed by name and size."""
+    body = F.concat(F.lit("["), fixtures.content_of(F.col("embedding")), F.lit("]"))
+    folder = scratch_folder(spark, "objects")
+    object_store.write_objects(objects(spark, sf_dir).select(
+        "version", F.col("content_hash").alias("key"), body.alias("body")), folder)
+    listed = cut_lineage(object_store.stored(spark, folder))
+    return listed.join(object_store.mean_sizes(listed), "version").select(
+        "version", "name", "key", "length", "n_objects", F.round("mean_size", R).alias("mean_size"))
+
+
 def q_global_names(spark, sf_dir):
     """Name under which the version after each upload version is published."""
     return (stored(spark, sf_dir).groupBy("version").agg(F.sum("size").alias("bytes"))
@@ -128,13 +144,13 @@ def q_published(spark, sf_dir):
 
 def q_last_write(spark, sf_dir):
     """Sample size per (version, object), last upload wins."""
-    acc = uploads(spark, sf_dir).filter(F.col("status") == "accepted")
+    acc = accepted(spark, sf_dir)
     return A.last_write_wins(acc, ["version", "content_hash"], "doc_id", "sample_size")
 
 
 def q_shares(spark, sf_dir):
     """Each object's share of its version's samples."""
-    acc = uploads(spark, sf_dir).filter(F.col("status") == "accepted")
+    acc = accepted(spark, sf_dir)
     latest = cut_lineage(A.last_write_wins(acc, ["version", "content_hash"], "doc_id",
                                            "sample_size"))  # read for the totals and the rows
     return _rounded(A.shares(latest), "share")
@@ -172,6 +188,7 @@ QUERIES = {
     "uploads_ingest": q_ingest,
     "uploads_dedupe": q_dedupe_uploads,
     "uploads_listing": q_listing,
+    "object_files": q_object_files,
     "uploads_global_names": q_global_names,
     "params_published": q_published,
     "uploads_last_write": q_last_write,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.operators import corpus as C
+from concord.session import scratch_folder
 from concord.sources import fixtures, tables
 
 
@@ -94,7 +95,25 @@ def q_training_frame(spark, sf_dir):
     return C.as_training_frame(corpus_split(spark, sf_dir), "train")
 
 
+TOLERANCE = 0.05
+
+
+def q_sketch_counts(spark, sf_dir):
+    """A02, A03 (opt-in): distinct texts per source and class from sketches kept per file,
+    beside the exact number: whether the estimate is within five per cent."""
+    rows = tagged(spark, sf_dir)
+    keys = ["source", C.LABEL]
+    folder = scratch_folder(spark, "sketches")
+    C.distinct_sketches(rows).write.partitionBy("source").parquet(folder)
+    estimate = C.sketched_counts(spark.read.parquet(folder), keys)
+    exact = rows.select(*keys, "text").distinct().groupBy(*keys).agg(F.count("*").alias("exact"))
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= F.col("exact") * TOLERANCE
+    return estimate.join(exact, keys).select(*keys, "n_rows", F.col("exact").alias("n_distinct"),
+                                             near.alias("within"))
+
+
 QUERIES = {
+    "corpus_sketch_counts": q_sketch_counts,
     "corpus_source_tags": q_source_tags,
     "corpus_source_counts": q_source_counts,
     "corpus_running_totals": q_running_totals,

@@ -12,7 +12,7 @@ from concord.operators import evaluate as E
 from concord.operators import live as L
 from concord.operators import rounds as RD
 from concord.session import cut_lineage, scratch_folder
-from concord.sources import files, fixtures, tables
+from concord.sources import files, fixtures, status, tables
 
 R = 6
 LAYER = "w"
@@ -157,6 +157,16 @@ def q_history(spark, sf_dir):
     return round_rows(objects, closed, reports)
 
 
+def q_status(spark, sf_dir):
+    """Status of every federation, written as a snapshot after the requests of the first
+    half of the log and again after all, and read back as the newest snapshot."""
+    decided, root = cut_lineage(judged(spark, sf_dir)), scratch_folder(spark, "status")
+    half = decided.agg(F.max("event_id")).first()[0] or 0
+    first = status.append(status.status_of(decided.filter(F.col("event_id") <= half / 2)), root, 0)
+    status.append(status.status_of(decided), root, first)
+    return status.snapshot(spark, root)
+
+
 def q_blocks(spark, sf_dir):
     """Uniform and weighted means, and the scaled sum, over blocks of 24 numbers."""
     ups = fixtures.client_updates(tables.embeddings(spark, sf_dir))
@@ -182,5 +192,6 @@ QUERIES = {
     "live_rounds": q_rounds,
     "live_published": q_published,
     "live_history": q_history,
+    "live_status": q_status,
     "avg_blocks": q_blocks,
 }

@@ -130,6 +130,16 @@ ct AS (SELECT federation_id, version,
 SELECT federation_id, version, n_fetches, n_uploads, n_rejected, coalesce(n_models, 0) AS n_models,
        coalesce(total_samples, 0) AS total_samples, closed
 FROM ct LEFT JOIN md USING (federation_id, version)""",
+    "live_status": "WITH RECURSIVE " + LIVE + """,
+la AS (SELECT federation_id, arg_max(server_version, i) AS version, arg_max(merging, i) AS merging,
+              arg_max(evaluating, i) AS evaluating
+       FROM b JOIN (SELECT event_id, i FROM rq) USING (event_id) GROUP BY federation_id),
+pc AS (SELECT federation_id, version, client_id, arg_max(sample_size, i) AS sample_size
+       FROM b JOIN (SELECT event_id, i FROM rq) USING (event_id)
+       WHERE op = 'upload' AND status = 'accepted' GROUP BY ALL),
+sz AS (SELECT federation_id, version, count(*) AS n, CAST(sum(sample_size) AS BIGINT) AS s FROM pc GROUP BY ALL)
+SELECT federation_id, version, merging, evaluating, coalesce(n, 0) AS n_clients, coalesce(s, 0) AS total_samples
+FROM la LEFT JOIN sz USING (federation_id, version)""",
     "live_published": "WITH RECURSIVE " + OBJECTS + """
 SELECT federation_id, version, 'w' AS layer, CAST(pos AS INTEGER) AS pos, (round(value, 6) + 0.0) AS value
 FROM pub""",

@@ -93,6 +93,9 @@ SELECT source, seq, file, n_offensive, n_inoffensive,
   CAST(sum(n_inoffensive) OVER (ORDER BY seq, file ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
        AS BIGINT) AS cum_inoffensive
 FROM ps""",
+    "corpus_sketch_counts": "WITH " + TAGGED + """
+SELECT source, objectionable, count(*) AS n_rows, count(DISTINCT text) AS n_distinct, true AS within
+FROM tagged GROUP BY ALL""",
     "corpus_source_distinct": "WITH " + SOURCE_DISTINCT
     + "\nSELECT source, file, objectionable, text FROM sd",
     "corpus_bag_union": "WITH " + SOURCE_DISTINCT + "\nSELECT text, objectionable FROM sd",
@@ -223,6 +226,15 @@ SELECT version, object_name AS name, content_hash AS key, size,
        count(*) OVER (PARTITION BY version) AS n_objects,
        (round(avg(size) OVER (PARTITION BY version), 6) + 0.0) AS mean_size
 FROM stored""",
+    "object_files": "WITH " + UPDATES + """,
+f AS (SELECT version, content_hash,
+        octet_length(encode('[' || array_to_string(list_transform(embedding,
+          lambda x: CAST(CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT) AS VARCHAR)), ',') || ']')) + 1 AS length
+      FROM objects)
+SELECT version, 'local_v' || version || '_' || content_hash || '.zip' AS name, content_hash AS key, length,
+       count(*) OVER (PARTITION BY version) AS n_objects,
+       (round(avg(length) OVER (PARTITION BY version), 6) + 0.0) AS mean_size
+FROM f""",
     "uploads_global_names": "WITH " + UPLOADS + """
 SELECT version + 1 AS version, CAST(sum(size) AS BIGINT) AS bytes,
        'global_v' || (version + 1) || '.zip' AS object_name

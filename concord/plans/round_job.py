@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from concord.operators import averaging as A
 from concord.operators import evaluate as E
+from concord.operators import ml_model as ML
 from concord.operators import model as M
+from concord.operators import trainer as LT
 from concord.operators.corpus import SPLIT_SEED, split_key
 from concord.plans import corpus_job
-from concord.session import cut_lineage
+from concord.session import cut_lineage, scratch_folder
 from concord.sources import files, tables
 
 CORPUS_CARRY = ["split_key", "objectionable", "split"]
@@ -195,6 +197,34 @@ def q_conversation_flags(spark, sf_dir):
         F.max("prediction").alias("flagged"))
 
 
+def local_training(spark, sf_dir, rounds: int = 4, epochs: int = 3, feats: DataFrame | None = None
+                   ) -> DataFrame:
+    """Parameters after rounds of minibatch epochs on every client."""
+    rows = cut_lineage(client_features(spark, sf_dir, feats))
+    params = M.initial_params(spark, 0)
+    for v in range(rounds):
+        params = cut_lineage(LT.merged(params, LT.local_epochs(rows, params, epochs), v + 1))
+    return params
+
+
+def q_minibatch_report(spark, sf_dir):
+    """Report of four rounds of three minibatch epochs per client, per split."""
+    feats = written_features(spark, sf_dir)
+    scores = M.score(feats, local_training(spark, sf_dir, feats=feats))
+    return E.report(scores, "objectionable", ["split"])
+
+
+def q_pipeline_report(spark, sf_dir):
+    """Report of the ML pipeline, trained further once, saved and loaded."""
+    split = cut_lineage(corpus_job.corpus_split(spark, sf_dir).select("text", "objectionable",
+                                                                      "split"))
+    train = split.filter("split = 'train'")
+    base, settings = ML.train(train, max_iter=5)
+    folder = scratch_folder(spark, "pipeline")
+    ML.save(*ML.train_further(base, settings, train, max_iter=10), folder, spark)
+    return E.report(ML.score(split, *ML.load(spark, folder)), "objectionable", ["split"])
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unify -> split -> one federated round -> report of the published model."""
     return E.report(_v1_scores(spark, sf_dir), "objectionable", ["split"])
@@ -211,4 +241,6 @@ QUERIES = {
     "eval_wrong": q_wrong,
     "eval_compare": q_compare,
     "conversation_flags": q_conversation_flags,
+    "model_minibatch_report": q_minibatch_report,
+    "model_pipeline_report": q_pipeline_report,
 }
