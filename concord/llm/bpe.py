@@ -4,8 +4,9 @@ Spark partitions the texts; a task splits them into pieces by the pattern of
 the vocabulary, and every distinct piece becomes token-position rows in an
 in-process DuckDB table. A recursive query joins neighbouring rows with the
 merge table, picks the leftmost pair of least rank of each piece, contracts it,
-and ends when no piece has a pair left. A piece that is a token itself is that
-token. Distinct pieces are encoded once per worker (a bounded memory of
+and ends when no piece has a pair left. A query takes a bounded number of steps and the
+last state is taken on, so memory follows the bytes of the pieces, not their merges. A
+piece that is a token itself is that token. Distinct pieces are encoded once per worker (a bounded memory of
 results, so whole texts only look ids up). Decoding joins token-position rows
 with the vocabulary and aggregates their bytes in position order.
 
@@ -46,7 +47,11 @@ WHITE_SPACE = (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)
 # Contractions of the pattern.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 
-CONTRACT = """
+#: Steps of one recursive query (its rows are those of all its steps) for short and long pieces.
+STEPS, LONG_STEPS = 48, 16
+LONG_PIECE = 1000
+
+CONTRACT = f"""
 WITH RECURSIVE state(step, w, pos, tok) AS (
   SELECT 0, w, pos, tok FROM symbols
   UNION ALL
@@ -54,16 +59,41 @@ WITH RECURSIVE state(step, w, pos, tok) AS (
      SELECT a.w, min((m.tok::BIGINT << 32) + a.pos) AS best
      FROM state a JOIN state b ON a.w = b.w AND b.pos = a.pos + 1
      JOIN merges m ON m.pair = (a.tok::BIGINT << 32) + b.tok
+     WHERE a.step < {STEPS}
      GROUP BY a.w),
    chosen AS (SELECT w, (best & 4294967295)::INT AS at, (best >> 32)::INT AS merged FROM pair)
    SELECT s.step + 1, s.w, s.pos - (s.pos > c.at)::INT,
           CASE WHEN s.pos = c.at THEN c.merged ELSE s.tok END
    FROM state s JOIN chosen c USING (w)
    WHERE s.pos <> c.at + 1))
-SELECT w, pos, tok FROM (SELECT *, max(step) OVER (PARTITION BY w) AS done FROM state)
+SELECT w, pos, tok, step FROM (SELECT *, max(step) OVER (PARTITION BY w) AS done FROM state)
+WHERE step = done
+"""
+# A long piece contracts all places of its least pair at once, from the left and without
+# overlaps, if the new token is in no pair of a lower rank (``safe``): nothing can then come
+# between them. Otherwise only the leftmost place is contracted.
+CONTRACT_LONG = f"""
+WITH RECURSIVE state(step, w, pos, tok) AS (
+  SELECT 0, w, pos, tok FROM symbols
+  UNION ALL
+  (WITH pair AS (
+     SELECT a.w, a.pos, m.tok, m.safe
+     FROM state a JOIN state b ON a.w = b.w AND b.pos = a.pos + 1
+     JOIN merges m ON m.pair = (a.tok::BIGINT << 32) + b.tok
+     WHERE a.step < {LONG_STEPS}),
+   least AS (SELECT w, min(tok) AS tok FROM pair GROUP BY w),
+   place AS (SELECT w, pos, tok, safe, row_number() OVER (PARTITION BY w ORDER BY pos) AS n
+             FROM pair JOIN least USING (w, tok)),
+   turn AS (SELECT *, row_number() OVER (PARTITION BY w, pos - n ORDER BY pos) AS k FROM place),
+   chosen AS (SELECT w, pos, tok FROM turn WHERE CASE WHEN safe THEN k % 2 = 1 ELSE n = 1 END)
+   SELECT step, w, (row_number() OVER (PARTITION BY w ORDER BY pos) - 1)::INT, tok FROM (
+     SELECT s.step + 1 AS step, s.w, s.pos, coalesce(c.tok, s.tok) AS tok
+     FROM state s JOIN least ON least.w = s.w
+     LEFT JOIN chosen c ON c.w = s.w AND c.pos = s.pos
+     LEFT JOIN chosen gone ON gone.w = s.w AND gone.pos = s.pos - 1
+     WHERE gone.w IS NULL)))
+SELECT w, pos, tok, step FROM (SELECT *, max(step) OVER (PARTITION BY w) AS done FROM state)
 WHERE step = done
-UNION ALL SELECT w, 0, tok FROM whole
-ORDER BY w, pos
 """
 JOIN_BYTES = """
 SELECT w, unhex(string_agg(v.hex, '' ORDER BY pos)) AS body, count(*) AS n
@@ -152,20 +182,22 @@ class Coder:
         import duckdb
         self.ranks = ranks
         self.bytes_ = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        pairs, merged = [], []
+        pairs, merged, unsafe = [], [], set()
         for token, rank in ranks.items():
             for k in range(1, len(token)):
                 a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
                     pairs.append((a << 32) + b)
                     merged.append(rank)
+                    unsafe.update(part for part in (a, b) if part > rank)
         self.db = duckdb.connect(config={"threads": 1})
         self.db.execute("SET preserve_insertion_order = false")
-        self._load("merges", pair=pa.array(pairs, pa.int64()), tok=pa.array(merged, pa.int32()))
+        self._load("merges", pair=pa.array(pairs, pa.int64()), tok=pa.array(merged, pa.int32()),
+                   safe=pa.array([rank not in unsafe for rank in merged]))
         self._load("vocabulary", tok=pa.array(list(ranks.values()), pa.int32()),
                    hex=pa.array([t.hex() for t in ranks], pa.string()))
         self.table = classes()
-        self.known = np.zeros(0, K.U64)
+        self.known = self.other = np.zeros(0, K.U64)
         self.first = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.int32)
 
@@ -176,60 +208,98 @@ class Coder:
 
     def contract(self, pieces: list[bytes]):
         """(number of ids of each piece, all ids), a bounded part of the pieces at a time."""
+        if not pieces:
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
         bounds = np.concatenate(([0], np.cumsum([len(p) for p in pieces])))
         parts = [self._contract(pieces[i:j]) for i, j in K.pieces(bounds, QUERY_BYTES)]
         sizes, ids = zip(*parts, strict=True)
         return np.concatenate(sizes), np.concatenate(ids)
 
     def _contract(self, pieces: list[bytes]):
-        """One run of the recursive query."""
+        """The ids of pieces that fit a query: whole tokens, and contracted ones."""
         whole = [(k, self.ranks[p]) for k, p in enumerate(pieces) if p in self.ranks]
         rest = [(k, p) for k, p in enumerate(pieces) if p not in self.ranks]
-        sizes = np.array([len(p) for _, p in rest], np.int64)
-        data = np.frombuffer(b"".join(p for _, p in rest), np.uint8)
+        found = [(np.array([k for k, _ in whole], np.int32), np.zeros(len(whole), np.int32),
+                  np.array([t for _, t in whole], np.int32))]
+        for query, steps, part in (
+                (CONTRACT, STEPS, [(k, p) for k, p in rest if len(p) <= LONG_PIECE]),
+                (CONTRACT_LONG, LONG_STEPS, [(k, p) for k, p in rest if len(p) > LONG_PIECE])):
+            found += self._fixpoint(query, steps, part)
+        w, pos, tok = (np.concatenate(c) for c in zip(*found, strict=True))
+        return np.bincount(w, minlength=len(pieces)), tok[np.lexsort((pos, w))]
+
+    def _fixpoint(self, query: str, steps: int, pieces: list[tuple[int, bytes]]):
+        """Runs of the recursive query, a bounded number of steps each, until no piece has a
+        pair left; only the last state of a run is kept."""
+        sizes = np.array([len(p) for _, p in pieces], np.int64)
+        data = np.frombuffer(b"".join(p for _, p in pieces), np.uint8)
         begin = np.cumsum(sizes) - sizes
-        self._load("symbols",
-                   w=np.repeat(np.array([k for k, _ in rest], np.int32), sizes),
-                   pos=(np.arange(len(data)) - np.repeat(begin, sizes)).astype(np.int32),
-                   tok=self.bytes_[data])
-        self._load("whole", w=pa.array([k for k, _ in whole], pa.int32()),
-                   tok=pa.array([t for _, t in whole], pa.int32()))
-        got = self.db.execute(CONTRACT).fetchnumpy()
-        return np.bincount(got["w"], minlength=len(pieces)), np.asarray(got["tok"], np.int32)
-
-    def learn(self, hashes: np.ndarray, pieces: list[bytes]):
+        state = {"w": np.repeat(np.array([k for k, _ in pieces], np.int32), sizes),
+                 "pos": (np.arange(len(data)) - np.repeat(begin, sizes)).astype(np.int32),
+                 "tok": self.bytes_[data]}
+        while len(state["w"]):
+            self._load("symbols", **state)
+            got = self.db.execute(query).fetchnumpy()
+            going = np.asarray(got["step"]) == steps
+            cols = {c: np.asarray(got[c], np.int32) for c in ("w", "pos", "tok")}
+            yield tuple(c[~going] for c in cols.values())
+            state = {name: c[going] for name, c in cols.items()}
+
+    def learn(self, hashes: np.ndarray, other: np.ndarray, pieces: list[bytes]):
         """Remember the ids of new pieces (``hashes`` ascending and not yet known)."""
         size, ids = self.contract(pieces)
         if len(self.known) + len(hashes) > REMEMBERED:
-            self.known, self.first, self.ids = hashes[:0], np.zeros(1, np.int64), ids[:0]
+            self.known, self.other = hashes[:0], other[:0]
+            self.first, self.ids = np.zeros(1, np.int64), ids[:0]
         known = np.concatenate((self.known, hashes))
         first = np.concatenate((self.first[:-1], self.first[-1] + np.cumsum(size) - size))
         sizes = np.concatenate((np.diff(self.first), size))
         order = np.argsort(known)
         ids = np.concatenate((self.ids, ids))
+        self.other = np.concatenate((self.other, other))[order]
         self.known, (self.first, self.ids) = known[order], gathered(ids, first[order],
                                                                     sizes[order])
 
     def encode(self, data, off) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, bounds of each text) of texts between the offsets."""
+        """(ids of all texts, bounds of each text) of texts between the offsets.
+
+        Pieces are told apart by two independent hashes; should one alone be equal, the
+        pieces of these texts are compared by their bytes and not remembered.
+        """
         raw = data[off[0]:off[-1]]
         starts, ends, first = split(data, off, self.table)
-        hashes = K.run_hashes(K.BYTE_VALUE[raw], starts, ends)
+        values = K.BYTE_VALUE[raw]
+        hashes, other = (K.run_hashes(values, starts, ends, salt) for salt in (0, 1))
         words, sample, back = np.unique(hashes, return_index=True, return_inverse=True)
         at = np.searchsorted(self.known, words)
         new = np.ones(len(words), bool)
-        in_range = at < len(self.known)
-        new[in_range] = self.known[at[in_range]] != words[in_range]
+        inside = np.flatnonzero(at < len(self.known))
+        new[inside] = self.known[at[inside]] != words[inside]
+        old = np.flatnonzero(~new)
+        if (other != other[sample][back]).any() or (
+                self.other[at[old]] != other[sample[old]]).any():
+            return self._encode_by_bytes(raw.tobytes(), starts, ends, first)
         if new.any():
             if len(self.known) + new.sum() > REMEMBERED:
                 new[:] = True  # the memory starts anew with the pieces of these texts
             body = raw.tobytes()
-            self.learn(words[new], [body[starts[k]:ends[k]] for k in sample[new]])
+            self.learn(words[new], other[sample[new]],
+                       [body[starts[k]:ends[k]] for k in sample[new]])
             at = np.searchsorted(self.known, words)
         at = at[back]
         bounds, ids = gathered(self.ids, self.first[at], np.diff(self.first)[at])
         return ids, bounds[first]
 
+    def _encode_by_bytes(self, body: bytes, starts, ends, first):
+        """As ``encode``, with the bytes of the pieces as their identity."""
+        number: dict[bytes, int] = {}
+        back = np.array([number.setdefault(body[a:b], len(number))
+                         for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
+        size, ids = self.contract(list(number))
+        begin = np.cumsum(size) - size
+        bounds, ids = gathered(ids, begin[back], size[back])
+        return ids, bounds[first]
+
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
         """Bytes of each text: ordered aggregation over token-position rows."""
         size = np.diff(bounds)

@@ -127,20 +127,53 @@ def spans(data: np.ndarray, off: np.ndarray, inside: np.ndarray):
     return starts, ends, np.searchsorted(starts, off - base)
 
 
-def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run; ``values`` holds a 64-bit value per byte of the piece."""
-    out = np.empty(len(starts), dtype=U64)
+_PLACES: dict[int, np.ndarray] = {}
+
+
+def place_values(n: int, salt: int) -> np.ndarray:
+    """One fixed random odd number for each place below ``n`` in a run, kept between calls."""
+    have = _PLACES.get(salt)
+    if have is None or len(have) < n:
+        size = min(PIECE, max(n, 1 << 12))
+        have = _PLACES[salt] = mix(np.arange(size, dtype=U64), 17 + salt) | U64(1)
+    return have[:n]
+
+
+def _run_sums(values, starts, ends, first: int, salt: int) -> np.ndarray:
+    """Sum of value times place value over runs whose first byte has the place ``first``."""
+    size = ends - starts
+    bounds = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
+    place = np.arange(bounds[-1]) - np.repeat(bounds[:-1], size)
+    at = np.repeat(starts, size) + place
+    factor = place_values(int(size.max(initial=0)), salt)
+    if first:  # a later part of a long run: other numbers
+        factor = mix(factor, first // PIECE) | U64(1)
+    acc = np.concatenate((np.zeros(1, U64), np.cumsum(values[at] * factor[place])))
+    return acc[bounds[1:]] - acc[bounds[:-1]]
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0
+               ) -> np.ndarray:
+    """A 64-bit hash of each run; ``values`` holds a 64-bit value per byte of the piece.
+
+    Each byte's value is multiplied by a random number of its place in the run (a multilinear
+    hash), so no structure of a text makes runs collide as powers of a base would. Other
+    values of ``salt`` give independent hashes.
+    """
+    out = np.zeros(len(starts), dtype=U64)
     i, n = 0, len(starts)
     with np.errstate(over="ignore"):
         while i < n:
-            s0 = starts[i]
-            j = max(i + 1, int(np.searchsorted(ends, s0 + PIECE, side="right")))
-            seg = values[s0:ends[j - 1]]
-            acc = np.concatenate((np.zeros(1, U64), np.cumsum(seg * powers(int(_BASE), len(seg)))))
-            s, e = starts[i:j] - s0, ends[i:j] - s0
-            out[i:j] = (acc[e] - acc[s]) * powers(_INV, len(seg))[s]
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE, side="right")))
+            if ends[i] - starts[i] > PIECE:  # one long run, in parts
+                j = i + 1
+                for a in range(int(starts[i]), int(ends[i]), PIECE):
+                    part = np.array([a]), np.array([min(a + PIECE, int(ends[i]))])
+                    out[i:j] += _run_sums(values, *part, a - int(starts[i]), salt)
+            else:
+                out[i:j] = _run_sums(values, starts[i:j], ends[i:j], 0, salt)
             i = j
-        return mix(out ^ mix((ends - starts).astype(U64), 3), 1)
+        return mix(out ^ mix((ends - starts).astype(U64), 3 + 2 * salt), 1 + 8 * salt)
 
 
 def word_hashes(data, off, inside, fold: bool = True):

@@ -20,7 +20,7 @@ through the text gives the length of the longest match elsewhere at every
 position; positions with ``M >= LENGTH`` start a repeat.
 
 Groups over ``GROUP_BYTES`` are never held whole: their windows are counted by
-128-bit hash with map-side aggregation instead.
+two independent 64-bit hashes with map-side aggregation instead.
 
 Edge cases: a null text is empty; texts under ``LENGTH`` bytes keep all; equal
 rows are copies of each other; ids may be null or repeated (rows are told apart
@@ -73,11 +73,15 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(right[:n - width + 1], left[width - 1:n])
 
 
-def prefix_hashes(raw: np.ndarray) -> np.ndarray:
+#: A second set of byte values, for hashes independent of those by ``K.BYTE_VALUE``.
+OTHER_VALUE = K.mix(K.BYTE_VALUE, 29) | K.U64(1)
+
+
+def prefix_hashes(raw: np.ndarray, values: np.ndarray = K.BYTE_VALUE) -> np.ndarray:
     """acc with hash of raw[a:b] = (acc[b] - acc[a]) * base**-a."""
     with np.errstate(over="ignore"):
         return np.concatenate((np.zeros(1, K.U64), np.cumsum(
-            K.BYTE_VALUE[raw] * K.powers(int(K._BASE), len(raw)))))
+            values[raw] * K.powers(int(K._BASE), len(raw)))))
 
 
 def piece_hash(acc, a, b, salt: int) -> np.ndarray:
@@ -375,13 +379,14 @@ def indexed(texts: DataFrame, length: int) -> DataFrame:
 
 
 def counted(texts: DataFrame, length: int) -> DataFrame:
-    """Repeated spans of groups too large for one index: windows counted by 128-bit hash."""
+    """Repeated spans of groups too large for one index: windows counted by two
+    64-bit hashes of independent byte values."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                acc = prefix_hashes(np.frombuffer(row[6], np.uint8))
-                at = np.arange(row[4] - row[3] + 1)
-                h1, h2 = piece_hash(acc, at, at + length, 71), piece_hash(acc, at, at + length, 72)
+                raw, at = np.frombuffer(row[6], np.uint8), np.arange(row[4] - row[3] + 1)
+                h1, h2 = (piece_hash(prefix_hashes(raw, v), at, at + length, salt)
+                          for v, salt in ((K.BYTE_VALUE, 71), (OTHER_VALUE, 72)))
                 n = len(at)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(K.signed(h1)), pa.array(K.signed(h2)),

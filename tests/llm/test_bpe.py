@@ -75,3 +75,52 @@ def test_query_columns(spark, library):
 def test_unknown_id_fails(coder):
     with pytest.raises(ValueError):
         coder.decode(np.array([0, 60000], np.int32), np.array([0, 2]))
+
+
+def thue_morse(n, letters="ab"):
+    """Texts that collide under powers of any odd base modulo 2 ** 64."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join(letters[b] for b in bits), "".join(letters[1 - b] for b in bits)
+
+
+def test_pieces_that_collide_under_powers_of_a_base(coder, library):
+    texts = [*thue_morse(1024), *thue_morse(2048), *thue_morse(2048, "xy")]
+    data, off = kernels.byte_column(pa.array(texts))
+    assert len(set(kernels.word_hashes(data, off, kernels.not_space())[0].tolist())) == len(texts)
+    ids, bounds = coder.encode(data, off)
+    for k, t in enumerate(texts):
+        assert list(ids[bounds[k]:bounds[k + 1]]) == library.encode_ordinary(t)
+
+
+def test_equal_hashes_are_told_apart_by_bytes(ranks, library, monkeypatch):
+    """With a first hash of four values, the second one finds the clash."""
+    whole = kernels.run_hashes
+    monkeypatch.setattr(bpe.K, "run_hashes", lambda v, a, b, salt=0: (
+        whole(v, a, b, salt) if salt else whole(v, a, b) & kernels.U64(3)))
+    small = bpe.Coder(ranks)
+    for texts in (["one"], ["alpha beta gamma delta", "beta of words"], ["two more of these words"]):
+        data, off = kernels.byte_column(pa.array(texts))
+        ids, bounds = small.encode(data, off)
+        assert [list(ids[a:b]) for a, b in zip(bounds, bounds[1:])] == [
+            library.encode_ordinary(t) for t in texts]
+
+
+def test_long_pieces_equal_the_library(coder, library):
+    r = np.random.default_rng(3)
+    letters = "".join(map(chr, r.integers(97, 123, 12_000)))
+    chinese = "".join(map(chr, r.integers(0x4E00, 0x9FA5, 3_000)))
+    texts = [letters, chinese, "a" * 5_001, "ab" * 2_000 + "aab" * 999, "\n" * 1_500]
+    data, off = kernels.byte_column(pa.array(texts))
+    ids, bounds = coder.encode(data, off)
+    for k, t in enumerate(texts):
+        assert list(ids[bounds[k]:bounds[k + 1]]) == library.encode_ordinary(t)
+
+
+def test_runs_hash_alike_wherever_they_stand():
+    """Long runs are hashed in parts, short ones many at once; equal bytes, equal hash."""
+    n = kernels.PIECE
+    text = ("x" * 10 + "y") * (n // 5)
+    data, off = kernels.byte_column(pa.array([text + " ab  " + text, "ab " + text, "ab"]))
+    hashes, first = kernels.word_hashes(data, off, kernels.not_space())
+    assert list(first) == [0, 3, 5, 6] and hashes[0] == hashes[2] == hashes[4]
+    assert hashes[1] == hashes[3] == hashes[5] != hashes[0]

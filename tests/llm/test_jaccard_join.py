@@ -100,3 +100,10 @@ def test_bounds(spark):
     p = pairs.toPandas()
     assert (J.least_shared(p.l.to_numpy(), p.s.to_numpy()) == p.x).all()
     assert (J.least_shared(n, n) >= 1).all() and (J.least_shared(n, 4 * n // 3) >= 1).all()
+
+
+def test_words_that_collide_under_powers_of_a_base(spark):
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    one, two = ("".join("ab"[b ^ k] for b in bits) for k in (0, 1))
+    df = spark.createDataFrame([(1, one, ""), (2, two, ""), (3, one, "")], SCHEMA)
+    assert {r.doc_id: r.component_id for r in J.join(df).collect()} == {1: 1, 2: 2, 3: 1}

@@ -89,3 +89,13 @@ def test_against_brute_force(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, lang string, text string")
     assert Q.judge(df).count() == 0
+
+
+def test_words_that_collide_under_powers_of_a_base(spark):
+    from concord.llm import quality_rules
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    one, two = ("".join("ab"[b ^ k] for b in bits) for k in (0, 1))
+    df = spark.createDataFrame([(1, f"{one} b c\n{two} b c", "en"), (2, f"{one} b c\n{one} b c", "en")],
+                               "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.n_repeat_words, r.n_dup_lines) for r in quality_rules.features(df).collect()}
+    assert got == {1: (0, 0), 2: (6, 1)}
