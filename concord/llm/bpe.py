@@ -35,7 +35,7 @@ from concord.llm import kernels as K
 from concord.llm.common import table
 
 #: Text bytes whose pieces are encoded together, and distinct pieces remembered.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 REMEMBERED = 1_000_000
 #: Bytes of new pieces that one encoding query holds, and ids that one decoding query holds.
 QUERY_BYTES = 1 << 17
@@ -364,6 +364,7 @@ def _mapped(rows: DataFrame, ranks_path: str, source: str, steps: list[str]) ->
     at = schema.names.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        K.release()
         coder = _coder(ranks.value)
         for batch in batches:
             column = K.byte_column(batch.column(at))
@@ -375,6 +376,7 @@ def _mapped(rows: DataFrame, ranks_path: str, source: str, steps: list[str]) ->
                     new.append(_decoded(coder, K.byte_column(new[0] if new else part.column(at))))
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), *new],
                                                  names=names)
+                K.release()
 
     fields = [f"`{schema[k].name}` {schema[k].dataType.simpleString()}" for k in keep]
     return rows.mapInArrow(run, ", ".join([*fields, *(f"{c} binary" for c in steps)]))

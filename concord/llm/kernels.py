@@ -8,6 +8,7 @@ a text longer than a piece is a piece of its own, hashed in slices.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,15 @@ _MUL = U64(0x9E3779B97F4A7C15)
 _BASE = U64(0x100000001B3 * 2 + 1)
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker process goes on to other stages, and
+    what it keeps for itself counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """A 64-bit finaliser (splitmix64) applied to each element."""
     z = x.astype(U64, copy=True)
