@@ -35,7 +35,7 @@ from concord.llm import kernels as K
 from concord.llm.common import table
 
 #: Text bytes whose pieces are encoded together, and distinct pieces remembered.
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES = 1 << 20
 REMEMBERED = 1_000_000
 #: Bytes of new pieces that one encoding query holds, and ids that one decoding query holds.
 QUERY_BYTES = 1 << 17
@@ -270,6 +270,7 @@ class Coder:
         starts, ends, first = split(data, off, self.table)
         values = K.BYTE_VALUE[raw]
         hashes, other = (K.run_hashes(values, starts, ends, salt) for salt in (0, 1))
+        del values
         words, sample, back = np.unique(hashes, return_index=True, return_inverse=True)
         at = np.searchsorted(self.known, words)
         new = np.ones(len(words), bool)
@@ -365,7 +366,7 @@ def _mapped(rows: DataFrame, ranks_path: str, source: str, steps: list[str]) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         K.release()
-        coder = _coder(ranks.value)
+        coder, done = _coder(ranks.value), 0
         for batch in batches:
             column = K.byte_column(batch.column(at))
             for i, j in K.pieces(column[1], CHUNK_BYTES):
@@ -376,7 +377,9 @@ def _mapped(rows: DataFrame, ranks_path: str, source: str, steps: list[str]) ->
                     new.append(_decoded(coder, K.byte_column(new[0] if new else part.column(at))))
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), *new],
                                                  names=names)
-                K.release()
+                done += 1
+                if done % 8 == 0:
+                    K.release()
 
     fields = [f"`{schema[k].name}` {schema[k].dataType.simpleString()}" for k in keep]
     return rows.mapInArrow(run, ", ".join([*fields, *(f"{c} binary" for c in steps)]))

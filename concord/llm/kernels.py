@@ -154,11 +154,14 @@ def _run_sums(values, starts, ends, first: int, salt: int) -> np.ndarray:
     size = ends - starts
     bounds = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
     place = np.arange(bounds[-1]) - np.repeat(bounds[:-1], size)
-    at = np.repeat(starts, size) + place
     factor = place_values(int(size.max(initial=0)), salt)
     if first:  # a later part of a long run: other numbers
         factor = mix(factor, first // PIECE) | U64(1)
-    acc = np.concatenate((np.zeros(1, U64), np.cumsum(values[at] * factor[place])))
+    if (starts[1:] == ends[:-1]).all():  # no gaps
+        body = values[starts[0]:ends[-1]]
+    else:
+        body = values[np.repeat(starts, size) + place]
+    acc = np.concatenate((np.zeros(1, U64), np.cumsum(body * factor[place])))
     return acc[bounds[1:]] - acc[bounds[:-1]]
 
 
