@@ -26,8 +26,12 @@ def duck():
     return con
 
 
+#: Reports of models trained by many small steps, which SQL does not express; see test_training.
+TRAINED = {"model_minibatch_report", "model_pipeline_report"}
+
+
 def test_every_query_has_oracle():
-    assert {n for n in QUERIES if n != "pipeline" and not n.startswith("op")} <= set(SQL)
+    assert {n for n in QUERIES if n != "pipeline" and not n.startswith("op")} <= set(SQL) | TRAINED
     assert set(SQL) <= set(QUERIES)
 
 
