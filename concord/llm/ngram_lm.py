@@ -24,14 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concord.llm import kernels as K
-from concord.llm.common import broadcast_if_small, written
+from concord.llm.common import broadcast_if_small, small_enough, written
 
 ORDER = 5
 START = 0
 #: Steps of a loss in one nat; sums are exact up to 2 ** 33 nats a text.
 STEPS = 1 << 30
-#: Not read any more (every table is joined); callers may still pass a limit.
-BROADCAST_GRAMS = 4_000_000
 #: Words found less often in all documents are one unknown symbol.
 LEAST_WORDS = 5
 
@@ -60,8 +58,8 @@ class Bytes:
 class Words:
     """The words of a text; words outside the vocabulary are one unknown symbol.
 
-    A word is in the vocabulary when all texts hold it at least ``least`` times and
-    it is at least one in ``MOST`` of all their words, so there are at most ``MOST``.
+    A word is in the vocabulary when all texts hold it at least ``least`` times and it
+    is among the ``MOST`` most frequent ones (ties by hash).
     """
 
     bits = 21
@@ -70,8 +68,10 @@ class Words:
 
     def __init__(self, texts: DataFrame, least: int):
         counts = written(word_counts(texts), "words")
-        total = counts.agg(F.sum("n")).first()[0] or 0
-        words = counts.filter(F.col("n") >= max(least, -(-total // self.MOST))).select("word")
+        words = counts.filter(F.col("n") >= least)
+        if not small_enough(words, self.MOST):
+            words = words.orderBy(F.desc("n"), "word").limit(self.MOST)
+        words = words.select("word")  # at most MOST numbers reach the driver
         found = np.sort(words.toArrow().column(0).to_numpy().astype(np.int64))
         self.size = len(found) + 1
         self.kept = texts.sparkSession.sparkContext.broadcast(found)
@@ -245,7 +245,7 @@ def losses(counts: DataFrame, order: int, unit) -> DataFrame:
 
 
 def score(rows: DataFrame, table_: DataFrame, values: int, order: int = ORDER,
-          unit=None, limit: int = BROADCAST_GRAMS) -> DataFrame:
+          unit=None) -> DataFrame:
     """The rows (with columns model and text) without text, with n_tokens and sums.
 
     ``table_``: (model, hi, gram, values array<double>) with ``values`` numbers a gram;

@@ -59,10 +59,7 @@ def corpus():
     return docs, labels
 
 
-@pytest.mark.parametrize("limit", [L.BROADCAST_GRAMS, 0])
-def test_perplexity(spark, monkeypatch, limit):
-    monkeypatch.setattr(L, "BROADCAST_GRAMS", limit)
-    monkeypatch.setattr(L.score, "__defaults__", (L.ORDER, None, limit))
+def test_perplexity(spark):
     docs, labels = corpus()
     df = spark.createDataFrame([(*d, 1) for d in docs],
                                "doc_id long, lang string, text string, kept int").repartition(3)

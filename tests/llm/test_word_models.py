@@ -118,7 +118,7 @@ def test_word_order_counts(spark):
         v for k, v in got.items() if k < 100)
 
 
-def test_sums_do_not_depend_on_limit_or_tasks(spark):
+def test_sums_do_not_depend_on_tasks(spark):
     r = random.Random(2)
     texts = ["".join(r.choice("abcdef") for _ in range(r.randrange(200))) for _ in range(30)]
     rows = [(i, "m", t) for i, t in enumerate(texts)] + [(0, "m", texts[0]), (90, "m", None)]
@@ -127,12 +127,23 @@ def test_sums_do_not_depend_on_limit_or_tasks(spark):
                                   "model string, hi long, gram long, values array<double>")
     want = sorted((i, len(t or ""), sum(round(loss.get(c, 0) * L.STEPS) for c in t or "") / L.STEPS)
                   for i, _, t in rows)
-    for limit, tasks in ((0, 1), (0, 7), (L.BROADCAST_GRAMS, 3)):
+    for tasks in (1, 7, 3):
         df = spark.createDataFrame(rows, "doc_id long, model string, text string")
-        got = L.score(df.repartition(tasks), table, 1, 1, None, limit).collect()
+        got = L.score(df.repartition(tasks), table, 1, 1).collect()
         assert sorted((x.doc_id, x.n_tokens, x.sums[0]) for x in got) == want
 
 
+def test_vocabulary_is_the_most_frequent_words(spark, monkeypatch):
+    texts = spark.createDataFrame([("a a a a b b b c c c",), ("d d a",)], "text string")
+    assert L.Words(texts, 2).size == 5       # a b c d and the unknown word
+    monkeypatch.setattr(L.Words, "MOST", 2)  # a, and b or c by hash: never by the table's size
+    unit = L.Words(texts.repartition(3), 2)
+    words = {r.word: r.n for r in L.word_counts(texts).collect()}
+    tied = min(w for w, n in words.items() if n == 3)
+    most = next(w for w, n in words.items() if n == 5)
+    assert unit.kept.value.tolist() == sorted([most, tied])
+
+
 def test_empty_over_words(spark):
     docs = spark.createDataFrame([], "doc_id long, lang string, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
