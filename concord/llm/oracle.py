@@ -122,7 +122,7 @@ def op8() -> str:
     part = "CASE WHEN {0} > 0 THEN {0} * log2(2 * {0} / (x[1] + x[2])) ELSE 0 END"
     distance = ("sqrt(greatest(0, list_sum(list_transform(list_zip(p, q), lambda x: 0.5 * (("
                 + part.format("x[1]") + ") + (" + part.format("x[2]") + "))))))")
-    noise = 4 * math.log(2)
+    noise = 8 * math.log(2)
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t,
                   regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),

@@ -6,7 +6,7 @@ reference of a language is the pooled histogram of all its documents that pass
 the base rules. A document is rejected when its Jensen-Shannon distance (base
 2, square root of the divergence) to a reference exceeds the limit of that
 histogram. Short texts have noisy histograms, so each histogram has a minimum
-length under which it is not judged, and the squared limit is widened by twice
+length under which it is not judged, and the squared limit is widened by
 the divergence that sampling alone gives, ``(bins - 1) / (8 ln 2 length)``.
 
 Edge cases: a null or empty text has zero counts, no words, fails the base
@@ -231,7 +231,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .withColumn("base_failed", base_failed()))
 
     def far(hist: str, length: str, least: int, limit: float):
-        noise = (F.size(hist) - 1) / (F.col(length) * 4 * math.log(2))
+        noise = (F.size(hist) - 1) / (F.col(length) * 8 * math.log(2))
         d = F.col(f"{hist[:-1]}_distance")
         return F.coalesce((F.col(length) >= least) & (d * d > limit * limit + noise), F.lit(False))
 

@@ -81,7 +81,7 @@ def test_against_brute_force(spark):
         for hist, ref, n, least, limit in (
                 (chars, refs[lang][0], sum(chars), Q.CHAR_MIN, Q.CHAR_LIMIT),
                 (words, refs[lang][1], base[0], Q.WORD_MIN, Q.WORD_LIMIT)):
-            noise = (len(hist) - 1) / (n * 4 * math.log(2))
+            noise = (len(hist) - 1) / (n * 8 * math.log(2))
             near &= n < least or distance(hist, ref) ** 2 <= limit ** 2 + noise
         assert x.kept == near
 
