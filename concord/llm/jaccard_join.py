@@ -24,6 +24,10 @@ the classes that have more such segments than spares: all their segments and
 their one-deletion neighbourhoods are indexed, list sizes are counted, and
 every probing class allots 0, 1 (equal segment) or 2 (one difference) to each
 of its segments, cheapest units first, until the allotment reaches ``need``.
+Rows carry a parity sketch of their set: sketches of two sets differ in no more
+bits than the sets differ in shingles, so classes that meet but differ in too
+many bits give no pair, and a family of texts just below the similarity is not
+expanded.
 So no group is ever expanded into all pairs and no link is lost.
 
 Hashes: a collision inside one pair of documents has probability
@@ -422,6 +426,21 @@ def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
             .filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).drop("la", "lb"))
 
 
+#: Columns of a parity sketch, 64 bits each.
+SKETCH = ("s0", "s1", "s2", "s3")
+
+
+def sketches(grams, sizes):
+    """Parity of the number of grams that fall on each of 256 bits, for each set."""
+    bit = K.mix(grams, 61) >> K.U64(56)
+    start = (np.cumsum(sizes) - sizes)[sizes > 0]
+    out = np.zeros((len(SKETCH), len(sizes)), K.U64)
+    for k in range(len(SKETCH) if len(start) else 0):
+        own = np.where(bit >> K.U64(6) == k, K.U64(1) << (bit & K.U64(63)), K.U64(0))
+        out[k, sizes > 0] = np.bitwise_xor.reduceat(own, start)
+    return K.signed(out)
+
+
 #: Grams that the second pass turns into rows at once.
 PIECE_GRAMS = 100_000
 
@@ -429,7 +448,8 @@ PIECE_GRAMS = 100_000
 def second_pass_rows(sets: DataFrame) -> DataFrame:
     """All segments (unit 1) and their one-deletion neighbourhoods (unit 2) of the sets.
 
-    ``sets`` are (cls, grams, extent, label); the last two are carried along.
+    ``sets`` are (cls, grams, extent, label); the last two are carried along, as is
+    the sketch of the set.
     """
     def piece(cls, extent, label, sizes, grams, lower):
         take = meets_lower(sizes) if lower else sizes > 0
@@ -454,8 +474,9 @@ def second_pass_rows(sets: DataFrame) -> DataFrame:
              pa.array(cls[who]), pa.array(sizes[who].astype(np.int32)), pa.array(unit),
              pa.array(K.signed(K.mix(at[index] ^ K.U64(int(lower)), 51))),
              pa.array(count[index].astype(np.int32)), pa.array(np.full(len(index), lower)),
-             pa.array(extent[who]), pa.array(label[who])],
-            names=["sig", "cls", "n", "unit", "seg", "size", "lower", "extent", "label"])
+             pa.array(extent[who]), pa.array(label[who]),
+             *(pa.array(s[who]) for s in sketches(grams, sizes))],
+            names=["sig", "cls", "n", "unit", "seg", "size", "lower", "extent", "label", *SKETCH])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -471,7 +492,7 @@ def second_pass_rows(sets: DataFrame) -> DataFrame:
 
     return sets.select("cls", "grams", "extent", "label").mapInArrow(
         run, "sig long, cls long, n int, unit int, seg long, size int, lower boolean, "
-             "extent long, label long")
+             "extent long, label long, " + ", ".join(f"{s} long" for s in SKETCH))
 
 
 def second_pass(sets: DataFrame, probing: DataFrame) -> DataFrame:
@@ -481,6 +502,7 @@ def second_pass(sets: DataFrame, probing: DataFrame) -> DataFrame:
     number of indexed rows they meet. A partner is only met through the first
     ``differences + 1`` units, by the sizes of the two; a unit 2 ranks after its
     unit 1. Of two classes the one in the smaller component (extent, label) probes.
+    Pairs whose sketches differ in more bits than the sets may in shingles are left out.
     """
     lists = second_pass_rows(sets).groupBy("sig").agg(
         F.sum((F.col("unit") == 1).cast("long")).alias("equal"),
@@ -503,13 +525,16 @@ def second_pass(sets: DataFrame, probing: DataFrame) -> DataFrame:
              .filter("unit = 1 OR r2 IS NOT NULL")
              .select("sig", F.col("cls").alias("p"), F.col("n").alias("np"),
                      F.col("unit").alias("up"), "r1", "r2",
-                     F.struct("extent", "label").alias("rp")))
+                     F.struct("extent", "label").alias("rp"),
+                     *(F.col(s).alias(f"p{s}") for s in SKETCH)))
     index = second_pass_rows(sets).select(
         "sig", F.col("cls").alias("i"), F.col("n").alias("ni"), F.col("unit").alias("ui"),
-        F.struct("extent", "label").alias("ri"))
+        F.struct("extent", "label").alias("ri"), *(F.col(s).alias(f"i{s}") for s in SKETCH))
+    apart = " + ".join(f"bit_count(p{s} ^ i{s})" for s in SKETCH)
     met = ((probe["sig"] == index["sig"]) & F.expr("rp < ri")
            & F.expr("4 * least(np, ni) >= 3 * greatest(np, ni)")
-           & F.expr("up + ui <= 3 AND IF(up + ui = 2, r1, r2) <= (np + ni) div 7 + 1"))
+           & F.expr("up + ui <= 3 AND IF(up + ui = 2, r1, r2) <= (np + ni) div 7 + 1")
+           & F.expr(f"{apart} <= (np + ni) div 7"))
     return (probe.join(index, met)
             .select(F.least("p", "i").alias("a"), F.greatest("p", "i").alias("b")).distinct())
 

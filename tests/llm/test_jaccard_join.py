@@ -83,6 +83,40 @@ def test_second_pass_alone_finds_all_links(spark, words_of):
     assert sorted(map(tuple, got)) == brute(rows, words_of)
 
 
+def test_sketches_differ_in_no_more_bits_than_the_sets():
+    r = np.random.default_rng(5)
+    sets = [r.integers(0, 1 << 62, n, dtype=np.uint64) for n in (0, 1, 3, 70, 500, 0)]
+    sets += [np.concatenate((s[len(s) // 6:], r.integers(0, 1 << 62, 9, dtype=np.uint64)))
+             for s in sets]
+    sizes = np.array([len(s) for s in sets])
+    got = J.sketches(np.concatenate(sets), sizes).view(np.uint64)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            bits = sum(int(x ^ y).bit_count() for x, y in zip(got[:, i], got[:, j], strict=True))
+            assert bits <= len(set(a.tolist()) ^ set(b.tolist()))
+            assert (bits == 0) or i != j
+    assert (J.sketches(np.zeros(0, np.uint64), np.zeros(2, np.int64)) == 0).all()
+
+
+def test_a_family_just_below_the_similarity_gives_few_pairs(spark):
+    """Texts that share most segments, all pairs differing in too many shingles."""
+    r = random.Random(11)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for d in range(60):
+        t = list(base)
+        for k in range(4):
+            t[r.randrange(20) + 22 * k] = f"x{d}-{k}"
+        rows.append((d, " ".join(t)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    members = (J.grouped(J.signature_rows(df)).filter("kind = 0")
+               .select(F.col("a").alias("doc_id"), F.col("b").alias("cls"), F.col("na").alias("n")))
+    classes = members.select("cls").distinct()
+    sets = J.sets_of(df, members, classes).withColumns(
+        {"extent": F.lit(1).cast("long"), "label": F.col("cls")})
+    assert J.second_pass(sets, classes).count() < 60 * 59 // 2 // 10
+
+
 def test_nulls_and_empty(spark):
     df = spark.createDataFrame([(None, "a b c"), (None, None), (7, "a b c"), (7, "a b c")],
                                "doc_id long, text string")
