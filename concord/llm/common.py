@@ -16,10 +16,23 @@ def scratch(spark: SparkSession, name: str) -> str:
     return "/".join((checkpoint_dir(spark).rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}"))
 
 
+#: Setting by which an execution's shuffle files go as soon as it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: cuts lineage, survives lost executors."""
+    """The rows as a table in the shared folder: cuts lineage, survives lost executors.
+
+    Nothing reads the shuffles behind the table once it is written, so their files go then;
+    until its end the write keeps them, as it needs them when an executor is lost.
+    """
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
