@@ -47,16 +47,26 @@ def hashed_features(df: DataFrame, carry: list[str], text: str = "text",
                     n_buckets: int = N_BUCKETS) -> DataFrame:
     """``(carry..., n_tokens, features array<struct<bucket int, x double>>)``.
 
-    NULL and token-free texts have no features and ``n_tokens`` 0.
+    NULL and token-free texts have no features and ``n_tokens`` 0. A text is split, hashed and
+    sorted once: each step is bound before it is used, and the row's result is generated.
     """
-    tokens = F.array_remove(F.split(F.lower(F.col(text)), TOKEN_SPLIT), "")
-    buckets = F.array_sort(F.transform(tokens, lambda t: token_bucket(t, n_buckets)))
-    norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, e: s + F.pow(F.log1p(e["n"]), 2.0)))
-    scaled = bind(run_lengths(buckets), lambda c: bind(norm(c), lambda z: F.transform(
-        c, lambda e: F.struct(e["bucket"].alias("bucket"), (F.log1p(e["n"]) / z).alias("x")))))
+    def norm(c: Column) -> Column:
+        return F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, e: s + F.pow(F.log1p(e["n"]), 2.0)))
+
+    def scaled(c: Column) -> Column:
+        return bind(norm(c), lambda z: F.transform(c, lambda e: F.struct(
+            e["bucket"].alias("bucket"), (F.log1p(e["n"]) / z).alias("x"))))
+
     none = F.array().cast("array<struct<bucket:int,x:double>>")
-    return df.select(*carry, F.coalesce(F.size(tokens), F.lit(0)).cast("bigint").alias("n_tokens"),
-                     F.coalesce(scaled, none).alias("features"))
+
+    def featurised(t: Column) -> Column:
+        buckets = F.sort_array(F.transform(t, lambda x: token_bucket(x, n_buckets)))
+        features = bind(buckets, lambda b: bind(run_lengths(b), scaled))
+        return F.struct(F.coalesce(F.size(t), F.lit(0)).cast("bigint").alias("n_tokens"),
+                        F.coalesce(features, none).alias("features"))
+
+    tokens = F.array_remove(F.split(F.lower(F.col(text)), TOKEN_SPLIT), "")
+    return df.select(*carry, F.inline(F.array(bind(tokens, featurised))))
 
 
 def initial_params(spark, version: int = 0, n_buckets: int = N_BUCKETS,

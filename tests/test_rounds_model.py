@@ -74,6 +74,15 @@ def test_features_match_plain_python(spark):
         assert all(abs(got[i][k] - exp[k]) < 1e-12 for k in exp)
 
 
+def test_features_split_and_sort_a_text_once(spark):
+    df = spark.createDataFrame([(0, "a b a"), (1, None), (2, "7")], "id int, text string")
+    feats = M.hashed_features(df, ["id"])
+    plan = feats._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("md5(") == 1 and plan.count("sort") == 1
+    rows = sorted((r.id, r.n_tokens, len(r.features)) for r in feats.collect())
+    assert rows == [(0, 3, 2), (1, 0, 0), (2, 0, 0)]
+
+
 def test_report_zero_denominator_when_class_never_predicted(spark):
     scored = spark.createDataFrame([(0, 0, "t"), (1, 0, "t"), (1, 0, "t")],
                                    "objectionable int, prediction int, split string")
