@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from concord.functions import names
 from concord.operators import blocks as B
 
+#: Object files that one task writes, about.
+OBJECTS_A_TASK = 500
 OBJECTS = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -65,10 +67,19 @@ def averaged(spark: SparkSession, folder: str, version: int, size: int = B.BLOCK
 
 
 def write_objects(objects: DataFrame, folder: str) -> None:
-    """Store ``(version, key, body)``: a file below a folder that bears the object's name."""
+    """Store ``(version, key, body)``: a file below a folder that bears the object's name.
+
+    A file takes a fixed time whatever its size, so objects are dealt to tasks by their number
+    and not by their bytes, and each task puts its own files in place (a rerun task writes the
+    same names again).
+    """
     name = names.local_object_name(F.col("version"), F.col("key"))
+    tasks = max(objects.sparkSession.sparkContext.defaultParallelism,
+                -(-objects.count() // OBJECTS_A_TASK))
     (objects.select(name.alias("object"), F.col("body").alias("value"))
-     .write.mode("overwrite").partitionBy("object").text(folder))
+     .repartition(tasks, "object").write.mode("overwrite")
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     .partitionBy("object").text(folder))
 
 
 def stored(spark: SparkSession, folder: str) -> DataFrame:

@@ -42,6 +42,20 @@ def test_object_files_are_listed_and_averaged(spark, tmp_dir):
     assert sorted((r.pos, r.value) for r in mean.collect()) == [(0, 2.0), (1, 3.0), (2, 5.5)]
 
 
+def test_object_files_are_written_by_many_tasks(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(O, "OBJECTS_A_TASK", 10)
+    objects = (spark.range(80).groupBy((F.col("id") % 60).alias("k")).agg(F.count("*").alias("n"))
+               .select(F.lit(3).alias("version"), F.col("k").cast("string").alias("key"),
+                       F.col("n").cast("string").alias("body")))
+    O.write_objects(objects, f"{tmp_dir}/objects")
+    parts = [f for _, _, files in os.walk(f"{tmp_dir}/objects") for f in files
+             if f.startswith("part-")]
+    assert len(parts) == 60 and len({p.split("-")[1] for p in parts}) > 3
+    listed = O.stored(spark, f"{tmp_dir}/objects").collect()
+    assert sorted((r.version, r.key, r.length) for r in listed) == sorted(
+        (3, str(k), 2) for k in range(60))
+
+
 def test_status_snapshots_refuse_a_second_writer(spark, tmp_dir):
     root = f"{tmp_dir}/status"
     df = lambda v: spark.createDataFrame([(0, v)], "federation_id int, version int")
