@@ -22,11 +22,14 @@ from pyspark.sql import functions as F
 
 from concord.llm import kernels as K
 from concord.llm import ngram_lm as L
+from concord.llm import word_losses as W
 from concord.llm.common import table, written
 from concord.llm.quality_classifier import marked
 
 ORDER = 4
 LEAST = 50
+#: Parts of the grams that go through the disk one after the other.
+PARTS = 3
 #: The symbol of all bytes outside the vocabulary (a control character otherwise).
 UNKNOWN = 1
 
@@ -55,7 +58,18 @@ def differences(docs: DataFrame, labels: DataFrame, order: int = ORDER,
                 least: int = LEAST, words: int = 0) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, difference of each document."""
     rows = marked(docs, labels, F.lit(""))
-    unit = L.Words(rows, words) if words else L.Bytes(vocabulary(rows, least))
+    if words:
+        scored = W.text_losses(rows, order, L.Words(rows, words), ("chosen", "every"), PARTS)
+    else:
+        scored = _over_bytes(rows, order, least)
+    n = F.when(F.col("n_tokens") > 0, F.col("n_tokens"))
+    return scored.select("doc_id", "n_tokens", (F.col("sums")[0] / n).alias("target_loss"),
+                         (F.col("sums")[1] / n).alias("background_loss"),
+                         ((F.col("sums")[0] - F.col("sums")[1]) / n).alias("difference"))
+
+
+def _over_bytes(rows: DataFrame, order: int, least: int) -> DataFrame:
+    unit = L.Bytes(vocabulary(rows, least))
     counts = written(L.gram_counts(rows, order, unit), "grams")
     both = F.explode(F.array(F.struct(F.lit("target").alias("model"), F.col("chosen").alias("n")),
                              F.struct(F.lit("background").alias("model"),
@@ -65,11 +79,7 @@ def differences(docs: DataFrame, labels: DataFrame, order: int = ORDER,
     of = {m: F.max(F.when(F.col("model") == m, F.col("loss"))) for m in ("target", "background")}
     pair = written(loss.groupBy("hi", "gram").agg(F.array(of["target"], of["background"])
                                                   .alias("values")), "losses")
-    scored = L.score(rows, pair.withColumn("model", F.lit("")), 2, order, unit)
-    n = F.when(F.col("n_tokens") > 0, F.col("n_tokens"))
-    return scored.select("doc_id", "n_tokens", (F.col("sums")[0] / n).alias("target_loss"),
-                         (F.col("sums")[1] / n).alias("background_loss"),
-                         ((F.col("sums")[0] - F.col("sums")[1]) / n).alias("difference"))
+    return L.score(rows, pair.withColumn("model", F.lit("")), 2, order, unit)
 
 
 def op6_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:

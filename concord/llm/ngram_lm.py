@@ -32,6 +32,8 @@ START = 0
 STEPS = 1 << 30
 #: Words found less often in all documents are one unknown symbol.
 LEAST_WORDS = 5
+#: Words that a task counts together.
+HELD_WORDS = 1 << 19
 
 KEY = ["model", "hi", "gram"]
 COUNTS = "model string, hi long, gram long, every long, chosen long"
@@ -71,10 +73,15 @@ class Words:
         words = counts.filter(F.col("n") >= least)
         if not small_enough(words, self.MOST):
             words = words.orderBy(F.desc("n"), "word").limit(self.MOST)
-        words = words.select("word")  # at most MOST numbers reach the driver
-        found = np.sort(words.toArrow().column(0).to_numpy().astype(np.int64))
-        self.size = len(found) + 1
-        self.kept = texts.sparkSession.sparkContext.broadcast(found)
+        found = words.toArrow()  # at most MOST rows reach the driver
+        word, n = (found.column(k).to_numpy().astype(np.int64) for k in ("word", "n"))
+        by = np.argsort(word)
+        word, n = word[by], n[by]
+        symbol = np.empty(len(word), np.int32)
+        symbol[np.lexsort((word, -n))] = np.arange(len(word)) + 2  # frequent words: low numbers
+        self.size = len(word) + 1
+        broadcast = texts.sparkSession.sparkContext.broadcast
+        self.kept, self.symbol, self.begin = broadcast(word), broadcast(symbol), None
 
     def tokens(self, data: np.ndarray, off: np.ndarray):
         """(symbol of each token, number of the first token of each text)."""
@@ -82,20 +89,48 @@ class Words:
         hashes, kept = K.signed(hashes), self.kept.value
         if not len(kept):
             return np.full(len(hashes), self.UNKNOWN, np.int64), first
-        at = np.minimum(np.searchsorted(kept, hashes), len(kept) - 1)
-        return np.where(kept[at] == hashes, at + 2, self.UNKNOWN), first
+        shift = 64 - len(kept).bit_length()
+        if self.begin is None:  # first place of the hashes of each range
+            half = 1 << (63 - shift)
+            self.begin = np.searchsorted(kept >> shift, np.arange(-half, half + 1)).astype(np.int32)
+        cell = (hashes >> shift) + (len(self.begin) >> 1)
+        at, end = self.begin[cell], self.begin[cell + 1]
+        out, rest = np.full(len(hashes), self.UNKNOWN, np.int64), np.flatnonzero(at < end)
+        while len(rest):  # as often as a range has hashes at most
+            place = at[rest]
+            same = kept[place] == hashes[rest]
+            out[rest[same]] = self.symbol.value[place[same]]
+            rest = rest[~same]
+            at[rest] += 1
+            rest = rest[at[rest] < end[rest]]
+        return out, first
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n): hash and number of each distinct word of the texts."""
+    def merged(held):
+        words, n = (np.concatenate(c) for c in zip(*held, strict=True))
+        words, back = np.unique(words, return_inverse=True)
+        return words, np.bincount(back, n, len(words)).astype(np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             data, off = K.byte_column(batch.column(0))
             for i, j in K.pieces(off):
                 hashes, _ = K.word_hashes(data, off[i:j + 1], K.not_space())
-                words, n = np.unique(K.signed(hashes), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(n)],
-                                                 names=["word", "n"])
+                held.append(np.unique(K.signed(hashes), return_counts=True))
+                size += len(held[-1][0])
+                if size > HELD_WORDS:
+                    held = [merged(held)]
+                    size = len(held[0][0])
+                if size > HELD_WORDS // 2 and len(held) == 1:
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, held[0])),
+                                                     names=["word", "n"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, merged(held))),
+                                             names=["word", "n"])
 
     return (texts.select("text").mapInArrow(run, "word long, n long").groupBy("word")
             .agg(F.sum("n").alias("n")))

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.llm import ngram_lm as L
+from concord.llm import word_losses as W
 from concord.llm.common import broadcast_if_small, table, written
 
 QUANTILE = 0.99
@@ -47,11 +48,15 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = L.ORDER,
     rows = marked(docs, labels, F.coalesce(F.col("lang").cast("string"), F.lit("")))
     held = F.col("chosen") & (F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0)
     rows = rows.withColumns({"held": held, "chosen": F.col("chosen") & ~held})
-    unit = L.Words(rows, words) if words else L.Bytes()
-    counts = written(L.gram_counts(rows, order, unit), "grams")
-    loss = written(L.losses(counts.select(*L.KEY, F.col("chosen").alias("n")), order, unit).select(
-        *L.KEY, F.array("loss").alias("values")), "losses")
-    scored = written(L.score(rows, loss, 1, order, unit).withColumn(
+    if words:
+        scored = W.text_losses(rows, order, L.Words(rows, words), ("chosen",))
+    else:
+        unit = L.Bytes()
+        counts = written(L.gram_counts(rows, order, unit), "grams")
+        loss = L.losses(counts.select(*L.KEY, F.col("chosen").alias("n")), order, unit)
+        loss = written(loss.select(*L.KEY, F.array("loss").alias("values")), "losses")
+        scored = L.score(rows, loss, 1, order, unit)
+    scored = written(scored.withColumn(
         "perplexity", F.when(F.col("n_tokens") > 0,
                              F.exp(F.col("sums")[0] / F.col("n_tokens")))), "scored")
     at = F.percentile_approx

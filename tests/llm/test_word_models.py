@@ -5,6 +5,7 @@ import math
 import os
 import random
 import sys
+import threading
 
 import pytest
 
@@ -14,6 +15,7 @@ from test_ngram_lm import Brute  # noqa: E402
 from concord.llm import cross_entropy as X  # noqa: E402
 from concord.llm import ngram_lm as L  # noqa: E402
 from concord.llm import quality_classifier as Q  # noqa: E402
+from concord.llm import word_losses as W  # noqa: E402
 
 LEAST = 3
 
@@ -149,3 +151,54 @@ def test_empty_over_words(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert Q.classify(docs, labels, words=LEAST).count() == 0
     assert X.differences(docs, labels, words=LEAST).count() == 0
+
+
+@pytest.mark.parametrize("order", [3, 5])
+def test_spread_contexts_give_the_same_losses(spark, monkeypatch, order):
+    """Contexts of one and two words whose grams lie in many buckets."""
+    monkeypatch.setattr(W, "BUCKET", 16)
+    monkeypatch.setattr(W, "HOT", 12)
+    seen, of = [], W.hot_contexts
+    monkeypatch.setattr(W, "hot_contexts", lambda *a: seen.append(of(*a)) or seen[-1])
+    test_perplexity_over_words(spark, order)
+    if order == 5:
+        test_difference_over_words(spark)
+    assert {words for _, words, _, _ in seen[0]} == set(range(1, min(2, order - 2) + 1))
+
+
+def test_grams_do_not_fill_the_disk(spark):
+    """Shuffle files and tables take less than twice the text while a model of random words, nearly
+    all of whose grams are different, is trained and used."""
+    r = random.Random(5)
+    words = [f"word{int(4000 * r.random() ** 3)}" for _ in range(400_000)]
+    docs = [(i, "en", " ".join(words[200 * i:200 * i + 200])) for i in range(2000)]
+    df = spark.createDataFrame(docs, "doc_id long, lang string, text string").repartition(4)
+    lab = spark.createDataFrame([(i, 1, 0) for i in range(0, 2000, 3)],
+                                "doc_id long, quality int, toxic int")
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    tops = [str(d) for d in disk.localDirsString()] + [spark.conf.get("spark.checkpoint.dir")]
+    most, done = [0], threading.Event()
+
+    def used():
+        size = 0
+        for top in tops:
+            for folder, _, files in os.walk(top):
+                for f in files:
+                    try:
+                        size += os.path.getsize(os.path.join(folder, f))
+                    except OSError:
+                        pass
+        return size
+
+    def watch():
+        while not done.wait(0.05):
+            most[0] = max(most[0], used())
+
+    floor, watcher = used(), threading.Thread(target=watch)
+    watcher.start()
+    try:
+        assert Q.classify(df, lab, words=LEAST).count() == 2000
+    finally:
+        done.set()
+        watcher.join()
+    assert most[0] - floor < 2 * sum(len(t) for _, _, t in docs)
