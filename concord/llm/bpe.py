@@ -36,6 +36,8 @@ from concord.llm.common import table
 
 #: Text bytes whose pieces are encoded together, and distinct pieces remembered.
 CHUNK_BYTES = 1 << 20
+#: Rows of a batch whose texts are copied at once.
+ROWS = 500
 REMEMBERED = 1_000_000
 #: Bytes of new pieces that one encoding query holds, and ids that one decoding query holds.
 QUERY_BYTES = 1 << 17
@@ -324,16 +326,14 @@ def gathered(values: np.ndarray, first: np.ndarray, size: np.ndarray):
     return bounds, values[index]
 
 
-_CODERS: dict[int, Coder] = {}
-
-
 def _coder(ranks: dict[bytes, int]) -> Coder:
-    """One coder per vocabulary and worker process."""
+    """One coder per vocabulary and worker process, until another operator's task."""
+    coders = K.KEPT.setdefault("bpe", {})
     key = hash(frozenset(ranks.items()))
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Coder(ranks)
-    return _CODERS[key]
+    if key not in coders:
+        coders.clear()
+        coders[key] = Coder(ranks)
+    return coders[key]
 
 
 def _encoded(coder: Coder, column, i: int, j: int):
@@ -365,9 +365,9 @@ def _mapped(rows: DataFrame, ranks_path: str, source: str, steps: list[str]) ->
     at = schema.names.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        K.release()
+        K.begin("bpe")
         coder, done = _coder(ranks.value), 0
-        for batch in batches:
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             column = K.byte_column(batch.column(at))
             for i, j in K.pieces(column[1], CHUNK_BYTES):
                 part, new = batch.slice(i, j - i), []

@@ -167,6 +167,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         ("chars", pa.list_(pa.int64())), ("words", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        K.begin("rules")
         for batch in batches:
             data, off = K.byte_column(batch.column(2))
             for i, j in K.pieces(off):

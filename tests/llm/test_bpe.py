@@ -124,3 +124,12 @@ def test_runs_hash_alike_wherever_they_stand():
     hashes, first = kernels.word_hashes(data, off, kernels.not_space())
     assert list(first) == [0, 3, 5, 6] and hashes[0] == hashes[2] == hashes[4]
     assert hashes[1] == hashes[3] == hashes[5] != hashes[0]
+
+
+def test_workers_drop_the_coder_for_other_operators(ranks):
+    """A worker process that goes on to the quality rules keeps no merge table of this operator."""
+    bpe._coder(ranks)
+    kernels.begin("bpe")
+    assert kernels.KEPT["bpe"]
+    kernels.begin("rules")
+    assert not kernels.KEPT["bpe"]
