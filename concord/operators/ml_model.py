@@ -24,9 +24,13 @@ LABEL, WEIGHT = "objectionable", "weight"
 
 
 def balanced(rows: DataFrame) -> DataFrame:
-    """The rows with ``weight``: both classes weigh the same (two counts are joined back)."""
+    """The rows with ``weight``: both classes weigh the same.
+
+    The counts, one row a class, are broadcast: a shuffle by class would leave all rows to as
+    many tasks as there are classes.
+    """
     n = rows.groupBy(LABEL).agg(F.count("*").alias("_n"))
-    return rows.join(n, LABEL).withColumn(WEIGHT, 1.0 / F.col("_n")).drop("_n")
+    return rows.join(F.broadcast(n), LABEL).withColumn(WEIGHT, 1.0 / F.col("_n")).drop("_n")
 
 
 def _regression(name: str, features: str, settings: dict) -> LogisticRegression:
