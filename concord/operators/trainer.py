@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from concord.operators import model as M
@@ -100,10 +100,15 @@ def client_models(deltas: DataFrame) -> DataFrame:
 
 
 def merged(params: DataFrame, deltas: DataFrame, new_version: int) -> DataFrame:
-    """The parameters of ``new_version``: the base plus the clients' mean change by rows."""
-    total = deltas.filter("layer = 'bias'").agg(F.sum("n_rows")).scalar()
-    change = deltas.groupBy("layer", "pos").agg(
-        F.sum(F.col("delta") * F.col("n_rows")).alias("s"))
-    value = F.col("value") + F.coalesce(F.col("s") / total, F.lit(0.0))
+    """The parameters of ``new_version``: the base plus the clients' mean change by rows.
+
+    The deltas are read once, as reading them is the training: each shard gives one bias row,
+    so the bias has the sum of all rows, and passes it to the other sums (a model of them).
+    """
+    sums = deltas.groupBy("layer", "pos").agg(
+        F.sum(F.col("delta") * F.col("n_rows")).alias("s"), F.sum("n_rows").alias("n"))
+    change = sums.withColumn("total", F.max(F.when(F.col("layer") == "bias", F.col("n"))).over(
+        Window.partitionBy()))
+    value = F.col("value") + F.coalesce(F.col("s") / F.col("total"), F.lit(0.0))
     return params.join(change, ["layer", "pos"], "left").select(
         F.lit(new_version).alias("version"), "layer", "pos", value.alias("value"))

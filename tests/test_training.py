@@ -115,3 +115,25 @@ def test_pipeline_scores_the_same_after_a_reload(spark, tmp_dir):
     weights = loaded.stages[-1].coefficients.toArray()
     assert len(weights) == 65 and weights[-1] > 0
     assert np.isfinite([v for logits, _ in after.values() for v in logits]).all()
+
+
+def test_merging_trains_each_shard_once(spark):
+    feats = spark.createDataFrame(rows(), SCHEMA)
+    params = M.initial_params(spark, 0, BUCKETS)
+    plan = LT.merged(params, LT.local_epochs(feats, params), 1)._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("FlatMapGroupsInPandas") == 1
+
+
+def test_training_rows_are_not_dealt_by_class(spark):
+    """Two classes: rows shuffled by class would be two tasks, whatever the size."""
+    data = spark.createDataFrame([(f"word{k} text", k % 2) for k in range(40)],
+                                 "text string, objectionable int").repartition(7)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")  # as for tables over the threshold
+    try:
+        got = ML.balanced(data).withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert len({r.p for r in got}) > 2
+    assert {r.weight for r in got} == {1 / 20}
