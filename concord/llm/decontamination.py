@@ -178,13 +178,14 @@ def hits(data, off, found: list[Searcher]):
     return np.diff(first), text, start, start + size, who
 
 
-def covered(spans: list[tuple[int, int]]) -> int:
-    """Words inside any of the spans."""
-    total, right = 0, 0
-    for a, b in sorted(spans):
-        total += max(0, b - max(a, right))
-        right = max(right, b)
-    return total
+def covered(spans: str):
+    """Words inside any of the spans of a column ``[start, end, start, end, ...]`` (null: none)."""
+    pairs = (f"array_sort(transform(sequence(0, size({spans}) div 2 - 1), "
+             f"k -> struct({spans}[2 * k] AS a, {spans}[2 * k + 1] AS b)))")
+    return F.expr(f"""CASE WHEN size({spans}) > 0 THEN aggregate(
+      {pairs}, struct(0L AS total, 0 AS right),
+      (s, x) -> struct(s.total + greatest(0, x.b - greatest(x.a, s.right)) AS total,
+                       greatest(s.right, x.b) AS right), s -> s.total) ELSE 0L END""")
 
 
 def _search_block(rows: DataFrame, block: list[tuple[bytes, list[str]]]) -> DataFrame:
@@ -217,15 +218,11 @@ def _search_block(rows: DataFrame, block: list[tuple[bytes, list[str]]]) -> Data
 
 
 def _digest(rows: DataFrame) -> DataFrame:
-    @F.pandas_udf("long")
-    def n_hit(spans):
-        return spans.map(lambda s: 0 if s is None or not len(s)
-                         else covered(list(zip(s[::2], s[1::2], strict=True))))
-
+    """The results of the occurrences; no second Python worker beside that of the search."""
     items = F.array_sort(F.coalesce("_items", F.array().cast("array<string>")))
     return rows.withColumns({
         "n_words": F.coalesce("_n", F.lit(0).cast("long")),
-        "n_hit": n_hit("_spans"), "n_items": F.size(items).cast("long"),
+        "n_hit": covered("_spans"), "n_items": F.size(items).cast("long"),
         "items_sha256": F.sha2(F.concat_ws(",", items).cast("binary"), 256),
     }).withColumn("contaminated", F.col("n_hit") > 0).drop("_text", "_n", "_spans", "_items")
 

@@ -54,3 +54,18 @@ def test_empty_tables(spark):
     row = D.find(docs, none).first()
     assert (row.n_words, row.n_hit, row.contaminated) == (3, 0, False)
     assert D.find(docs.limit(0), none).count() == 0
+
+
+def test_one_python_worker_a_task(spark):
+    """What counts the hits runs beside the search; a Python function more is a worker more."""
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "b c")], "item_id long, text string")
+    found = D.find(docs, bench).filter("NOT contaminated")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+
+
+def test_covered(spark):
+    spans = [(None,), ([],), ([3, 5],), ([4, 9, 0, 2, 1, 3, 5, 6],), ([0, 10, 2, 3, 10, 12],)]
+    rows = spark.createDataFrame(spans, "s array<int>")
+    assert [r.n for r in rows.select(D.covered("s").alias("n")).collect()] == [0, 0, 2, 8, 12]
