@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from concord.llm import suffix_dedup as S
@@ -84,3 +86,25 @@ def test_run_index_uses_few_samples():
     a, _ = index.run_ends()
     assert len(a) < 20  # one match per run of the transform, not per position
     assert index.repeats()[0] == [(500, 3000 - 64 + 1)]
+
+
+class Rows:
+    """Takes the function of a task instead of running it in a worker."""
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        self.run = run
+        return self
+
+
+def test_parsing_holds_a_bounded_multiple_of_few_texts():
+    r = random.Random(5)
+    texts = ["".join(r.choices("abcdefgh ", k=2000)) for _ in range(1000)]
+    batch = pa.record_batch([pa.array(range(1000), pa.int64()), pa.array([1] * 1000, pa.int32()),
+                             pa.array(texts)], names=["doc", "key", "text"])
+    run = S.phrase_rows(Rows(), 400).run
+    list(run(iter([batch.slice(0, 10)])))  # tables that stay
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows > 5000 and peak < 60e6, peak
