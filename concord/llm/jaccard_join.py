@@ -366,14 +366,20 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     Sets travel either with their pairs (two joins), or, where pairs are many and
     sets few, to the cells of a grid over (a, b): each set once per row and column.
+    Each join moves only the sets that are on its side of a pair.
     """
-    pairs = pairs.select("a", "b").distinct()
+    pairs = written(pairs.select("a", "b").distinct(), "tested")
     n = sets.count()
     side = -(-n // CELL_SETS)
     if pairs.count() > 2 * n * side > 0:
         return _linked_in_cells(pairs, sets, side)
-    left = sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb"))
+
+    def ends_of(c: str) -> DataFrame:
+        ends = broadcast_if_small(pairs.select(F.col(c).alias("cls")).distinct())
+        return sets.join(ends, "cls", "left_semi").select(F.col("cls").alias(c),
+                                                          F.col("grams").alias(f"g{c}"))
+
+    left, right = ends_of("a"), ends_of("b")
     both = F.size(F.array_intersect("ga", "gb"))
     union = F.size("ga") + F.size("gb") - both
     return (pairs.join(left, "a").join(right, "b")

@@ -141,3 +141,12 @@ def test_words_that_collide_under_powers_of_a_base(spark):
     one, two = ("".join("ab"[b ^ k] for b in bits) for k in (0, 1))
     df = spark.createDataFrame([(1, one, ""), (2, two, ""), (3, one, "")], SCHEMA)
     assert {r.doc_id: r.component_id for r in J.join(df).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_sets_that_are_in_no_pair_stay_where_they_are(spark):
+    rows = [(k, 4, [10 * k + j for j in range(4)]) for k in range(50)] + [(77, 4, [70, 71, 72, 73])]
+    sets = spark.createDataFrame(rows, "cls long, n int, grams array<long>")
+    pairs = spark.createDataFrame([(7, 77), (7, 8), (7, 77)], "a long, b long")
+    found = J.linked(pairs, sets)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 2
+    assert [tuple(r) for r in found.collect()] == [(7, 77)]
