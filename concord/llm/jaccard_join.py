@@ -335,8 +335,10 @@ def grouped(signatures: DataFrame, group: int = GROUP) -> DataFrame:
     return rows.mapInArrow(run, GROUPED)
 
 
-def sets_of(docs: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
-    """(cls, n, grams) of the given classes, from the documents with one id of each."""
+def _of_classes(docs: DataFrame, members: DataFrame, classes: DataFrame, name: str,
+                values) -> DataFrame:
+    """(cls, n, name) of the given classes, from the documents with one id of each;
+    ``values`` gives (sizes, all numbers) of the column of the sets."""
     carriers = (members.join(classes, "cls", "left_semi").groupBy("cls")
                 .agg(F.min("doc_id").alias("id")).select("id").distinct())
 
@@ -345,16 +347,60 @@ def sets_of(docs: DataFrame, members: DataFrame, classes: DataFrame) -> DataFram
             data, off = K.byte_column(batch.column(1))
             for i, j in K.pieces(off):
                 grams, sizes = concatenated(list(K.shingle_sets(data, off[i:j + 1], _WORDS, WIDTH)))
-                bounds = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                count, numbers = values(grams, sizes)
+                bounds = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(K.signed(class_of(grams, sizes))), pa.array(sizes.astype(np.int32)),
-                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(K.signed(grams)))],
-                    names=["cls", "n", "grams"])
+                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(K.signed(numbers)))],
+                    names=["cls", "n", name])
 
     found = docs.join(broadcast_if_small(carriers.withColumnRenamed("id", "doc_id")), "doc_id",
                       "left_semi")
-    sets = found.mapInArrow(run, "cls long, n int, grams array<long>")
-    return written(sets, "sets")
+    return found.mapInArrow(run, f"cls long, n int, {name} array<long>")
+
+
+def sets_of(docs: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, n, grams) of the given classes."""
+    return written(_of_classes(docs, members, classes, "grams", lambda grams, sizes: (sizes, grams)),
+                   "sets")
+
+
+def parities(grams, sizes):
+    """(numbers of 64 bits, all of them) of the parity sketches of the sets: as many bits as the
+    power of two from twice the size on, 64 at least. The lowest bits of a gram's place are
+    those of its place in a narrower sketch."""
+    bits = np.left_shift(1, np.ceil(np.log2(np.maximum(2 * sizes, 64))).astype(np.int64))
+    count = np.where(sizes > 0, bits // 64, 0)
+    begin = (np.cumsum(count) - count) * 64
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    place = begin[owner] + (K.mix(grams, 61) & (bits[owner] - 1).astype(K.U64)).astype(np.int64)
+    odd = np.bincount(place, minlength=64 * int(count.sum())) & 1
+    return count, np.packbits(odd.astype(np.uint8), bitorder="little").view(K.U64)
+
+
+def bits_apart(a: str, b: str) -> str:
+    """SQL for the bits in which two parity sketches differ, the wider one folded."""
+    def folded(x, y):
+        return (f"transform(sequence(1, least(size({x}), size({y}))), k -> aggregate("
+                f"sequence(k, size({x}), least(size({x}), size({y}))), 0L, "
+                f"(acc, j) -> acc ^ {x}[j - 1]))")
+
+    return (f"aggregate(zip_with({folded(a, b)}, {folded(b, a)}, (x, y) -> bit_count(x ^ y)), 0, "
+            "(acc, d) -> acc + d)")
+
+
+def plausible(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs (a, b, and more columns) whose parity sketches differ in no more bits than
+    linked sets differ in shingles; no set is moved for the others."""
+    classes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sketched = written(_of_classes(docs, members, classes, "sketch", parities).dropDuplicates(["cls"]),
+                       "sketches")
+    columns = pairs.columns
+    for c in ("a", "b"):
+        pairs = pairs.join(sketched.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"),
+                                           F.col("sketch").alias(f"s{c}")), c)
+    near = pairs.filter(F.expr(f"{bits_apart('sa', 'sb')} <= (na + nb) div 7"))
+    return written(near.select(*columns), "plausible")
 
 
 #: Sets of one side of a cell when many pairs among few sets are verified.
@@ -366,7 +412,8 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     Sets travel either with their pairs (two joins), or, where pairs are many and
     sets few, to the cells of a grid over (a, b): each set once per row and column.
-    Each join moves only the sets that are on its side of a pair.
+    Each join moves only the sets that are on its side of a pair; up to a counted bound the
+    pairs go to the sets of the first side, so these move once, with their pairs.
     """
     pairs = written(pairs.select("a", "b").distinct(), "tested")
     n = sets.count()
@@ -382,7 +429,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left, right = ends_of("a"), ends_of("b")
     both = F.size(F.array_intersect("ga", "gb"))
     union = F.size("ga") + F.size("gb") - both
-    return (pairs.join(left, "a").join(right, "b")
+    return (broadcast_if_small(pairs).join(left, "a").join(right, "b")
             .filter(100 * both >= 75 * union).select("a", "b"))
 
 
@@ -454,8 +501,8 @@ PIECE_GRAMS = 100_000
 def second_pass_rows(sets: DataFrame) -> DataFrame:
     """All segments (unit 1) and their one-deletion neighbourhoods (unit 2) of the sets.
 
-    ``sets`` are (cls, grams, extent, label); the last two are carried along, as is
-    the sketch of the set.
+    ``sets`` are (cls, grams, extent, label); the last two are carried along, as are
+    the sketch of the set and the number of all its units.
     """
     def piece(cls, extent, label, sizes, grams, lower):
         take = meets_lower(sizes) if lower else sizes > 0
@@ -475,14 +522,16 @@ def second_pass_rows(sets: DataFrame) -> DataFrame:
         index = np.concatenate((np.arange(len(first)), seg[many]))
         who = who[index]
         unit = np.concatenate((np.ones(len(first)), np.full(many.sum(), 2))).astype(np.int32)
+        units = np.bincount(who[:len(first)], 1 + (count > 1), len(sizes)).astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [pa.array(K.signed(np.concatenate((sig, sign(rest, at[seg], band[seg])[many])))),
              pa.array(cls[who]), pa.array(sizes[who].astype(np.int32)), pa.array(unit),
              pa.array(K.signed(K.mix(at[index] ^ K.U64(int(lower)), 51))),
              pa.array(count[index].astype(np.int32)), pa.array(np.full(len(index), lower)),
-             pa.array(extent[who]), pa.array(label[who]),
+             pa.array(units[who]), pa.array(extent[who]), pa.array(label[who]),
              *(pa.array(s[who]) for s in sketches(grams, sizes))],
-            names=["sig", "cls", "n", "unit", "seg", "size", "lower", "extent", "label", *SKETCH])
+            names=["sig", "cls", "n", "unit", "seg", "size", "lower", "units", "extent", "label",
+                   *SKETCH])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -498,7 +547,16 @@ def second_pass_rows(sets: DataFrame) -> DataFrame:
 
     return sets.select("cls", "grams", "extent", "label").mapInArrow(
         run, "sig long, cls long, n int, unit int, seg long, size int, lower boolean, "
-             "extent long, label long, " + ", ".join(f"{s} long" for s in SKETCH))
+             "units int, extent long, label long, " + ", ".join(f"{s} long" for s in SKETCH))
+
+
+def meeting(sets: DataFrame) -> DataFrame:
+    """(sig, equal, less): signatures by which rows of the second pass meet, and their rows of
+    unit 1 and 2. Rows of unit 2 meet each other by no signature."""
+    return (second_pass_rows(sets).groupBy("sig").agg(
+        F.sum((F.col("unit") == 1).cast("long")).alias("equal"),
+        F.sum((F.col("unit") == 2).cast("long")).alias("less"))
+        .filter("equal > 0 AND equal + less > 1"))
 
 
 def second_pass(sets: DataFrame, probing: DataFrame) -> DataFrame:
@@ -507,30 +565,37 @@ def second_pass(sets: DataFrame, probing: DataFrame) -> DataFrame:
     The units of a class (1: equal segment, 2: one difference) are ranked by the
     number of indexed rows they meet. A partner is only met through the first
     ``differences + 1`` units, by the sizes of the two; a unit 2 ranks after its
-    unit 1. Of two classes the one in the smaller component (extent, label) probes.
+    unit 1. Segments of which no row meets another come first: they cost nothing, so
+    they are only counted and not moved on. Of two classes the one in the smaller component
+    (extent, label) probes.
     Pairs whose sketches differ in more bits than the sets may in shingles are left out.
     """
-    lists = second_pass_rows(sets).groupBy("sig").agg(
-        F.sum((F.col("unit") == 1).cast("long")).alias("equal"),
-        F.sum((F.col("unit") == 2).cast("long")).alias("less"))
     mine = second_pass_rows(sets.join(probing, "cls", "left_semi"))
     is_segment = F.col("unit") == 1
-    cost = (mine.join(lists, "sig").groupBy("cls", "n", "lower", "seg", "size").agg(
-        F.sum(F.when(is_segment, F.col("equal")).otherwise(0)).alias("one"),
-        F.sum(F.when(is_segment, F.col("equal") + F.col("less")).otherwise(F.col("equal")))
-        .alias("two")))
-    units = cost.select("cls", "n", "lower", "seg", F.posexplode(F.when(
-        F.col("size") > 1, F.array("one", F.greatest("one", F.col("two") - F.col("one"))))
-        .otherwise(F.array("one"))).alias("u", "cost"))
-    order = Window.partitionBy("cls", "lower").orderBy("cost", "u", "seg")
+    by_class = mine.join(meeting(sets), "sig").repartition("cls")
+    traits = ["extent", "label", *SKETCH]
+    cost = by_class.groupBy("cls", "n", "lower", "seg", "size", "units").agg(
+        F.coalesce(F.sum(F.when(is_segment, F.col("equal"))), F.lit(1)).alias("one"),
+        (F.sum(F.when(is_segment, F.col("equal") + F.col("less")).otherwise(F.col("equal")))
+         + F.when(F.min("unit") == 1, 0).otherwise(1)).alias("two"),
+        F.collect_list(F.struct("sig", "unit")).alias("rows"),  # bounded by the segment's size
+        *(F.first(c).alias(c) for c in traits))
+    unit_costs = F.when(F.col("size") > 1, F.array("one", F.greatest("one", F.col("two")
+                                                                      - F.col("one"))))
+    units = cost.select(*cost.columns, F.posexplode(unit_costs.otherwise(F.array("one")))
+                        .alias("u", "cost"))
+    whole = Window.partitionBy("cls", "lower")
+    rank = F.row_number().over(whole.orderBy("cost", "u", "seg"))
     most = F.expr("(n + 4 * n div 3) div 7 + 1")  # differences to any partner, and one
-    allotted = (units.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= most)
-                .groupBy("cls", "lower", "seg").agg(
-                    F.min("r").alias("r1"), F.max(F.when(F.col("u") == 1, F.col("r"))).alias("r2")))
-    probe = (mine.join(allotted, ["cls", "lower", "seg"])
-             .filter("unit = 1 OR r2 IS NOT NULL")
-             .select("sig", F.col("cls").alias("p"), F.col("n").alias("np"),
-                     F.col("unit").alias("up"), "r1", "r2",
+    allotted = (units.withColumn("r", F.col("units") - F.count("*").over(whole) + rank)
+                .filter(F.col("r") <= most))
+    ranks = allotted.groupBy("cls", "n", "lower", "seg").agg(
+        F.min("r").alias("r1"), F.max(F.when(F.col("u") == 1, F.col("r"))).alias("r2"),
+        *(F.first(c).alias(c) for c in ("rows", *traits)))
+    probe = (ranks.select("*", F.explode("rows").alias("row"))
+             .filter("row.unit = 1 OR r2 IS NOT NULL")
+             .select(F.col("row.sig").alias("sig"), F.col("cls").alias("p"),
+                     F.col("n").alias("np"), F.col("row.unit").alias("up"), "r1", "r2",
                      F.struct("extent", "label").alias("rp"),
                      *(F.col(s).alias(f"p{s}") for s in SKETCH)))
     index = second_pass_rows(sets).select(
@@ -571,7 +636,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     large = written(large.join(held, "cls"), "large")
     step = F.floor(F.log("n") / F.log(F.lit(1.2)))
     hubs = stars(large.withColumn("step", step), ["sig", "step"], ["held"])
-    pairs = written(pairs.unionByName(hubs), "pairs")
+    pairs = plausible(written(pairs.unionByName(hubs), "pairs"), known, members)
     classes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     sets = sets_of(known, members, classes)
     best = pairs.groupBy("b").agg(F.max_by("a", "shared").alias("a")).select("a", "b")
@@ -603,6 +668,7 @@ LOST = "count >= IF(n < 6, 1, 3 + (3 * n div 4) div 40)"
 def _hubs(docs, members, left, labels) -> DataFrame:
     """Links to the class of the widest component in each open group."""
     hubs = written(across(stars(left, ["sig"], ["extent", "held"]), labels), "pairs")
+    hubs = plausible(hubs, docs, members)
     ends = hubs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     return linked(hubs, sets_of(docs, members, ends))
 

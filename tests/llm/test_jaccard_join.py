@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.llm import jaccard_join as J
+from concord.llm import kernels as K
 
 SCHEMA = "doc_id long, text string, n_shingles string"
 
@@ -150,3 +151,65 @@ def test_sets_that_are_in_no_pair_stay_where_they_are(spark):
     found = J.linked(pairs, sets)
     assert found._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 2
     assert [tuple(r) for r in found.collect()] == [(7, 77)]
+
+
+def test_pairs_that_cannot_be_linked_move_no_set(spark):
+    """Parity sketches of any width drop them, and no pair that reaches the similarity."""
+    r = random.Random(3)
+    word = lambda: f"w{r.randrange(10 ** 6)}"
+    rows, wanted = [], {}
+    for k, size in enumerate((7, 40, 200, 900)):
+        base = [word() for _ in range(size)]
+        near = base[:-1] + [word()]  # one shingle of each differs
+        far = list(base)             # every seventh word: hardly a shingle is the same
+        far[::7] = [word() for _ in far[::7]]
+        longer = base + [word() for _ in range(size // 5)]
+        for j, t in enumerate((base, near, far, longer)):
+            rows.append((4 * k + j, " ".join(t)))
+        sets = [{tuple(t[i:i + 5]) for i in range(len(t) - 4)} for t in (base, near, far, longer)]
+        for j in (1, 2, 3):
+            both = len(sets[0] & sets[j])
+            wanted[4 * k, 4 * k + j] = 100 * both >= 75 * len(sets[0] | sets[j])
+    assert {len(t.split()) for _, t in rows} >= {7, 8, 900, 1080}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    members = (J.grouped(J.signature_rows(df)).filter("kind = 0")
+               .select(F.col("a").alias("doc_id"), F.col("b").alias("cls"), F.col("na").alias("n")))
+    cls = {x.doc_id: x.cls for x in members.collect()}
+    pairs = spark.createDataFrame([(cls[a], cls[b], 100 * a + b) for a, b in wanted],
+                                  "a long, b long, shared long")
+    left = {x.shared for x in J.plausible(pairs, df, members).collect()}
+    assert left >= {100 * a + b for (a, b), links in wanted.items() if links}
+    assert not left & {100 * 4 * k + 4 * k + 2 for k in (1, 2, 3)}
+
+
+def test_parity_sketches_of_two_widths(spark):
+    r = np.random.default_rng(8)
+    for n in (1, 31, 33, 600, 5000):
+        a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate((a[n // 9:], r.integers(0, 1 << 63, n // 4 + 1, dtype=np.uint64))))
+        (na, nb), numbers = J.parities(np.concatenate((a, b)), np.array([len(a), len(b)]))
+        row = [(K.signed(numbers[:na]).tolist(), K.signed(numbers[na:]).tolist())]
+        df = spark.createDataFrame(row, "sa array<long>, sb array<long>")
+        (got,) = df.select(F.expr(J.bits_apart("sa", "sb"))).first()
+        bits = 64 * min(na, nb)
+        place = [np.bincount((K.mix(x, 61) & K.U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+                 for x in (a, b)]
+        assert got == (place[0] ^ place[1]).sum() <= len(np.setxor1d(a, b))
+    count, numbers = J.parities(np.zeros(0, np.uint64), np.zeros(2, np.int64))
+    assert count.tolist() == [0, 0] and len(numbers) == 0
+
+
+def test_segments_that_meet_no_other_are_not_moved_on(spark):
+    """Of unrelated sets the second pass moves the signatures and nothing after them."""
+    rows = [(d, " ".join(f"w{d}x{i}" for i in range(80 + d))) for d in range(30)]
+    rows += [(100, rows[0][1] + " end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    members = (J.grouped(J.signature_rows(df)).filter("kind = 0")
+               .select(F.col("a").alias("doc_id"), F.col("b").alias("cls"), F.col("na").alias("n")))
+    cls = {x.doc_id: x.cls for x in members.collect()}
+    sets = J.sets_of(df, members, members.select("cls")).withColumns(
+        {"extent": F.lit(1).cast("long"), "label": F.col("cls")})
+    lists = J.meeting(sets)
+    assert lists.count() <= J.second_pass_rows(sets.filter(f"cls = {cls[0]}")).count()
+    got = {tuple(x) for x in J.second_pass(sets, members.select("cls").distinct()).collect()}
+    assert got == {tuple(sorted((cls[0], cls[100])))}
