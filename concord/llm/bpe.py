@@ -32,10 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.llm import kernels as K
-from concord.llm.common import table
+from concord.llm.common import bounded_batches, table
 
 #: Text bytes whose pieces are encoded together, and distinct pieces remembered.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 #: Rows of a batch whose texts are copied at once.
 ROWS = 500
 REMEMBERED = 1_000_000
@@ -199,15 +199,19 @@ class Coder:
         self._load("vocabulary", tok=pa.array(list(ranks.values()), pa.int32()),
                    hex=pa.array([t.hex() for t in ranks], pa.string()))
         self.table = classes()
-        self.known = self.other = np.zeros(0, K.U64)
-        self.first = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.int32)
+        self._forget()
 
     def _load(self, name, **cols):
         self.db.register("arrow_rows", pa.table(cols))
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM arrow_rows")
         self.db.unregister("arrow_rows")
 
+    def _forget(self):
+        """No pieces: their hashes, the first of their ids, how many ids, and all ids."""
+        self.known = self.other = np.zeros(0, K.U64)
+        self.first = np.zeros(0, np.int64)
+        self.size = self.ids = np.zeros(0, np.int32)
+
     def contract(self, pieces: list[bytes]):
         """(number of ids of each piece, all ids), a bounded part of the pieces at a time."""
         if not pieces:
@@ -251,16 +255,13 @@ class Coder:
         """Remember the ids of new pieces (``hashes`` ascending and not yet known)."""
         size, ids = self.contract(pieces)
         if len(self.known) + len(hashes) > REMEMBERED:
-            self.known, self.other = hashes[:0], other[:0]
-            self.first, self.ids = np.zeros(1, np.int64), ids[:0]
-        known = np.concatenate((self.known, hashes))
-        first = np.concatenate((self.first[:-1], self.first[-1] + np.cumsum(size) - size))
-        sizes = np.concatenate((np.diff(self.first), size))
-        order = np.argsort(known)
-        ids = np.concatenate((self.ids, ids))
-        self.other = np.concatenate((self.other, other))[order]
-        self.known, (self.first, self.ids) = known[order], gathered(ids, first[order],
-                                                                    sizes[order])
+            self._forget()
+        at = np.searchsorted(self.known, hashes)  # the ids stay where they are
+        first = len(self.ids) + np.cumsum(size) - size
+        self.known, self.other = np.insert(self.known, at, hashes), np.insert(self.other, at, other)
+        self.first = np.insert(self.first, at, first)
+        self.size = np.insert(self.size, at, size.astype(np.int32))
+        self.ids = np.concatenate((self.ids, ids))
 
     def encode(self, data, off) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, bounds of each text) of texts between the offsets.
@@ -290,7 +291,7 @@ class Coder:
                        [body[starts[k]:ends[k]] for k in sample[new]])
             at = np.searchsorted(self.known, words)
         at = at[back]
-        bounds, ids = gathered(self.ids, self.first[at], np.diff(self.first)[at])
+        bounds, ids = gathered(self.ids, self.first[at], self.size[at])
         return ids, bounds[first]
 
     def _encode_by_bytes(self, body: bytes, starts, ends, first):
@@ -358,6 +359,7 @@ def _decoded(coder: Coder, column):
 def _mapped(rows: DataFrame, ranks_path: str, source: str, steps: list[str]) -> DataFrame:
     """All columns and those of the steps: ``ids`` from texts, ``decoded`` from ids. Steps
     asked for together run in one worker process."""
+    bounded_batches(rows.sparkSession)
     ranks = rows.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     schema = rows.schema
     keep = [k for k, f in enumerate(schema) if f.name not in steps]

@@ -7,6 +7,7 @@ and text, so null and repeated ids are handled like any others.
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Callable
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.llm import bpe, decontamination, jaccard_join, quality_rules, suffix_dedup
-from concord.llm.common import broadcast_if_small, table, written
+from concord.llm.common import bounded_batches, broadcast_if_small, table, written
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -74,12 +75,23 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _bounded(stage: Stage) -> Stage:
+    """The stage with bounded batches of texts between executors and Python workers."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality rules", reject_by_rules),
-    ("n-gram Jaccard join", one_of_each_group),
-    ("suffix-array dedup", cut_repeats),
-    ("benchmark decontamination", drop_contaminated),
-    ("byte-level BPE", to_tokens),
+    ("quality rules", _bounded(reject_by_rules)),
+    ("n-gram Jaccard join", _bounded(one_of_each_group)),
+    ("suffix-array dedup", _bounded(cut_repeats)),
+    ("benchmark decontamination", _bounded(drop_contaminated)),
+    ("byte-level BPE", _bounded(to_tokens)),
 ]
 
 #: Not expressible: divergences, byte strings of 400 and BPE; tested against brute force.

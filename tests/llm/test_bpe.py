@@ -133,3 +133,17 @@ def test_workers_drop_the_coder_for_other_operators(ranks):
     assert kernels.KEPT["bpe"]
     kernels.begin("rules")
     assert not kernels.KEPT["bpe"]
+
+
+def test_new_pieces_leave_the_ids_of_others_where_they_are(ranks, library):
+    """The ids remembered are not copied into another order with each new chunk of texts."""
+    own = bpe.Coder(ranks)
+    for k in range(5):
+        before = own.ids.copy()
+        texts = [f"wordlike{k}x{i} qzjxv{k}{i}" for i in range(20)] + ["wordlike0x1 qzjxv01"]
+        data, off = kernels.byte_column(pa.array(texts))
+        ids, bounds = own.encode(data, off)
+        assert [list(ids[a:b]) for a, b in zip(bounds, bounds[1:])] == [
+            library.encode_ordinary(t) for t in texts]
+        assert len(own.ids) > len(before) and (own.ids[:len(before)] == before).all()
+    assert (own.known[1:] > own.known[:-1]).all()

@@ -111,3 +111,25 @@ def test_stages_keep_columns_and_handle_odd_rows(spark):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
     one = corpus_pipeline.one_of_each_group(spark, odd, SF)
     assert sorted((r.doc_id for r in one.collect()), key=str) == [1, 2, 3, None]
+
+
+def test_stages_hand_texts_to_workers_in_bounded_batches(spark):
+    import pyarrow as pa
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["size"])
+
+    text = "word " * 100_000
+    docs = spark.range(60).selectExpr("id AS doc_id", f"repeat('word ', {len(text) // 5}) AS text",
+                                      "'en' AS lang", "'s' AS source").coalesce(1)
+    for _, stage in corpus_pipeline.STAGES[-1:]:
+        spark.conf.unset(name)
+        try:
+            stage(spark, docs, SF)
+            most = docs.mapInArrow(sizes, "size long").agg({"size": "max"}).first()[0]
+        finally:
+            spark.conf.unset(name)
+        assert len(text) <= most <= 6_000_000
+    assert all(stage.__wrapped__.__name__ for _, stage in corpus_pipeline.STAGES)
