@@ -56,6 +56,47 @@ def test_object_files_are_written_by_many_tasks(spark, tmp_dir, monkeypatch):
         (3, str(k), 2) for k in range(60))
 
 
+@pytest.mark.parametrize("mounted", [True, False])
+def test_object_files_of_odd_rows(spark, tmp_dir, monkeypatch, mounted):
+    """In a mounted folder and by Spark's writer: groups, repeated and odd names, no bytes."""
+    monkeypatch.setattr(O, "OBJECTS_A_GROUP", 20)
+    if not mounted:
+        monkeypatch.setattr(O, "mounted", lambda *_: None)
+    rows = [(i % 3, f"k{i}", "ä" * i) for i in range(50)]
+    rows += [(0, "a b/c=%d", "x"), (1, "k1", "twice"), (2, "none", None), (2, "'\"[^]{}:?#*\\", "yy")]
+    for n in (rows, rows[:5]):     # the second one takes the place of the first
+        O.write_objects(spark.createDataFrame(n, "version int, key string, body string"), f"{tmp_dir}/o")
+        want = {}
+        for v, k, b in n:
+            want[v, k] = want.get((v, k), 0) + len((b or "").encode()) + 1
+        assert len(os.listdir(f"{tmp_dir}/o")) >= len(n) // 20
+        got = O.stored(spark, f"{tmp_dir}/o").collect()
+        names = {f"local_v{v}_{k}.zip": (v, n) for (v, k), n in want.items()}
+        assert sorted((x.version, x.length) for x in got) == sorted(names.values())
+        plain = {x.name: (x.version, x.length) for x in got if "%" not in x.name}
+        assert plain.items() <= names.items() and len(plain) >= len(names) - 2
+    O.write_objects(spark.createDataFrame([], "version int, key string, body string"), f"{tmp_dir}/e")
+    assert O.stored(spark, f"{tmp_dir}/e").count() == 0
+
+
+def test_a_file_costs_no_task_and_no_process(spark, tmp_dir):
+    objects = spark.range(200).select(F.lit(1).alias("version"), F.col("id").cast("string").alias("key"),
+                                      F.lit("[1]").alias("body"))
+    O.write_objects(objects, f"{tmp_dir}/objects")
+    files = [f for _, _, names in os.walk(f"{tmp_dir}/objects") for f in names]
+    assert len(files) == 200 and all(f.startswith("part-") for f in files)   # no .crc beside them
+    sc = spark.sparkContext
+    sc.setJobGroup("listing", "listing")
+    try:
+        assert O.stored(spark, f"{tmp_dir}/objects").count() == 200
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds}
+    tasks = [i.numTasks for i in map(tracker.getStageInfo, stages) if i]
+    assert tasks and max(tasks) <= 4 * sc.defaultParallelism
+
+
 def test_status_snapshots_refuse_a_second_writer(spark, tmp_dir):
     root = f"{tmp_dir}/status"
     df = lambda v: spark.createDataFrame([(0, v)], "federation_id int, version int")
