@@ -1,3 +1,4 @@
+import collections
 import itertools
 import random
 import zlib
@@ -75,3 +76,35 @@ def test_balanced_and_empty(spark):
     df = spark.createDataFrame([(i, "x", i % 4) for i in range(8)], "doc_id long, text string, at int")
     assert not any(x.moved for x in S.reshard(S.measured(df, F.col("at")), 4).collect())
     assert S.reshard(S.measured(df.limit(0), F.col("at")), 4).count() == 0
+
+
+def test_query_moves_the_texts_into_shards(spark, tmp_path, monkeypatch):
+    """Rows with equal and null ids, copies and null texts; places are those in the files."""
+    r = random.Random(5)
+    rows = [(r.choice([None, *range(9)]), r.choice([None, "", "é", "x" * r.randrange(40)]),
+             r.choice(["a", "b", "c", None]), i) for i in range(150)]
+    rows += rows[:20]
+    (spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+     .write.parquet(str(tmp_path / "documents.parquet")))
+    monkeypatch.setattr("concord.llm.common.checkpoint_dir", lambda _: str(tmp_path / "shared"))
+    got = S.op4_min_cost_flow_sharding(spark, str(tmp_path)).collect()
+    folders = list((tmp_path / "shared").glob("shards-*"))
+    assert len(folders) == 1
+    folder = folders[0]
+    moved = spark.read.parquet(str(folder)).collect()
+    key = lambda x: tuple((v is not None, v) for v in x)
+    assert sorted(((x.doc_id, x.text, x.source, x.n_chars) for x in moved), key=key) == \
+        sorted(rows, key=key)
+    assert {int(p.name.split("=")[1]) for p in folder.glob("shard=*")} == set(range(S.SHARDS))
+    assert collections.Counter((x.doc_id, x.size, x.text_crc32, x.shard, x.slot) for x in got) == \
+        collections.Counter((x.doc_id, len((x.text or "").encode()) + 1,
+                             zlib.crc32((x.text or "").encode()), x.shard, x.slot) for x in moved)
+    by = collections.defaultdict(list)
+    for x in got:
+        by[x.shard].append(x.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    old = F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % S.OLD_SHARDS
+    plan = S.reshard(S.measured(docs, old)).collect()
+    assert collections.Counter((x.doc_id, x.size, x.text_crc32, x.shard, x.slot) for x in got) == \
+        collections.Counter((x.doc_id, x.size, x.text_crc32, x.shard, x.slot) for x in plan)
